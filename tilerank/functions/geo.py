@@ -64,15 +64,21 @@ def mean_longitude_zone(df: DataFrame, lon: str = "longitude") -> Column:
     return df.select((F.floor((F.avg(lon) + 180.0) / 6.0) + 1).cast("int").alias("zone")).scalar()
 
 
-def project_utm(lon, lat, zone, m=COLUMN_MATH):
-    """WGS84 degrees -> (easting, northing) metres in a northern-hemisphere UTM zone."""
-    phi = m.radians(m.col(lat))
-    lam = m.radians(m.col(lon)) - m.radians(m.col(zone) * 6.0 - 183.0)
-    sphi = m.sin(phi)
-    t = m.sinh(m.atanh(sphi) - m.atanh(sphi * _E) * _E)
+def _fwd_t(lat, m):
+    sphi = m.sin(m.radians(m.col(lat)))
+    return m.sinh(m.atanh(sphi) - m.atanh(sphi * _E) * _E)
+
+
+def _fwd_l(lon, zone, m):
+    return m.radians(m.col(lon)) - m.radians(m.col(zone) * 6.0 - 183.0)
+
+
+def _fwd_primes(t, lam, m):
     cl = m.cos(lam)
-    xi_p = m.atan2(t, cl)
-    eta_p = m.asinh(m.sin(lam) / m.sqrt(t * t + cl * cl))
+    return m.atan2(t, cl), m.asinh(m.sin(lam) / m.sqrt(t * t + cl * cl))
+
+
+def _fwd_series(xi_p, eta_p, m):
     xi, eta = xi_p, eta_p
     for j, a in enumerate(_ALPHA, start=1):
         xi = xi + m.sin(xi_p * (2.0 * j)) * m.cosh(eta_p * (2.0 * j)) * a
@@ -80,15 +86,27 @@ def project_utm(lon, lat, zone, m=COLUMN_MATH):
     return eta * _KA + K.UTM_FALSE_EASTING, xi * _KA
 
 
-def unproject_utm(x, y, zone, m=COLUMN_MATH):
-    """UTM metres (northern zone) -> WGS84 (longitude, latitude) degrees."""
+def project_utm(lon, lat, zone, m=COLUMN_MATH):
+    """WGS84 degrees -> (easting, northing) metres in a northern-hemisphere UTM zone."""
+    xi_p, eta_p = _fwd_primes(_fwd_t(lat, m), _fwd_l(lon, zone, m), m)
+    return _fwd_series(xi_p, eta_p, m)
+
+
+def _inv_primes(x, y, m):
     X = m.col(y) / _KA
     Y = (m.col(x) - K.UTM_FALSE_EASTING) / _KA
     xi_p, eta_p = X, Y
     for j, b in enumerate(_BETA, start=1):
         xi_p = xi_p - m.sin(X * (2.0 * j)) * m.cosh(Y * (2.0 * j)) * b
         eta_p = eta_p - m.cos(X * (2.0 * j)) * m.sinh(Y * (2.0 * j)) * b
-    chi = m.asin(m.sin(xi_p) / m.cosh(eta_p))
+    return xi_p, eta_p
+
+
+def _inv_chi(xi_p, eta_p, m):
+    return m.asin(m.sin(xi_p) / m.cosh(eta_p))
+
+
+def _inv_lonlat(xi_p, eta_p, chi, zone, m):
     phi = chi
     for j, d in enumerate(_DELTA, start=1):
         phi = phi + m.sin(chi * (2.0 * j)) * d
@@ -96,6 +114,34 @@ def unproject_utm(x, y, zone, m=COLUMN_MATH):
     return lon, m.degrees(phi)
 
 
+def unproject_utm(x, y, zone, m=COLUMN_MATH):
+    """UTM metres (northern zone) -> WGS84 (longitude, latitude) degrees."""
+    xi_p, eta_p = _inv_primes(x, y, m)
+    return _inv_lonlat(xi_p, eta_p, _inv_chi(xi_p, eta_p, m), zone, m)
+
+
+def with_utm(df: DataFrame, zone, lon: str = "longitude", lat: str = "latitude", x: str = "x", y: str = "y") -> DataFrame:
+    """Add projected ``x, y``; intermediate terms are columns so each is evaluated once per row."""
+    m = COLUMN_MATH
+    d = df.withColumns({"_uz": _col(zone), "_ut": _fwd_t(lat, m)})
+    d = d.withColumn("_ul", _fwd_l(lon, "_uz", m))
+    xi_p, eta_p = _fwd_primes(F.col("_ut"), F.col("_ul"), m)
+    d = d.withColumns({"_uxi": xi_p, "_ueta": eta_p})
+    ex, ny = _fwd_series(F.col("_uxi"), F.col("_ueta"), m)
+    return d.withColumns({x: ex, y: ny}).drop("_uz", "_ut", "_ul", "_uxi", "_ueta")
+
+
+def with_lonlat(df: DataFrame, zone, x: str = "x", y: str = "y", lon: str = "longitude", lat: str = "latitude") -> DataFrame:
+    """Add WGS84 ``lon, lat`` from UTM ``x, y`` (stepwise, like :func:`with_utm`)."""
+    m = COLUMN_MATH
+    d = df.withColumn("_uz", _col(zone))
+    xi_p, eta_p = _inv_primes(x, y, m)
+    d = d.withColumns({"_uxi": xi_p, "_ueta": eta_p})
+    d = d.withColumn("_uchi", _inv_chi(F.col("_uxi"), F.col("_ueta"), m))
+    lo, la = _inv_lonlat(F.col("_uxi"), F.col("_ueta"), F.col("_uchi"), "_uz", m)
+    return d.withColumns({lon: lo, lat: la}).drop("_uz", "_uxi", "_ueta", "_uchi")
+
+
 def point_distance(x1, y1, x2, y2, m=COLUMN_MATH):
     """Planar distance."""
     dx = m.col(x2) - m.col(x1)
@@ -111,8 +157,3 @@ def point_segment_distance(px, py, x1, y1, x2, y2) -> Column:
     t = F.when(len2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - x1) * dx + (py - y1) * dy) / len2))).otherwise(0.0)
     qx, qy = x1 + t * dx, y1 + t * dy
     return F.sqrt((px - qx) * (px - qx) + (py - qy) * (py - qy))
-
-
-def with_utm(df: DataFrame, zone: Column, lon: str = "longitude", lat: str = "latitude", x: str = "x", y: str = "y") -> DataFrame:
-    ex, ny = project_utm(lon, lat, zone)
-    return df.withColumn(x, ex).withColumn(y, ny)

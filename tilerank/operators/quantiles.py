@@ -9,7 +9,8 @@ split into two distributed passes:
    ``count`` gives n.
 2. One scan counts the rows below ``lo`` and aggregates ``(value, count)`` for the rows inside
    the bracket. Repeated values collapse in the aggregation, so a hot value costs one row;
-   the bracket holds at most about ``6 n / accuracy`` distinct values.
+   the bracket holds at most about ``6 n / accuracy`` distinct values (a group with fewer
+   than ``4 * accuracy`` rows is taken whole).
 
 A window over the bracket table (one small partition per group and probability) then finds
 the values at ranks ``floor(k)`` and ``floor(k) + 1`` with ``k = p (n - 1)`` and interpolates
@@ -52,12 +53,15 @@ def exact_quantiles(
     approx = F.percentile_approx("_v", lo_p + hi_p, accuracy)
     stats = base.groupBy(*by).agg(F.count("_v").alias("_n"), approx.alias("_a"))
     m = len(probs)
+    # A group smaller than 4 * accuracy is its own bracket (at most that many distinct values);
+    # above that size the margin of 3/accuracy exceeds the summary's rank error by >= 2 ranks.
+    big = F.col("_n") >= 4 * accuracy
     per_prob = F.array(
         *[
             F.struct(
                 F.lit(i).alias("_i"),
-                (F.lit(None).cast("double") if lo_p[i] <= 0.0 else F.col("_a")[i]).alias("_lo"),
-                (F.lit(None).cast("double") if hi_p[i] >= 1.0 else F.col("_a")[m + i]).alias("_hi"),
+                (F.lit(None).cast("double") if lo_p[i] <= 0.0 else F.when(big, F.col("_a")[i])).alias("_lo"),
+                (F.lit(None).cast("double") if hi_p[i] >= 1.0 else F.when(big, F.col("_a")[m + i])).alias("_hi"),
                 (F.lit(float(probs[i])) * (F.col("_n") - 1)).alias("_k"),
             )
             for i in range(m)
@@ -120,6 +124,21 @@ def _attach_small(base: DataFrame, brackets: DataFrame) -> DataFrame:
     return base.select("_v", F.explode(arr).alias("_b")).select("_v", "_b._i", "_b._lo", "_b._hi", "_b._k", "_b._n")
 
 
+def global_quantiles(df: DataFrame, value: str, probs: Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> tuple[list, int]:
+    """Global exact quantiles as Python floats plus the non-NULL count (one small result row).
+
+    Used where a handful of scalars parametrise a later plan (cut-offs, medians), so the later
+    plan carries literals instead of re-running the quantile jobs inside every subquery.
+    """
+    names = [f"q{i}" for i in range(len(probs))]
+    n = df.select(F.count(F.col(value)).alias("n"))
+    row = exact_quantiles(df, value, probs, names=names, accuracy=accuracy).collect()
+    count = n.first()["n"]
+    if not row:
+        return [None] * len(probs), count
+    return [row[0][c] for c in names], count
+
+
 def quantile_column(df: DataFrame, value: str, prob: float) -> Column:
     """A single global exact quantile as a scalar column (scalar subquery)."""
     return exact_quantiles(df, value, [prob], names=["q"]).select("q").scalar()

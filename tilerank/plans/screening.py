@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.screening import assign_stratum, flag_underserved, has_evidence
-from ..operators.quantiles import exact_quantiles
+from ..operators.quantiles import exact_quantiles, global_quantiles
 
 
 def population_cutoffs(valid: DataFrame, qs=K.POPULATION_QUANTILES, col: str = "population_total") -> DataFrame:
@@ -38,10 +38,12 @@ def stratified_screening(df: DataFrame) -> DataFrame:
     all tiles are kept. With no evidence tile at all, the stratum is NULL and no tile is flagged.
     """
     valid = df.where(has_evidence())
-    cuts = population_cutoffs(valid).select(F.struct("c0", "c1").alias("s"))
-    cut = cuts.scalar()
-    n_valid = valid.select(F.count(F.lit(1))).scalar()
-    stratum = F.when(n_valid > 0, assign_stratum("population_total", cut.getField("c0"), cut.getField("c1")))
+    stats = valid.agg(F.count(F.lit(1)).alias("n")).first()
+    if stats["n"] == 0:
+        stratum = F.lit(None).cast("string")
+    else:
+        (c0, c1), _ = global_quantiles(valid, "population_total", list(K.POPULATION_QUANTILES))
+        stratum = assign_stratum("population_total", F.lit(c0).cast("double"), F.lit(c1).cast("double"))
     stratified = df.withColumn("demographic_stratum", stratum)
     thresholds = stratum_thresholds(stratified.where(has_evidence()))
     flagged = stratified.join(F.broadcast(thresholds), "demographic_stratum", "left")
@@ -52,5 +54,5 @@ def stratified_screening(df: DataFrame) -> DataFrame:
 
 def filter_low_quantile(df: DataFrame, col: str = "download_kbps", q: float = K.LOW_QUARTILE) -> DataFrame:
     """Keep rows with ``col <=`` the global ``q`` quantile (earlier screening variant)."""
-    cut = exact_quantiles(df, col, [q], names=["q"]).select("q").scalar()
-    return df.where(F.col(col) <= cut)
+    (cut,), _ = global_quantiles(df, col, [q])
+    return df.where(F.col(col) <= F.lit(cut).cast("double"))
