@@ -60,8 +60,9 @@ def utm_zone(lon) -> Column:
 
 
 def mean_longitude_zone(df: DataFrame, lon: str = "longitude") -> Column:
-    """UTM zone of the mean longitude of a table, as a scalar-subquery column."""
-    return df.select((F.floor((F.avg(lon) + 180.0) / 6.0) + 1).cast("int").alias("zone")).scalar()
+    """UTM zone of the mean longitude of a table (one aggregate, returned as a literal column)."""
+    z = df.select((F.floor((F.avg(lon) + 180.0) / 6.0) + 1).cast("int").alias("zone")).first()["zone"]
+    return F.lit(z).cast("int")
 
 
 def _fwd_t(lat, m):

@@ -116,11 +116,18 @@ def exact_quantiles(
 def _attach_small(base: DataFrame, brackets: DataFrame) -> DataFrame:
     """Global case: the bracket table has one row per probability (a handful of rows).
 
-    Each row of ``base`` is paired with every probability by exploding an array of scalar
-    subquery results, so no join (and no cross join) is planned.
+    Those rows are fetched (a few numbers) and every row of ``base`` is paired with each
+    probability by exploding a literal array, so no join and no cross join is planned.
     """
-    rows = brackets.select(F.struct("_i", "_lo", "_hi", "_k", "_n").alias("s"))
-    arr = rows.select(F.sort_array(F.collect_list("s")).alias("a")).scalar()
+    rows = brackets.collect()
+    arr = F.array(*[
+        F.struct(F.lit(r["_i"]).alias("_i"), F.lit(r["_lo"]).cast("double").alias("_lo"), F.lit(r["_hi"]).cast("double").alias("_hi"),
+                 F.lit(r["_k"]).cast("double").alias("_k"), F.lit(r["_n"]).cast("bigint").alias("_n"))
+        for r in rows
+    ])
+    if not rows:
+        return base.select("_v", F.lit(0).alias("_i"), F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("double").alias("_hi"),
+                           F.lit(None).cast("double").alias("_k"), F.lit(None).cast("bigint").alias("_n")).where(F.lit(False))
     return base.select("_v", F.explode(arr).alias("_b")).select("_v", "_b._i", "_b._lo", "_b._hi", "_b._k", "_b._n")
 
 
@@ -139,6 +146,6 @@ def global_quantiles(df: DataFrame, value: str, probs: Sequence[float], accuracy
     return [row[0][c] for c in names], count
 
 
-def quantile_column(df: DataFrame, value: str, prob: float) -> Column:
-    """A single global exact quantile as a scalar column (scalar subquery)."""
-    return exact_quantiles(df, value, [prob], names=["q"]).select("q").scalar()
+def scalar_row(df: DataFrame):
+    """Evaluate a one-row aggregate and return its Row (a few numbers reach the driver)."""
+    return df.first()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import scoring as S
 from ..functions.screening import confidence_tier, is_approved
+from ..operators.quantiles import scalar_row
 from ..operators.rank import global_row_number, top_k
 from ..operators.tables import union_scored_unscored
 
@@ -38,7 +39,7 @@ def score_matrix(df: DataFrame) -> DataFrame:
     d = df.withColumns({c: F.coalesce(F.col(c), F.lit(K.MISSING_DISTANCE_FILL_M))
                         for c in ("distance_to_power_m", "distance_to_road_m", "distance_to_amenity_m")})
     d = d.withColumn("off_grid_likelihood", S.off_grid_likelihood())
-    max_solar = d.select(F.max("solar_radiation_mj")).scalar()
+    max_solar = F.lit(scalar_row(d.select(F.max("solar_radiation_mj").alias("m")))["m"]).cast("double")
     d = d.withColumns({
         "solar_viability": S.solar_viability(max_solar),
         "logistics_difficulty": S.logistics_difficulty(),
@@ -50,8 +51,9 @@ def score_matrix(df: DataFrame) -> DataFrame:
         "essential_service_weight": S.essential_service_weight(),
     })
     d = d.withColumn("_raw", S.raw_priority())
-    bounds = d.select(F.struct(F.min("_raw").alias("lo"), F.max("_raw").alias("hi"))).scalar()
-    d = d.withColumn("priority_score", S.minmax_score(F.col("_raw"), bounds.getField("lo"), bounds.getField("hi")))
+    b = scalar_row(d.select(F.min("_raw").alias("lo"), F.max("_raw").alias("hi")))
+    lo, hi = F.lit(b["lo"]).cast("double"), F.lit(b["hi"]).cast("double")
+    d = d.withColumn("priority_score", S.minmax_score(F.col("_raw"), lo, hi))
     return d.withColumn("people_connected_per_tonne_co2", S.people_per_tonne()).drop("_raw")
 
 

@@ -18,7 +18,17 @@ def register(key: str, oracle: str | None = None):
     def deco(fn):
         if key in QUERIES:
             raise ValueError(f"duplicate query key {key}")
-        QUERIES[key] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from ..session import ensure_checkpoint_dir, tune
+
+            tune(spark)
+            ensure_checkpoint_dir(spark)
+            return fn(spark, sf_dir.rstrip("/"))
+
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[key] = run
         if oracle is not None:
             ORACLES[key] = oracle
         return fn

@@ -32,6 +32,24 @@ def get_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str =
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    return tune(spark)
+
+
+# Runtime SQL settings the library relies on. Constraint propagation is switched off because
+# the scoring plans stack many aliased arithmetic columns, and inferring IS NOT NULL
+# constraints over them grows combinatorially in the optimizer (minutes for a 20-row top-k).
+RUNTIME_CONF = {
+    "spark.sql.constraintPropagation.enabled": "false",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings above to an existing session."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
     return spark
 
 
