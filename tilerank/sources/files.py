@@ -135,12 +135,17 @@ def bbox_overlaps(bbox: str, bounds) -> Column:
 def scan_layer(spark: SparkSession, path: str, bounds, layer: str) -> DataFrame:
     """One infrastructure layer: rows whose box overlaps the region and whose class matches.
 
-    Output ``(feature_id, geom_wkb, osm_type)``. An unknown layer name raises.
+    Output ``(feature_id, geom_wkb, osm_type)``. An unknown layer name raises. The box and class
+    predicates reach the parquet scan (nested-field pushdown).
     """
+    return select_layer(spark.read.parquet(path), bounds, layer)
+
+
+def select_layer(df: DataFrame, bounds, layer: str) -> DataFrame:
+    """The layer predicates and projection of :func:`scan_layer` on an existing DataFrame."""
     if layer not in K.LAYERS:
         raise ValueError("Invalid layer name requested.")
     _, field, values = K.LAYERS[layer]
-    df = spark.read.parquet(path)
     sel = F.col(field)
     pred = bbox_overlaps("bbox", bounds) & (sel == values[0] if len(values) == 1 else sel.isin(*values))
     return df.where(pred).select(
