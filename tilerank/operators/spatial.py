@@ -154,9 +154,10 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
     a quarter of the mean spacing of the right pieces, so dense areas finish at fine levels.
     """
     carry = list(carry)
-    base = left.select(F.col(left_key).alias("_lk"), F.col(lx).alias("_x"), F.col(ly).alias("_y")).where(
-        F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    segs = right.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry)
+    base = cut_lineage(left.select(F.col(left_key).alias("_lk"), F.col(lx).alias("_x"), F.col(ly).alias("_y")).where(
+        F.col("_x").isNotNull() & F.col("_y").isNotNull()))
+    # the right side is scanned once per level: materialise its (projected) segments once
+    segs = cut_lineage(right.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry))
     ext = segs.agg(F.count(F.lit(1)).alias("n"), F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
                    F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y1")).first()
     lext = base.agg(F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1")).first()
@@ -174,7 +175,7 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
         cell_m = max(math.sqrt(area / ext["n"]) / 4.0, 1.0)
     s0 = float(cell_m)
     # pieces only decide which cells a segment is indexed in; distances use the whole segment
-    pieces = _split_pieces(segs, s0, ["_rk", *carry])
+    pieces = cut_lineage(_split_pieces(segs, s0, ["_rk", *carry]))
     resolved_parts = []
     todo = base
     level = 0

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.geo import mean_longitude_zone, with_lonlat, with_utm
 from ..operators.graph import connected_components
+from ..session import cut_lineage
 from ..operators.spatial import join_within_radius, nearest_feature
 from ..sources.files import bbox_filter, layer_segments, select_layer
 
@@ -99,7 +100,7 @@ def dissolve_sites(clustered: DataFrame, zone=None) -> DataFrame:
     )
     cent = clustered.select("cluster_id", "x", "y").distinct().groupBy("cluster_id").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
     sites = stats.join(cent, "cluster_id")
-    return with_lonlat(sites, zone).drop("x", "y")
+    return cut_lineage(with_lonlat(sites, zone).drop("x", "y"))
 
 
 def layer_tables_from_fixtures(spark: SparkSession, sf_dir: str, layers) -> dict[str, DataFrame]:
