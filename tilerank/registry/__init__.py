@@ -37,4 +37,4 @@ def register(key: str, oracle: str | None = None):
 
 
 def load_all() -> None:
-    from . import scans, filters, joins, clusters, aggregates, windows, scalars, models, composites  # noqa: F401
+    from . import scans, filters, joins, clusters, raster, aggregates, windows, scalars, models, composites  # noqa: F401
