@@ -145,11 +145,11 @@ def score(src: str, name: str) -> list[tuple[str, str]]:
         (f"{name}_4", f"""SELECT *, {abat} AS indicative_abatement_tco2e_yr, {opex} AS indicative_opex_saving_usd,
             {resid} AS underperformance_residual, {ess} AS essential_service_weight FROM {name}_3"""),
         (f"{name}_5", f"SELECT *, {raw_sql('logistics_difficulty')} AS _raw FROM {name}_4"),
-        (name, f"""SELECT * EXCLUDE (_raw),
+        (name, f"""SELECT t.* EXCLUDE (_raw),
             CASE WHEN b.hi = b.lo THEN {d(50.0)} ELSE round(((_raw - b.lo) / (b.hi - b.lo)) * {d(100.0)}, 2) END AS priority_score,
             CASE WHEN indicative_abatement_tco2e_yr > 0 THEN population_total / indicative_abatement_tco2e_yr ELSE {d(0.0)} END
               AS people_connected_per_tonne_co2
-            FROM {name}_5 CROSS JOIN (SELECT min(_raw) AS lo, max(_raw) AS hi FROM {name}_5) b"""),
+            FROM {name}_5 t CROSS JOIN (SELECT min(_raw) AS lo, max(_raw) AS hi FROM {name}_5) b"""),
     ]
 
 

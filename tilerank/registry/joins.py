@@ -50,16 +50,22 @@ _TOWER_COLS = ["distance_to_power_m", "distance_to_road_m", "distance_to_amenity
 _TX, _TY = utm_sql("longitude", "latitude", "(SELECT zone FROM z)")
 
 
-def _nearest_tower_sql() -> str:
+def nearest_tower_ctes(tiles: str = "fx_tiles") -> list[tuple[str, str]]:
+    """CTEs ending in ``nt(site_id, distance_to_nearest_tower, cluster_id, tower columns...)`` (brute force)."""
     carry = ", ".join(f"w.{c} AS {c}" for c in _TOWER_COLS)
-    return C.render(["fx_tiles", "fx_antennas", "fx_towers"], [
-        ("z", f"SELECT {zone_sql('fx_tiles')} AS zone"),
-        ("tp", f"SELECT site_id, {_TX} AS x, {_TY} AS y FROM fx_tiles"),
+    return [
+        ("z", f"SELECT {zone_sql(tiles)} AS zone"),
+        ("tp", f"SELECT site_id, {_TX} AS x, {_TY} AS y FROM {tiles}"),
         ("wp", f"SELECT *, {_TX} AS x, {_TY} AS y FROM fx_towers"),
         ("best", f"""SELECT t.site_id, min({{'d': sqrt((w.x - t.x) * (w.x - t.x) + (w.y - t.y) * (w.y - t.y)), 'k': w.cluster_id}}) AS b
             FROM tp t, wp w GROUP BY t.site_id"""),
-    ], f"""SELECT b.site_id, round(b.b.d, 3) AS distance_to_nearest_tower, b.b.k AS cluster_id, {carry}
-        FROM best b JOIN fx_towers w ON w.cluster_id = b.b.k""")
+        ("nt", f"""SELECT b.site_id, round(b.b.d, 3) AS distance_to_nearest_tower, b.b.k AS cluster_id, {carry}
+            FROM best b JOIN fx_towers w ON w.cluster_id = b.b.k"""),
+    ]
+
+
+def _nearest_tower_sql() -> str:
+    return C.render(["fx_tiles", "fx_antennas", "fx_towers"], nearest_tower_ctes(), "SELECT * FROM nt")
 
 
 @register("nearest_tower", _nearest_tower_sql())
