@@ -10,7 +10,7 @@ from .. import constants as K
 from ..operators.raster import zonal_stats
 from ..operators.rank import global_row_number, sample_rows
 from ..operators.spatial import join_within_polygon
-from ..operators.tables import engineer_features, impute_domain, merge_env, rename_zonal_v1, select_features
+from ..operators.tables import engineer_features, impute_domain, rename_zonal_v1, select_features
 from ..session import cut_lineage
 from .matrix import build_master_matrix
 from .model import model_and_drivers
@@ -74,4 +74,5 @@ def zonal_v1(tiles: DataFrame, edges: DataFrame, pixels: DataFrame, region: str,
     cohort = global_row_number(sample, [F.col("_h"), F.col("site_id")], "_rn").drop("_h")
     cohort = cohort.withColumn("site_id", (F.col("_rn") - 1).cast("string")).drop("_rn")
     env = zonal_stats(cohort, pixels, list(bands), radius_m)
-    return rename_zonal_v1(merge_env(cohort, env))
+    # the earlier flow merges whatever came back (possibly nothing) instead of raising
+    return rename_zonal_v1(cohort.join(env, "site_id", "inner"))
