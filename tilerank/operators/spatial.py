@@ -151,11 +151,13 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
     3 x 3 block. A point whose best distance is at most ``s_k`` is final, because every location
     within ``s_k`` of it lies inside that block. Unresolved points go to the next level; at the
     level where ``s_k`` exceeds the extent of both sides every point resolves. ``s0`` defaults to
-    a quarter of the mean spacing of the right pieces, so dense areas finish at fine levels.
+    the mean spacing of the right segments (about one per cell): with uniform data about 95 % of
+    the points finish at level 0, and a dense area costs candidates in proportion to its local
+    density only.
     """
     carry = list(carry)
-    base = cut_lineage(left.select(F.col(left_key).alias("_lk"), F.col(lx).alias("_x"), F.col(ly).alias("_y")).where(
-        F.col("_x").isNotNull() & F.col("_y").isNotNull()))
+    base0 = cut_lineage(left.select(F.col(left_key).alias("_lk"), F.col(lx).alias("_x"), F.col(ly).alias("_y")))
+    base = base0.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
     # the right side is scanned once per level: materialise its (projected) segments once
     segs = cut_lineage(right.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry))
     ext = segs.agg(F.count(F.lit(1)).alias("n"), F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
@@ -163,7 +165,7 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
     lext = base.agg(F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1")).first()
     out_cols = [F.col(left_key)] + [F.lit(None).cast("double").alias(dist_col)]
     if not ext["n"] or lext["x0"] is None:
-        empty = left.select(F.col(left_key)).withColumn(dist_col, F.lit(None).cast("double"))
+        empty = base0.select(F.col("_lk").alias(left_key)).distinct().withColumn(dist_col, F.lit(None).cast("double"))
         empty = empty.withColumn(right_key, F.lit(None).cast(right.schema[right_key].dataType))
         for c in carry:
             empty = empty.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
@@ -172,7 +174,7 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
     diag = math.hypot(*span) + 1.0
     if cell_m is None:
         area = max((ext["x1"] - ext["x0"]) * (ext["y1"] - ext["y0"]), 1.0)
-        cell_m = max(math.sqrt(area / ext["n"]) / 4.0, 1.0)
+        cell_m = max(math.sqrt(area / ext["n"]), 1.0)
     s0 = float(cell_m)
     # pieces only decide which cells a segment is indexed in; distances use the whole segment
     pieces = cut_lineage(_split_pieces(segs, s0, ["_rk", *carry]))
@@ -202,7 +204,7 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
         res = res.unionByName(p)
     res = res.select(F.col("_lk").alias(left_key), F.col("_dmin").alias(dist_col), *[F.col(f"_best.{c}").alias(c) for c in ["_rk", *carry]])
     res = res.withColumnRenamed("_rk", right_key)
-    keys = left.select(left_key).distinct()
+    keys = base0.select(F.col("_lk").alias(left_key)).distinct()
     return keys.join(res, left_key, "left")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -118,13 +119,20 @@ def nearest_all_layers(sites: DataFrame, layers: Mapping[str, DataFrame], key: s
     """``distance_to_{power,road,amenity,tier1_hub}_m`` in UTM metres (zone of the sites' mean
     longitude) from each site to the nearest geometry of each layer; an empty layer gives NULL."""
     zone = mean_longitude_zone(sites)
-    sp = with_utm(sites, zone)
-    out = sites
-    for lay, segs in layers.items():
+    sp = cut_lineage(with_utm(sites, zone).select(key, "x", "y"))
+
+    def one(item):
+        lay, segs = item
         name = f"distance_to_{K.LAYERS[lay][0]}_m"
         s = with_utm(with_utm(segs, zone, "lon1", "lat1", "x1", "y1"), zone, "lon2", "lat2", "x2", "y2")
         s = s.select(F.col("feature_id"), "x1", "y1", "x2", "y2")
-        near = nearest_feature(sp.select(key, "x", "y"), s, key, "feature_id", dist_col=name)
+        return name, nearest_feature(sp, s, key, "feature_id", dist_col=name)
+
+    # the layers are independent searches: submit them concurrently
+    with ThreadPoolExecutor(max_workers=max(1, len(layers))) as ex:
+        results = list(ex.map(one, layers.items()))
+    out = sites
+    for name, near in results:
         out = out.join(near.select(key, name), key, "left")
     return out
 
