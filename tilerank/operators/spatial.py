@@ -148,7 +148,9 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
 
     Level k uses square cells of side ``s_k = s0 * 2**k``. Right pieces (segments cut to at most
     ``s0``) are indexed by the cells their boxes touch; each unresolved left point looks at its
-    3 x 3 block. A point whose best distance is at most ``s_k`` is final, because every location
+    3 x 3 block (or, when the right side is the smaller one, every piece is spread over the 3 x 3
+    block of its cells and each point looks at its own cell only: the same pairs, but the larger
+    side is not multiplied). A point whose best distance is at most ``s_k`` is final, because every location
     within ``s_k`` of it lies inside that block. Unresolved points go to the next level; at the
     level where ``s_k`` exceeds the extent of both sides every point resolves. ``s0`` defaults to
     the mean spacing of the right segments (about one per cell): with uniform data about 95 % of
@@ -162,7 +164,9 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
     segs = cut_lineage(right.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry))
     ext = segs.agg(F.count(F.lit(1)).alias("n"), F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
                    F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y1")).first()
-    lext = base.agg(F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1")).first()
+    lext = base.agg(F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1"),
+                    F.count(F.lit(1)).alias("n")).first()
+    base_count = lext["n"]
     out_cols = [F.col(left_key)] + [F.lit(None).cast("double").alias(dist_col)]
     if not ext["n"] or lext["x0"] is None:
         empty = base0.select(F.col("_lk").alias(left_key)).distinct().withColumn(dist_col, F.lit(None).cast("double"))
@@ -182,10 +186,18 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
     todo = base
     level = 0
     best = F.min_by(F.struct(*[F.col(c) for c in ["_rk", *carry]]), F.struct(F.col("_d"), F.col("_rk")))
+    n_pieces = pieces.count()
     while True:
         s = s0 * (2 ** level)
         index = _explode_cells(pieces, ["_rk", *carry, "x1", "y1", "x2", "y2"], "_pxmin", "_pymin", "_pxmax", "_pymax", s)
-        probe = _block3(todo.withColumns({"_ci0": F.floor(F.col("_y") / s), "_cj0": F.floor(F.col("_x") / s)}), "_ci0", "_cj0", "ci", "cj")
+        cells = todo.withColumns({"ci": F.floor(F.col("_y") / s), "cj": F.floor(F.col("_x") / s)})
+        n_todo = base_count if level == 0 else todo.count()
+        if n_pieces <= n_todo:
+            # fewer right pieces than open points: spread the pieces over the 3 x 3 block instead
+            probe = cells
+            index = _block3(index.withColumnsRenamed({"ci": "_ci0", "cj": "_cj0"}), "_ci0", "_cj0", "ci", "cj")
+        else:
+            probe = _block3(cells.withColumnsRenamed({"ci": "_ci0", "cj": "_cj0"}), "_ci0", "_cj0", "ci", "cj")
         pairs = probe.join(index, ["ci", "cj"], "inner").withColumn(
             "_d", point_segment_distance("_x", "_y", "x1", "y1", "x2", "y2"))
         found = pairs.groupBy("_lk").agg(F.min("_d").alias("_dmin"), best.alias("_best"))
