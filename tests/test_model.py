@@ -39,3 +39,12 @@ def test_every_row_predicted_and_contributions_add_up(prepared):
     drv = top_driver(prepared, model, feats).join(pred, "site_id")
     err = drv.select(F.max(F.abs(F.col("shap_base") + F.col("shap_sum") - F.col("predicted_download_kbps")))).first()[0]
     assert err < 1e-6
+
+
+def test_fit_gbt_query_reports_every_tree(spark, sf_dir):
+    import __spark_entry__ as E
+
+    rows = E.queries()["fit_gbt"](spark, sf_dir).collect()
+    assert len(rows) == K.GBT_PARAMS["maxIter"]
+    w = sorted((r["treeID"], r["tree_weight"]) for r in rows)
+    assert w[0][1] == 1.0 and all(x[1] == pytest.approx(K.GBT_PARAMS["stepSize"]) for x in w[1:])

@@ -70,7 +70,8 @@ def fit_gbt(spark, sf_dir):
     nodes = spark.read.parquet(f"{path}/data")
     per_tree = nodes.groupBy("treeID").agg(F.count(F.lit(1)).alias("n_nodes"),
                                            F.count_if(F.col("nodeData.leftChild") < 0).alias("n_leaves"))
-    weights = spark.read.parquet(f"{path}/treesMetadata").select("treeID", F.col("weights").alias("tree_weight"))
+    meta = spark.read.parquet(f"{path}/treesMetadata")  # columns: tree id, metadata json, weight
+    weights = meta.select(F.col(meta.columns[0]).cast("int").alias("treeID"), F.col(meta.columns[-1]).cast("double").alias("tree_weight"))
     return per_tree.join(weights, "treeID")
 
 
