@@ -214,3 +214,14 @@ def test_divide_numpy_semantics(spark):
     r = spark.range(1).select(S.divide(F.lit(1.0), F.lit(0.0)).alias("a"), S.divide(F.lit(-1.0), F.lit(0.0)).alias("b"),
                               S.divide(F.lit(0.0), F.lit(0.0)).alias("c")).first()
     assert r["a"] == float("inf") and r["b"] == float("-inf") and r["c"] is None
+
+
+def test_nan_becomes_null_at_ingest(spark, tmp_path):
+    import pandas as pd
+
+    from tilerank.sources.files import scan_matrix
+
+    p = str(tmp_path / "m.parquet")
+    pd.DataFrame({"site_id": ["a", "b"], "elevation_m": [float("nan"), 3.0]}).to_parquet(p)
+    r = {x["site_id"]: x["elevation_m"] for x in scan_matrix(spark, p).collect()}
+    assert r["a"] is None and r["b"] == 3.0

@@ -55,7 +55,7 @@ def bbox_filter(lon: Column | str, lat: Column | str, bounds) -> Column:
 
 def scan_tiles(spark: SparkSession, path: str, bounds) -> DataFrame:
     """Speed-test tiles inside an inclusive box, renamed to the matrix vocabulary."""
-    return (
+    return nan_to_null(
         spark.read.parquet(path)
         .where(bbox_filter("tile_x", "tile_y", bounds))
         .select(
@@ -184,9 +184,16 @@ def matrix_path(directory: str, region: str, stem: str = "priority_matrix") -> s
     return os.path.join(directory, f"{stem}_{region.lower().replace(' ', '_')}.parquet")
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """Floating columns: NaN -> NULL (NULL is the only missing marker inside the library; Spark
+    orders NaN above every number, which would corrupt maxima and threshold comparisons)."""
+    fl = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast(df.schema[c].dataType)) for c in fl}) if fl else df
+
+
 def scan_matrix(spark: SparkSession, path: str) -> DataFrame:
-    """Read a stored feature or scored matrix (missing file -> error raised by the reader)."""
-    return spark.read.parquet(path)
+    """Read a stored feature or scored matrix (missing file -> error raised by the reader); NaN -> NULL."""
+    return nan_to_null(spark.read.parquet(path))
 
 
 def points_from_xy(lon: str = "longitude", lat: str = "latitude") -> Column:
