@@ -10,6 +10,7 @@ from ..plans import towers as TW
 from ..sources.fixtures import fixture
 from . import chain as C
 from . import register
+from .joins import _LAYER_SPECS
 from .sqltext import seg_dist_sql, unutm_sql, utm_sql
 
 MY = K.REGION_BOUNDS["Malaysia"]
@@ -93,12 +94,6 @@ def dissolve_sites(spark, sf_dir):
     return s.select(*_SITE_COLS.split(", "), F.round("longitude", 7).alias("longitude"), F.round("latitude", 7).alias("latitude"))
 
 
-_LAYER_SPECS = {
-    "power": ("fx_power", "seg", "class = 'power_line'"),
-    "roads": ("fx_roads", "seg", "class IN ('primary', 'secondary', 'tertiary', 'trunk')"),
-    "amenities": ("fx_amenities", "pt", "category IN ('school', 'hospital', 'clinic')"),
-    "tier1_hubs": ("fx_hubs", "pt", "subtype = 'locality'"),
-}
 
 
 def _tower_sites_sql() -> str:

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions import geo as G
 from ..operators import spatial as SP
 from ..operators.tables import merge_env as merge_op
 from ..plans.screening import stratified_screening, threshold_lookup as lookup
