@@ -225,3 +225,36 @@ def test_nan_becomes_null_at_ingest(spark, tmp_path):
     pd.DataFrame({"site_id": ["a", "b"], "elevation_m": [float("nan"), 3.0]}).to_parquet(p)
     r = {x["site_id"]: x["elevation_m"] for x in scan_matrix(spark, p).collect()}
     assert r["a"] is None and r["b"] == 3.0
+
+
+@pytest.mark.parametrize("shape", ["path", "hub", "random_dense"])
+def test_connected_components_shapes(spark, shape):
+    rnd = random.Random(len(shape))
+    n = 300
+    if shape == "path":
+        order = list(range(n))
+        rnd.shuffle(order)
+        edges = list(zip(order, order[1:]))
+    elif shape == "hub":
+        edges = [(150, v) for v in range(n) if v != 150 and v % 3] + [(rnd.randrange(n), rnd.randrange(n)) for _ in range(40)]
+    else:
+        edges = [(rnd.randrange(n), rnd.randrange(n)) for _ in range(900)]
+    parent = list(range(n))
+
+    def find(a):
+        while parent[a] != a:
+            parent[a] = parent[parent[a]]
+            a = parent[a]
+        return a
+
+    for a, b in edges:
+        ra, rb = find(a), find(b)
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+    comp = {}
+    for v in range(n):
+        comp.setdefault(find(v), []).append(v)
+    expect = {v: min(vs) for vs in comp.values() for v in vs}
+    nodes = spark.range(n).select(F.col("id").alias("node"))
+    got = {r["node"]: r["label"] for r in connected_components(nodes, spark.createDataFrame(edges, "src long, dst long")).collect()}
+    assert got == expect

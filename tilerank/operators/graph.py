@@ -44,10 +44,14 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
     e = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).where(F.col("u") != F.col("v"))
     e = cut_lineage(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     for _ in range(max_rounds):
-        nxt = cut_lineage(_small_star(_large_star(e)))
-        changed = nxt.exceptAll(e).limit(1).count() + e.exceptAll(nxt).limit(1).count()
-        e = nxt
-        if changed == 0:
+        e = cut_lineage(_small_star(_large_star(e)))
+        # Both star operations emit edges (larger -> smaller). The labels are final exactly when
+        # the graph is a set of stars: every node has at most one outgoing edge and no edge points
+        # at a node that itself has an outgoing edge (a depth-1 forest rooted at the minima).
+        children = e.select(F.col("u").alias("v")).distinct()
+        deep = e.join(children, "v", "left_semi").limit(1).count()
+        multi = 0 if deep else e.groupBy("u").count().where(F.col("count") > 1).limit(1).count()
+        if deep == 0 and multi == 0:
             break
     else:
         raise RuntimeError("connected components did not converge")
