@@ -36,6 +36,7 @@ def exact_quantiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     accuracy: int = DEFAULT_ACCURACY,
+    count_name: str | None = None,
 ) -> DataFrame:
     """Per group in ``by`` (or globally), one column per probability (NULLs ignored).
 
@@ -102,15 +103,18 @@ def exact_quantiles(
         F.max(F.when(hit0, F.col("_v"))).alias("_v0"),
         F.max(F.when(hit1, F.col("_v"))).alias("_v1"),
         F.first("_k").alias("_k"),
+        F.first("_n").alias("_n"),
     )
     frac = F.col("_k") - F.floor("_k")
     checked = F.when(
         F.col("_v0").isNull() | F.col("_v1").isNull(),
         F.raise_error(F.lit("exact_quantiles: bracket did not enclose the target rank")),
     ).otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * frac)
-    values = picked.select(*by, "_i", checked.cast("double").alias("_q"))
-    out = values.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(names[i]) for i in range(m)])
-    return out
+    values = picked.select(*by, "_i", F.col("_n"), checked.cast("double").alias("_q"))
+    aggs = [F.max(F.when(F.col("_i") == i, F.col("_q"))).alias(names[i]) for i in range(m)]
+    if count_name:
+        aggs.append(F.max("_n").alias(count_name))
+    return values.groupBy(*by).agg(*aggs)
 
 
 def _attach_small(base: DataFrame, brackets: DataFrame) -> DataFrame:
@@ -138,12 +142,10 @@ def global_quantiles(df: DataFrame, value: str, probs: Sequence[float], accuracy
     plan carries literals instead of re-running the quantile jobs inside every subquery.
     """
     names = [f"q{i}" for i in range(len(probs))]
-    n = df.select(F.count(F.col(value)).alias("n"))
-    row = exact_quantiles(df, value, probs, names=names, accuracy=accuracy).collect()
-    count = n.first()["n"]
+    row = exact_quantiles(df, value, probs, names=names, accuracy=accuracy, count_name="_n").collect()
     if not row:
-        return [None] * len(probs), count
-    return [row[0][c] for c in names], count
+        return [None] * len(probs), 0
+    return [row[0][c] for c in names], row[0]["_n"]
 
 
 def scalar_row(df: DataFrame):

@@ -38,11 +38,10 @@ def stratified_screening(df: DataFrame) -> DataFrame:
     all tiles are kept. With no evidence tile at all, the stratum is NULL and no tile is flagged.
     """
     valid = df.where(has_evidence())
-    stats = valid.agg(F.count(F.lit(1)).alias("n")).first()
-    if stats["n"] == 0:
+    (c0, c1), n_pop = global_quantiles(valid, "population_total", list(K.POPULATION_QUANTILES))
+    if n_pop == 0 and valid.isEmpty():
         stratum = F.lit(None).cast("string")
     else:
-        (c0, c1), _ = global_quantiles(valid, "population_total", list(K.POPULATION_QUANTILES))
         stratum = assign_stratum("population_total", F.lit(c0).cast("double"), F.lit(c1).cast("double"))
     stratified = df.withColumn("demographic_stratum", stratum)
     thresholds = stratum_thresholds(stratified.where(has_evidence()))
