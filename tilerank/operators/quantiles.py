@@ -143,7 +143,8 @@ def global_quantiles(df: DataFrame, value: str, probs: Sequence[float], accuracy
     """
     names = [f"q{i}" for i in range(len(probs))]
     row = exact_quantiles(df, value, probs, names=names, accuracy=accuracy, count_name="_n").collect()
-    if not row:
+    # a global aggregate over no rows still yields one all-NULL row
+    if not row or row[0]["_n"] is None:
         return [None] * len(probs), 0
     return [row[0][c] for c in names], row[0]["_n"]
 

@@ -39,7 +39,7 @@ def stratified_screening(df: DataFrame) -> DataFrame:
     """
     valid = df.where(has_evidence())
     (c0, c1), n_pop = global_quantiles(valid, "population_total", list(K.POPULATION_QUANTILES))
-    if n_pop == 0 and valid.isEmpty():
+    if n_pop == 0 and valid.isEmpty():  # no evidence tile at all
         stratum = F.lit(None).cast("string")
     else:
         stratum = assign_stratum("population_total", F.lit(c0).cast("double"), F.lit(c1).cast("double"))
