@@ -44,9 +44,17 @@ def stratified_screening(df: DataFrame) -> DataFrame:
     else:
         stratum = assign_stratum("population_total", F.lit(c0).cast("double"), F.lit(c1).cast("double"))
     stratified = df.withColumn("demographic_stratum", stratum)
-    thresholds = stratum_thresholds(stratified.where(has_evidence()))
-    flagged = stratified.join(F.broadcast(thresholds), "demographic_stratum", "left")
-    return flagged.withColumn("is_underserved_target", flag_underserved(threshold="threshold")).drop("threshold").select(
+    # at most three strata: fetch their thresholds and apply them as a CASE expression, so the
+    # final plan is one narrow pass over the tiles (no join, no re-scan inside the plan)
+    thr = {r["demographic_stratum"]: r["threshold"] for r in stratum_thresholds(stratified.where(has_evidence())).collect()}
+    threshold = None
+    for name, value in thr.items():
+        if name is None:
+            continue
+        cond = F.col("demographic_stratum") == name
+        threshold = F.when(cond, F.lit(value).cast("double")) if threshold is None else threshold.when(cond, F.lit(value).cast("double"))
+    threshold = F.lit(None).cast("double") if threshold is None else threshold
+    return stratified.withColumn("is_underserved_target", flag_underserved(threshold=threshold)).select(
         *df.columns, "demographic_stratum", "is_underserved_target"
     )
 
