@@ -89,7 +89,9 @@ def join_within_polygon(points: DataFrame, edges: DataFrame, point_key: str = "s
     rc = rc.where((F.col("y1") > F.col("_ym")) != (F.col("y2") > F.col("_ym"))).select(
         "_f", "ci", (F.col("x1") + (F.col("_ym") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("_x"),
         F.lit(1).alias("_is_x"), F.lit(None).cast("bigint").alias("cj"))
-    needed = cand.select("_f", "ci", "cj").distinct()
+    # cells that need a status: from the distinct point cells (small), so the large point table is
+    # joined to the feature cells only once, in the main branch below
+    needed = pts.select("ci", "cj").distinct().join(fcells.select("_f", "ci", "cj"), ["ci", "cj"], "inner").select("_f", "ci", "cj")
     marks = needed.select("_f", "ci", ((F.col("cj") + 1) * g).alias("_x"), F.lit(0).alias("_is_x"), "cj")
     w = Window.partitionBy("_f", "ci").orderBy(F.col("_x").desc(), F.col("_is_x").asc()).rowsBetween(Window.unboundedPreceding, 0)
     status = rc.unionByName(marks).withColumn("_cum", F.sum("_is_x").over(w)).where(F.col("_is_x") == 0).select(
