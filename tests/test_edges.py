@@ -195,6 +195,7 @@ def test_connected_components_against_union_find(spark):
 
 def test_wkb_round_trip():
     assert wkb_to_segments(encode_point(1.5, 2.5)) == [(0, 0, 0, 1.5, 2.5, 1.5, 2.5)]
+    assert wkb_to_segments(encode_point(1.5, 2.5), with_kind=True)[0][0] == "point"
     segs = wkb_to_segments(encode_linestring([(0, 0), (1, 0), (1, 1)]))
     assert [s[2:] for s in segs] == [(0, 0.0, 0.0, 1.0, 0.0), (1, 1.0, 0.0, 1.0, 1.0)]
     poly = wkb_to_segments(encode_polygon([[(0, 0), (1, 0), (1, 1), (0, 0)], [(0.2, 0.2), (0.3, 0.2), (0.2, 0.3), (0.2, 0.2)]]))
@@ -258,3 +259,14 @@ def test_connected_components_shapes(spark, shape):
     nodes = spark.range(n).select(F.col("id").alias("node"))
     got = {r["node"]: r["label"] for r in connected_components(nodes, spark.createDataFrame(edges, "src long, dst long")).collect()}
     assert got == expect
+
+
+def test_polygon_layer_distance_is_zero_inside(spark):
+    from tilerank.sources.files import layer_segments
+
+    ring = [(101.0, 3.0), (101.1, 3.0), (101.1, 3.1), (101.0, 3.1), (101.0, 3.0)]
+    layer = spark.createDataFrame([("p1", "school", bytearray(encode_polygon([ring])))], "feature_id string, osm_type string, geom_wkb binary")
+    segs = layer_segments(layer)
+    sites = spark.createDataFrame([(1, 101.05, 3.05), (2, 101.2, 3.05)], "cluster_id long, longitude double, latitude double")
+    got = {r["cluster_id"]: r["distance_to_amenity_m"] for r in nearest_all_layers(sites, {"amenities": segs}).collect()}
+    assert got[1] == 0.0 and 10000.0 < got[2] < 12000.0

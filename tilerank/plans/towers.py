@@ -13,7 +13,7 @@ from .. import constants as K
 from ..functions.geo import mean_longitude_zone, with_lonlat, with_utm
 from ..operators.graph import connected_components
 from ..session import cut_lineage
-from ..operators.spatial import join_within_radius, nearest_feature
+from ..operators.spatial import join_within_polygon, join_within_radius, nearest_feature
 from ..sources.files import bbox_filter, layer_segments, select_layer
 
 
@@ -125,8 +125,17 @@ def nearest_all_layers(sites: DataFrame, layers: Mapping[str, DataFrame], key: s
         lay, segs = item
         name = f"distance_to_{K.LAYERS[lay][0]}_m"
         s = with_utm(with_utm(segs, zone, "lon1", "lat1", "x1", "y1"), zone, "lon2", "lat2", "x2", "y2")
-        s = s.select(F.col("feature_id"), "x1", "y1", "x2", "y2")
-        return name, nearest_feature(sp, s, key, "feature_id", dist_col=name)
+        near = nearest_feature(sp, s.select(F.col("feature_id"), "x1", "y1", "x2", "y2"), key, "feature_id", dist_col=name)
+        if "kind" in segs.columns:
+            # a site inside a polygon feature is at distance 0 from it (the edges only give the
+            # distance to its boundary)
+            rings = segs.where(F.col("kind") == "ring").select("feature_id", "lon1", "lat1", "lon2", "lat2")
+            if not rings.isEmpty():
+                inside = join_within_polygon(sites.select(key, "longitude", "latitude"), rings, point_key=key,
+                                             feature="feature_id").select(key).distinct().withColumn("_in", F.lit(True))
+                near = near.join(inside, key, "left").withColumn(
+                    name, F.when(F.col("_in"), F.lit(0.0)).otherwise(F.col(name))).drop("_in")
+        return name, near
 
     # the layers are independent searches: submit them concurrently
     with ThreadPoolExecutor(max_workers=max(1, len(layers))) as ex:

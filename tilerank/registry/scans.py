@@ -74,7 +74,7 @@ for _key, _layer in (("layer_power", "power"), ("layer_roads", "roads"), ("layer
 
 
 @register("layer_segments", with_fixtures(
-    """SELECT 'roads:' || CAST(feature_id AS VARCHAR) AS feature_id, class AS osm_type, 0 AS part, 0 AS ring, CAST(seg AS INTEGER) AS seg,
+    """SELECT 'roads:' || CAST(feature_id AS VARCHAR) AS feature_id, class AS osm_type, 'line' AS kind, 0 AS part, 0 AS ring, CAST(seg AS INTEGER) AS seg,
     lon1, lat1, lon2, lat2 FROM fx_roads WHERE class IN ('primary', 'secondary', 'tertiary', 'trunk')""", ["fx_roads"]))
 def layer_segments(spark, sf_dir):
     path = write_layer_parquet(spark, sf_dir, "roads", scratch_path(spark, "layer_roads"))

@@ -20,6 +20,7 @@ SEGMENT_SCHEMA = T.StructType(
     [
         T.StructField("feature_id", T.StringType()),
         T.StructField("osm_type", T.StringType()),
+        T.StructField("kind", T.StringType()),
         T.StructField("part", T.IntegerType()),
         T.StructField("ring", T.IntegerType()),
         T.StructField("seg", T.IntegerType()),
@@ -38,7 +39,8 @@ def _read_points(buf: bytes, off: int, n: int, fmt: str, dims: int):
 
 
 def _geometry(buf: bytes, off: int = 0):
-    """Parse one WKB geometry; yields (part, ring, [points]) lists and returns the end offset."""
+    """Parse one WKB geometry into ``(kind, part, ring, [points])`` tuples (kind: point, line or
+    ring) and return them with the end offset."""
     fmt = "<" if buf[off] == 1 else ">"
     (gtype,) = struct.unpack_from(fmt + "I", buf, off + 1)
     off += 5
@@ -55,38 +57,40 @@ def _geometry(buf: bytes, off: int = 0):
     if gtype == 1:
         xy, off = _read_points(buf, off, 1, fmt, dims)
         if not any(np.isnan(v) for v in xy[0]):
-            out.append((0, 0, xy))
+            out.append(("point", 0, 0, xy))
     elif gtype == 2:
         (n,) = struct.unpack_from(fmt + "I", buf, off)
         xy, off = _read_points(buf, off + 4, n, fmt, dims)
-        out.append((0, 0, xy))
+        out.append(("line", 0, 0, xy))
     elif gtype == 3:
         (nr,) = struct.unpack_from(fmt + "I", buf, off)
         off += 4
         for r in range(nr):
             (n,) = struct.unpack_from(fmt + "I", buf, off)
             xy, off = _read_points(buf, off + 4, n, fmt, dims)
-            out.append((0, r, xy))
+            out.append(("ring", 0, r, xy))
     elif gtype in (4, 5, 6, 7):
         (np_,) = struct.unpack_from(fmt + "I", buf, off)
         off += 4
         for p in range(np_):
             sub, off = _geometry(buf, off)
-            out.extend((p, ring, xy) for (_, ring, xy) in sub)
+            out.extend((kind, p, ring, xy) for (kind, _, ring, xy) in sub)
     else:
         raise ValueError(f"unsupported WKB geometry type {gtype}")
     return out, off
 
 
-def wkb_to_segments(blob: bytes) -> list[tuple[int, int, int, float, float, float, float]]:
-    """Segments ``(part, ring, seg, x1, y1, x2, y2)``; a point becomes one zero-length segment."""
+def wkb_to_segments(blob: bytes, with_kind: bool = False) -> list[tuple]:
+    """Segments ``(part, ring, seg, x1, y1, x2, y2)`` (``kind`` first when asked); a point becomes
+    one zero-length segment."""
     rows = []
     parts, _ = _geometry(bytes(blob))
-    for part, ring, xy in parts:
+    for kind, part, ring, xy in parts:
+        head = (kind, part, ring) if with_kind else (part, ring)
         if len(xy) == 1:
-            rows.append((part, ring, 0, xy[0][0], xy[0][1], xy[0][0], xy[0][1]))
+            rows.append(head + (0, xy[0][0], xy[0][1], xy[0][0], xy[0][1]))
         for i in range(len(xy) - 1):
-            rows.append((part, ring, i, xy[i][0], xy[i][1], xy[i + 1][0], xy[i + 1][1]))
+            rows.append(head + (i, xy[i][0], xy[i][1], xy[i + 1][0], xy[i + 1][1]))
     return rows
 
 
@@ -99,8 +103,8 @@ def decode_segments(batches: Iterator[pd.DataFrame], id_col: str, type_col: str,
             if blob is None:
                 continue
             fid = None if fid is None else str(fid)
-            for part, ring, seg, x1, y1, x2, y2 in wkb_to_segments(blob):
-                out.append((fid, otype, part, ring, seg, x1, y1, x2, y2))
+            for kind, part, ring, seg, x1, y1, x2, y2 in wkb_to_segments(blob, with_kind=True):
+                out.append((fid, otype, kind, part, ring, seg, x1, y1, x2, y2))
         frame = pd.DataFrame(out, columns=cols)
         for c in ("part", "ring", "seg"):
             frame[c] = frame[c].astype("int32")
