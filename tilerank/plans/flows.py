@@ -51,14 +51,15 @@ def national_ranking(tiles: DataFrame, towers: DataFrame, env: DataFrame, edges:
 
 
 def rescore_stored_matrix(matrix: DataFrame, **model_params) -> DataFrame:
-    """The same ranking from a stored matrix (no driver mask)."""
-    drop = [c for c in ("demographic_stratum", "is_underserved_target") if c in matrix.columns]
-    base = matrix
-    if drop and "is_underserved_target" in matrix.columns:
-        # the stored matrix already carries the screening result: keep it, redo the rest
+    """The same ranking from a stored matrix (no driver mask).
+
+    A stored matrix normally carries the screening result (stratum and flag) and is only imputed
+    and extended with the engineered features; one without it is screened first.
+    """
+    if "is_underserved_target" in matrix.columns:
         prepared = cut_lineage(engineer_features(impute_domain(matrix)))
     else:
-        prepared = cut_lineage(prepare_matrix(base))
+        prepared = cut_lineage(prepare_matrix(matrix))
     feats, target = select_features(prepared)
     modeled = model_and_drivers(prepared, feats, target, **model_params)
     return govern_score_rank(cut_lineage(modeled), mask=False)

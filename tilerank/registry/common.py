@@ -4,18 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.screening import spatial_block
 from ..operators.tables import engineer_features, impute_domain
+from ..plans.model import with_blocks
 from ..plans.ranking import apply_confidence_tier, score_matrix, split_by_tier
 from ..plans.screening import stratified_screening
 from ..sources.fixtures import fixture
 
 
-def with_blocks(df: DataFrame) -> DataFrame:
-    lat_b, lon_b, blk = spatial_block()
-    return df.withColumns({"lat_block": lat_b, "lon_block": lon_b, "spatial_block": blk})
-
-
 def fx_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fx_matrix -> screening -> imputation -> features -> spatial blocks."""
     m = fixture(spark, sf_dir, "fx_matrix")
