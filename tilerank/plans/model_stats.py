@@ -71,3 +71,14 @@ def describe_by(df: DataFrame, col: str, by: str | None = None) -> DataFrame:
         return stats.join(qs, keys, "left")
     r = qs.first()
     return stats.withColumns({c: F.lit(r[c] if r else None).cast("double") for c in ("p25", "p50", "p75")})
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """One row per column: name, Spark type and non-NULL count (one aggregation, then a stack)."""
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)])
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
+                 F.col(f"c{i}").cast("bigint").alias("non_null"))
+        for i, c in enumerate(df.columns)
+    ])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")

@@ -125,3 +125,15 @@ def count_flags(spark, sf_dir):
 def dedupe_group_all(spark, sf_dir):
     t = fixture(spark, sf_dir, "fx_tiles")
     return dedupe_rows(t.unionByName(t))
+
+
+_PREP_COLS = C.FX_MATRIX_COLUMNS + ["demographic_stratum", "is_underserved_target", "congestion_proxy", "pct_4g_5g",
+                                    "lat_block", "lon_block", "spatial_block"]
+
+
+@register("profile_columns", C.render(["fx_matrix"], PREP, " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count({c}) AS BIGINT) AS non_null FROM m_prep" for c in _PREP_COLS)))
+def profile_columns(spark, sf_dir):
+    """Per-column non-NULL counts of the prepared matrix (the column part of the matrix profile)."""
+    prof = M.column_profile(fx_prepared(spark, sf_dir).select(*_PREP_COLS))
+    return prof.select("column_name", "non_null")
