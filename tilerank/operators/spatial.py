@@ -63,7 +63,9 @@ def join_within_polygon(points: DataFrame, edges: DataFrame, point_key: str = "s
     * a point p in cell (i, j) walks p -> (px, y_mid) -> (right border, y_mid); only edges
       touching the cell can cross that path, so p's parity is the cell status XOR the crossings
       of the path with the cell's edges; cells without edges need no edge work at all;
-    * a point exactly on an edge is removed.
+    * a point exactly on an edge is removed;
+    * points in cells that no edge touches take the cell status directly (no edge join and no
+      aggregation), so only boundary cells pay for the walk.
     """
     g = float(cell_deg)
     e = edges.select(F.col(feature).alias("_f"), F.col("lon1").alias("x1"), F.col("lat1").alias("y1"),
@@ -102,21 +104,25 @@ def join_within_polygon(points: DataFrame, edges: DataFrame, point_key: str = "s
     ecell = _explode_cells(pieces, ["_f", "x1", "y1", "x2", "y2"], "_pxmin", "_pymin", "_pxmax", "_pymax", g).distinct()
 
     with_status = cand.join(status, ["_f", "ci", "cj"], "inner")
+    # points in cells that no edge touches take the cell status as it is (no edge join, no
+    # aggregation); only points in boundary cells go through the edge tests below
+    edge_keys = ecell.select("_f", "ci", "cj").distinct()
+    interior = with_status.join(edge_keys, ["_f", "ci", "cj"], "left_anti").where(F.col("_status") == 1)
+    border = with_status.join(edge_keys, ["_f", "ci", "cj"], "left_semi")
     point_cols = [c for c in with_status.columns if c not in ("_pid", "_f")]
-    touched = with_status.join(ecell, ["_f", "ci", "cj"], "left")
+    touched = border.join(ecell, ["_f", "ci", "cj"], "inner")
     px, py, xr, ym = F.col("_px"), F.col("_py"), F.col("_xr"), F.col("_ym")
     x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
-    has = x1.isNotNull()
     # vertical walk at x = px from py to ym
     v_cross = (x1 > px) != (x2 > px)
     v_y = F.when(v_cross, y1 + (px - x1) * (y2 - y1) / (x2 - x1))
-    v_hit = F.coalesce(has & v_cross & (v_y > F.least(py, ym)) & (v_y < F.greatest(py, ym)), F.lit(False))
+    v_hit = F.coalesce(v_cross & (v_y > F.least(py, ym)) & (v_y < F.greatest(py, ym)), F.lit(False))
     # horizontal walk at y = ym from px to the right border
     h_cross = (y1 > ym) != (y2 > ym)
     h_x = F.when(h_cross, x1 + (ym - y1) * (x2 - x1) / (y2 - y1))
-    h_hit = F.coalesce(has & h_cross & (h_x > px) & (h_x <= xr), F.lit(False))
+    h_hit = F.coalesce(h_cross & (h_x > px) & (h_x <= xr), F.lit(False))
     # point on the edge
-    on_edge = has & ((px - x1) * (y2 - y1) == (py - y1) * (x2 - x1)) & (px >= F.least(x1, x2)) & (px <= F.greatest(x1, x2)) \
+    on_edge = ((px - x1) * (y2 - y1) == (py - y1) * (x2 - x1)) & (px >= F.least(x1, x2)) & (px <= F.greatest(x1, x2)) \
         & (py >= F.least(y1, y2)) & (py <= F.greatest(y1, y2))
     agg = touched.groupBy("_pid", "_f").agg(
         *[F.first(c).alias(c) for c in point_cols],
@@ -124,7 +130,9 @@ def join_within_polygon(points: DataFrame, edges: DataFrame, point_key: str = "s
         F.max(F.when(on_edge, 1).otherwise(0)).alias("_on"),
     )
     inside = agg.where(((F.col("_status") + F.col("_walk")) % 2 == 1) & (F.col("_on") == 0))
-    return inside.drop("_pid", "ci", "cj", "_px", "_py", "_xr", "_ym", "_status", "_walk", "_on").withColumnRenamed("_f", feature)
+    drop = ("_pid", "ci", "cj", "_px", "_py", "_xr", "_ym", "_status", "_walk", "_on")
+    out = inside.drop(*drop).unionByName(interior.drop(*[c for c in drop if c in interior.columns]))
+    return out.withColumnRenamed("_f", feature)
 
 
 def _block3(df: DataFrame, ci0: str, cj0: str, ci: str, cj: str) -> DataFrame:
