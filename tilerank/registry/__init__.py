@@ -20,10 +20,11 @@ def register(key: str, oracle: str | None = None):
             raise ValueError(f"duplicate query key {key}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            from ..session import ensure_checkpoint_dir, tune
+            from ..session import ensure_checkpoint_dir, ship_package, tune
 
             tune(spark)
             ensure_checkpoint_dir(spark)
+            ship_package(spark)
             return fn(spark, sf_dir.rstrip("/"))
 
         run.__name__ = fn.__name__
