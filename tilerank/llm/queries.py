@@ -4,15 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, quality_rules, token_files, url_filter
+from . import inverted_multi_index, line_dedup, mixing, prob_minhash, quality_rules, suffix_dedup, token_files, toxicity, url_filter
 from .common import register, table
 
 
+@register("op1_weak_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op2_multi_index")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the rows whose vec_id is divisible by 100."""
+    rows = inverted_multi_index.valid_vectors(table(spark, sf_dir, "embeddings"))
+    return inverted_multi_index.search(rows, rows.where("vec_id % 100 = 0"))
+
+
 @register("op3_line_windows", line_dedup.ORACLE)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
+@register("op4_prob_minhash")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prob_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register("op5_url_trees")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
@@ -34,3 +51,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_source_mix")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+@register("op10_merged_transforms")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
