@@ -17,13 +17,16 @@ Defined cases: null and empty texts have size 0 and are never taken; equal rows
 
 from __future__ import annotations
 
+import itertools
+import re
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stage
+from .common import stage, text_slices
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -166,3 +169,39 @@ def taken(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     per = hit.groupBy(*keys).agg(F.coalesce(F.sum(F.when(F.col("on") == 1, F.col("words"))), F.lit(0)).alias("taken"))
     out = per.join(F.broadcast(sources.select("sid", "source", "source_size", "target")), "sid")
     return out.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def row_id(docs: DataFrame) -> DataFrame:
+    """Adds ``rid``: doc_id and text as one key, never null; equal rows share it."""
+    return docs.withColumn("rid", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.coalesce(F.md5("text"), F.lit("none"))))
+
+
+def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The mix as documents: a row per document and epoch that the scheduled blocks take words of, all columns kept, ``text`` cut to the words taken.
+
+    Placing and counting run on sizes only; texts are joined once, by ``rid``.
+    """
+    cols = docs.columns
+    rows = stage(sized(row_id(docs), ("rid",)), "mix-sizes")
+    sources = source_targets(rows)
+    keys = ["sid", "bucket", "rn", "rid", "size"]
+    got = pieces(streamed(rows, sources), keys, block).where("words > 0")
+    hit = got.join(schedule(sources, block).select("sid", "block"), ["sid", "block"])
+    per = hit.groupBy(*keys, "epoch").agg(F.sum("words").alias("w")).groupBy("rid").agg(F.collect_list(F.struct("w", "size")).alias("takes"))
+    joined = row_id(docs).join(per, "rid").groupBy("rid").agg(F.first(F.struct(*cols)).alias("d"), F.first("takes").alias("takes"))
+    out = joined.select("d.*", F.explode("takes").alias("take")).select(*cols, "take.w", "take.size")
+
+    def cut(batches):
+        for b in text_slices(batches, "text", 8 << 20):
+            texts = [t if w >= n else first_words(t, w) for t, w, n in zip(b.column("text").to_pylist(), b.column("w").to_pylist(), b.column("size").to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in cols], names=cols)
+
+    return out.mapInArrow(cut, docs.schema)
+
+
+def first_words(text: str, n: int) -> str:
+    """``text`` up to the end of its ``n``-th word."""
+    at = 0
+    for m in itertools.islice(re.finditer(WORD, text), n):
+        at = m.end()
+    return text[:at]

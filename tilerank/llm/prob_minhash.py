@@ -204,7 +204,10 @@ def _components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, ``class_id`` and ``copies`` (rows with the same text)."""
+    """One row per document: ``doc_id``, ``class_id``, ``copies`` (rows with the same text), ``key`` (the text's md5, null without words) and ``rep``.
+
+    ``rep`` marks the class's representative, the row of its smallest doc_id (rows equal in doc_id and text are all marked).
+    """
     rows = stage(signed(docs), "pmh-rows")
     nodes = stage(rows.where("key IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("node_doc"), F.first("bands").alias("bands"), F.count("*").alias("n")), "pmh-nodes")
     slots = stage(nodes.select("key", F.explode("bands").alias("bucket")), "pmh-slots")
@@ -218,10 +221,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         comps = stage(_components(links.union(rest)), "pmh-classes")
     named = nodes.select("key", "node_doc", "n").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     named = stage(named, "pmh-named")
-    ids = named.groupBy("comp").agg(F.min("node_doc").alias("class_id"), F.count("*").alias("nodes"))
-    keys = stage(join_counted(named.withColumnRenamed("n", "copies"), ids.withColumnRenamed("nodes", "n"), ["comp"]).select("key", "class_id", F.col("copies").alias("n")), "pmh-keys")
-    out = join_counted(rows.select("doc_id", "key"), keys, ["key"]).select("doc_id", "class_id", F.col("n").alias("copies"))
-    alone = rows.where("key IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("copies"))
+    first = F.min(F.struct(F.col("node_doc").isNull().alias("none"), "node_doc", "key"))
+    ids = named.groupBy("comp").agg(first.alias("first"), F.count("*").alias("nodes")).select("comp", "nodes", F.col("first.node_doc").alias("class_id"), F.col("first.key").alias("rep_key"))
+    keys = stage(join_counted(named.withColumnRenamed("n", "copies"), ids.withColumnRenamed("nodes", "n"), ["comp"]).select("key", "class_id", "rep_key", F.col("copies").alias("n")), "pmh-keys")
+    rep = (F.col("key") == F.col("rep_key")) & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    out = join_counted(rows.select("doc_id", "key"), keys, ["key"]).select("doc_id", "class_id", F.col("n").alias("copies"), "key", rep.alias("rep"))
+    alone = rows.where("key IS NULL").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("copies"), "key", F.lit(True).alias("rep"))
     return out.unionByName(alone)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import inverted_multi_index, line_dedup, mixing, prob_minhash, quality_rules, suffix_dedup, token_files, toxicity, url_filter
+from . import inverted_multi_index, line_dedup, mixing, piece_lattice, prob_minhash, quality_rules, suffix_dedup, token_files, toxicity, url_filter
 from .common import register, table
 
 
@@ -53,6 +53,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+@register("op9_piece_lattice")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return piece_lattice.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @register("op10_merged_transforms")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
