@@ -49,7 +49,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     name = lambda key: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), key)
     reps = found.select(name(F.col("key")).alias("rid")).distinct()
     named = docs.where(worded).withColumn("rid", name(F.md5("text")))
-    one = named.join(reps, "rid").groupBy("rid").agg(F.first(F.struct(*docs.columns)).alias("d")).select("d.*")
+    one = named.join(reps.hint("merge"), "rid").groupBy("rid").agg(F.first(F.struct(*docs.columns)).alias("d")).select("d.*")
     return one.unionByName(docs.where(~worded))
 
 

@@ -188,7 +188,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     got = pieces(streamed(rows, sources), keys, block).where("words > 0")
     hit = got.join(schedule(sources, block).select("sid", "block"), ["sid", "block"])
     per = hit.groupBy(*keys, "epoch").agg(F.sum("words").alias("w")).groupBy("rid").agg(F.collect_list(F.struct("w", "size")).alias("takes"))
-    joined = row_id(docs).join(per, "rid").groupBy("rid").agg(F.first(F.struct(*cols)).alias("d"), F.first("takes").alias("takes"))
+    joined = row_id(docs).join(per.hint("merge"), "rid").groupBy("rid").agg(F.first(F.struct(*cols)).alias("d"), F.first("takes").alias("takes"))
     out = joined.select("d.*", F.explode("takes").alias("take")).select(*cols, "take.w", "take.size")
 
     def cut(batches):
