@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -170,8 +169,7 @@ def signed(docs: DataFrame) -> DataFrame:
         for b in text_slices(batches, "text", SLICE_BYTES):
             sets = text_shingles(b.column("text").to_pylist())
             bands = band_hashes(signatures(sets)).view(np.int64)
-            empty = np.array([len(x) == 0 for x, _ in sets])
-            key = pa.compute.if_else(pa.array(empty), pa.scalar(None, pa.string()), b.column("key"))
+            key = pa.array([None if len(x) == 0 else k for (x, _), k in zip(sets, b.column("key").to_pylist())], pa.string())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), key, lists], names=["doc_id", "key", "bands"])
 
@@ -234,14 +232,14 @@ def _texts(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(key, text) of the nodes in pairs."""
     wanted = pairs.select("key").union(pairs.select(F.col("leader").alias("key"))).distinct().join(nodes.select("key", "node_doc"), "key")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("k"), F.col("text").cast("string").alias("text"))
-    hit = d.join(wanted, (d["k"] == wanted["key"]) & d["doc_id"].eqNullSafe(wanted["node_doc"]))
+    hit = d.join(wanted.hint("merge"), (d["k"] == wanted["key"]) & d["doc_id"].eqNullSafe(wanted["node_doc"]))
     return stage(hit.groupBy("key").agg(F.first("text").alias("text")), "pmh-texts")
 
 
 def _star_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified links between leaders and the nodes of their buckets."""
     lead = texts.select(F.col("key").alias("leader"), F.col("text").alias("leader_text"))
-    both = pairs.join(texts, "key").join(lead, "leader").sortWithinPartitions("leader")
+    both = pairs.join(texts.hint("merge"), "key").join(lead.hint("merge"), "leader").sortWithinPartitions("leader")
     return both.select("leader", "key", "text", "leader_text").mapInArrow(_verify, "src string, dst string")
 
 
@@ -255,5 +253,5 @@ def _open_links(pairs: DataFrame, texts: DataFrame, comps: DataFrame) -> DataFra
     m = join_counted(members, open_, ["leader"]).withColumn("own", F.pmod(F.xxhash64("key"), F.col("nb")).cast("int"))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
     m = m.select("leader", "key", "comp", "own", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"))
-    with_text = m.join(texts, "key").select("leader", "key", "comp", "own", "bi", "bj", "text")
+    with_text = m.join(texts.hint("merge"), "key").select("leader", "key", "comp", "own", "bi", "bj", "text")
     return with_text.groupBy("leader", "bi", "bj").applyInArrow(_compare, "src string, dst string")
