@@ -104,7 +104,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, y) of the labelled rows that are not held out."""
     notes = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg((F.avg(F.col("toxic").cast("double")) >= 0.5).cast("int").alias("y"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.where(~held_out(F.col("doc_id"))).join(notes.where(~held_out(F.col("doc_id"))), "doc_id")
+    return rows.where(~held_out(F.col("doc_id"))).join(notes.where(~held_out(F.col("doc_id"))).hint("merge"), "doc_id")
 
 
 def mine_lexicon(train: DataFrame) -> Lexicon:
