@@ -22,6 +22,7 @@ repeat; a null doc_id is an id like any other; an empty table gives no rows; oth
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -347,20 +348,20 @@ def _runs(contexts: DataFrame) -> list[DataFrame]:
 def removed_runs(docs: DataFrame) -> DataFrame:
     """(doc_id, th, spans): byte spans [s, e) to remove, per document that has any (spans may overlap)."""
     places = stage(anchor_rows(docs), "bwt-anchors")
-    place = F.struct("doc_id", "th", "lo", "hi", "off")
-    seen = stage(places.groupBy("key", "ch").agg(F.count("*").alias("n"), F.min(place).alias("rep")), "bwt-seen")
-    keys = stage(seen.groupBy("key").agg(F.sum("n").alias("kn"), F.count("*").alias("d")).where("kn > 1"), "bwt-repeated")
-    known = stage(join_counted(seen, keys, ["key"], "d"), "bwt-known")
-    mixed = known.where("d > 1").select("key", "ch", "n", "d", "rep.*")
-    alike = known.where("d = 1").select(F.col("key").alias("root_key"), F.col("ch").alias("root_ch"), F.array(F.struct(F.lit(0).alias("a"), (F.col("rep.hi") - F.col("rep.lo")).alias("b"))).alias("runs"))
-    runs = alike
-    for t in _runs(stage(_contexts(docs, mixed), "bwt-contexts")):
-        runs = runs.unionByName(t)
-    per = runs.select(F.col("root_key").alias("key"), F.col("root_ch").alias("ch"), F.explode("runs").alias("r")).groupBy("key", "ch").agg(F.collect_list("r").alias("runs"))
-    counted = stage(per.join(known.select("key", "ch", "n"), ["key", "ch"]), "bwt-found")
-    hit = join_counted(places.select("doc_id", "th", "key", "ch", "lo"), counted, ["key", "ch"])
-    spans = F.transform("runs", lambda r: F.struct((F.col("lo") + r["a"]).alias("s"), (F.col("lo") + r["b"] + LENGTH).alias("e")))
-    return hit.select("doc_id", "th", spans.alias("spans")).groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    keys = places.groupBy("key").agg(F.count("*").alias("n"), F.min("ch").alias("c0"), F.max("ch").alias("c1")).where("n > 1")
+    hits = stage(join_counted(places, stage(keys, "bwt-repeated"), ["key"]).withColumn("alike", F.expr("c0 = c1")).drop("n", "c0", "c1"), "bwt-hits")
+    mixed = hits.where("NOT alike")
+    seen = mixed.groupBy("key", "ch").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "th", "lo", "hi", "off")).alias("rep"))
+    seen = stage(seen, "bwt-seen")
+    known = stage(join_counted(seen, stage(seen.groupBy("key").agg(F.count("*").alias("d")), "bwt-mixed"), ["key"], "d"), "bwt-known")
+    tables = _runs(stage(_contexts(docs, known.select("key", "ch", "n", "d", "rep.*")), "bwt-contexts"))
+    runs = functools.reduce(DataFrame.unionByName, tables).select(F.col("root_key").alias("key"), F.col("root_ch").alias("ch"), F.explode("runs").alias("r"))
+    counted = stage(runs.groupBy("key", "ch").agg(F.collect_list("r").alias("runs")).join(known.select("key", "ch", "n"), ["key", "ch"]), "bwt-found")
+    hit = join_counted(mixed.select("doc_id", "th", "key", "ch", "lo"), counted, ["key", "ch"])
+    span = lambda a, b: F.struct(a.alias("s"), (b + LENGTH).alias("e"))
+    spans = F.transform("runs", lambda r: span(F.col("lo") + r["a"], F.col("lo") + r["b"]))
+    whole = hits.where("alike").select("doc_id", "th", F.array(span(F.col("lo"), F.col("hi"))).alias("spans"))
+    return hit.select("doc_id", "th", spans.alias("spans")).unionByName(whole).groupBy("doc_id", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def cut(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
