@@ -36,14 +36,14 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return out.where(F.col("u") != F.col("v")).distinct()
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node", max_rounds: int = 100) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
     """Label every node with the smallest node id of its component.
 
     ``nodes``: column ``node``; ``edges``: columns ``src, dst`` (undirected). Output ``(node, label)``.
     """
     e = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).where(F.col("u") != F.col("v"))
     e = cut_lineage(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    for _ in range(max_rounds):
+    while True:
         e = cut_lineage(_small_star(_large_star(e)))
         # Both star operations emit edges (larger -> smaller). The labels are final exactly when
         # the graph is a set of stars: every node has at most one outgoing edge and no edge points
@@ -53,8 +53,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
         multi = 0 if deep else e.groupBy("u").count().where(F.col("count") > 1).limit(1).count()
         if deep == 0 and multi == 0:
             break
-    else:
-        raise RuntimeError("connected components did not converge")
     labels = _sym(e).groupBy(F.col("u").alias(node)).agg(F.min("v").alias("label"))
     out = nodes.select(node).distinct().join(labels, node, "left")
     return out.select(node, F.least(F.col(node), F.coalesce(F.col("label"), F.col(node))).alias("label"))

@@ -116,11 +116,13 @@ def join_within_polygon(points: DataFrame, edges: DataFrame, point_key: str = "s
     # vertical walk at x = px from py to ym
     v_cross = (x1 > px) != (x2 > px)
     v_y = F.when(v_cross, y1 + (px - x1) * (y2 - y1) / (x2 - x1))
-    v_hit = F.coalesce(v_cross & (v_y > F.least(py, ym)) & (v_y < F.greatest(py, ym)), F.lit(False))
+    # the row middle counts as infinitesimally higher on both legs, so an edge through the corner of the walk meets exactly one
+    v_hit = F.coalesce(v_cross & ((v_y > py) != (v_y > ym)), F.lit(False))
     # horizontal walk at y = ym from px to the right border
     h_cross = (y1 > ym) != (y2 > ym)
     h_x = F.when(h_cross, x1 + (ym - y1) * (x2 - x1) / (y2 - y1))
-    h_hit = F.coalesce(h_cross & (h_x > px) & (h_x <= xr), F.lit(False))
+    right_of = (h_x > px) | ((h_x == px) & ((x2 > x1) == (y2 > y1)) & (x1 != x2))
+    h_hit = F.coalesce(h_cross & right_of & (h_x <= xr), F.lit(False))
     # point on the edge
     on_edge = ((px - x1) * (y2 - y1) == (py - y1) * (x2 - x1)) & (px >= F.least(x1, x2)) & (px <= F.greatest(x1, x2)) \
         & (py >= F.least(y1, y2)) & (py <= F.greatest(y1, y2))
@@ -148,13 +150,12 @@ def _block3(df: DataFrame, ci0: str, cj0: str, ci: str, cj: str) -> DataFrame:
 
 
 def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key: str, carry: Sequence[str] = (),
-                    lx: str = "x", ly: str = "y", cell_m: float | None = None, max_levels: int = 40,
-                    dist_col: str = "distance_m") -> DataFrame:
+                    lx: str = "x", ly: str = "y", cell_m: float | None = None, dist_col: str = "distance_m") -> DataFrame:
     """For each left point, the nearest right geometry (segments; points are zero-length segments).
 
     ``left``: ``(left_key, lx, ly)``; ``right``: ``(right_key, x1, y1, x2, y2, carry...)`` in the
     same planar metres. Output: ``left_key, dist_col, right_key, carry...`` with one row per left
-    key; ties are broken by the smallest ``right_key``. An empty right side gives NULLs.
+    key; ties are broken by the smallest ``right_key``. An empty right side gives NULLs, and right rows without coordinates take no part.
 
     Level k uses square cells of side ``s_k = s0 * 2**k``. Right pieces (segments cut to at most
     ``s0``) are indexed by the cells their boxes touch; each unresolved left point looks at its
@@ -171,7 +172,8 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
     base0 = cut_lineage(left.select(F.col(left_key).alias("_lk"), F.col(lx).alias("_x"), F.col(ly).alias("_y")))
     base = base0.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
     # the right side is scanned once per level: materialise its (projected) segments once
-    segs = cut_lineage(right.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry))
+    placed = right.where(F.col("x1").isNotNull() & F.col("y1").isNotNull() & F.col("x2").isNotNull() & F.col("y2").isNotNull())
+    segs = cut_lineage(placed.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry))
     ext = segs.agg(F.count(F.lit(1)).alias("n"), F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
                    F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y1")).first()
     lext = base.agg(F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1"),
@@ -211,7 +213,7 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
         pairs = probe.join(index, ["ci", "cj"], "inner").withColumn(
             "_d", point_segment_distance("_x", "_y", "x1", "y1", "x2", "y2"))
         found = pairs.groupBy("_lk").agg(F.min("_d").alias("_dmin"), best.alias("_best"))
-        last = s >= diag or level >= max_levels
+        last = s >= diag
         done = found if last else found.where(F.col("_dmin") <= s)
         done = cut_lineage(done)
         resolved_parts.append(done)

@@ -17,9 +17,14 @@ TOWER_CARRY = ("distance_to_power_m", "distance_to_road_m", "distance_to_amenity
 
 
 def clip_to_region(tiles: DataFrame, edges: DataFrame, region: str, feature: str = "country") -> DataFrame:
-    """Tiles strictly inside the region's polygon(s); a region with no polygon keeps the box result."""
+    """Tiles strictly inside the region's polygon(s); a region with no polygon in a table that has some keeps the box result.
+
+    A boundary table without any edge is an error: clipping to nothing would silently keep every tile.
+    """
     region_edges = edges.where(F.col(feature) == region)
     if region_edges.isEmpty():
+        if edges.isEmpty():
+            raise ValueError("the boundary table holds no edge")
         return tiles
     return join_within_polygon(tiles, region_edges, feature=feature).drop(feature)
 
