@@ -18,6 +18,7 @@ doc_ids are ordered by a hash of their text; an empty table writes no file and g
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
 import uuid
@@ -76,6 +77,12 @@ class WordEncoder:
         return np.insert(flat, ends[bounds[1:]], end_id), per_text + 1
 
 
+@functools.lru_cache(maxsize=2)
+def load_encoder(tokenizer_file: str) -> WordEncoder:
+    """One encoder, and so one cache of words, per Python worker and file."""
+    return WordEncoder(tokenizer_file)
+
+
 def _shared(path: str):
     """File system and path of a folder that all executors see (a plain path is a mounted one)."""
     return pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else "file://" + os.path.abspath(path))
@@ -192,10 +199,9 @@ def write_token_files(
     def write(batches):
         from pyspark import TaskContext
 
-        part, seq, shard, done, enc = TaskContext.get().partitionId(), 0, None, [], None
+        part, seq, shard, done = TaskContext.get().partitionId(), 0, None, []
         for b in text_slices(batches, "text", SLICE_BYTES):
-            enc = enc or WordEncoder(tokenizer_file)
-            ids, counts = enc.encode(b.column("text").to_pylist(), end_id)
+            ids, counts = load_encoder(tokenizer_file).encode(b.column("text").to_pylist(), end_id)
             shard = shard or _Shard(folder, part, seq, dtype, seq_len)
             shard.add(b.column("doc_id").to_pylist(), ids, counts)
             if shard.n_tokens >= FILE_TOKENS:
