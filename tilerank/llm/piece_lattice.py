@@ -30,10 +30,12 @@ from .common import text_slices
 
 MARK = "▁"
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-CACHE_WORDS = 200_000
-SLICE_BYTES = 4 << 20
+CACHE_WORDS = 100_000
+SLICE_BYTES = 2 << 20
+#: Verdicts on neighbouring pieces kept per Python worker.
+CACHE_PAIRS = 300_000
 #: Characters of new words per suffix array.
-INDEX_CHARS = 400_000
+INDEX_CHARS = 100_000
 LAST_CHAR = chr(0x10FFFF)
 
 
@@ -76,6 +78,7 @@ class PieceModel:
         self.text_of = {i: p for p, i in self.id_of.items()}
         whole = [p for p in self.id_of if len(p) == 1 or self.merge(p) == [p]]  # others never come out
         whole.sort()
+        self.whole = set(whole)
         self.depth = max(map(len, whole))
         self.pieces = np.array(whole, dtype=f"U{self.depth}")
         self.above = np.array([p + LAST_CHAR * (self.depth - len(p)) for p in whole], dtype=f"U{self.depth}")
@@ -101,13 +104,13 @@ class PieceModel:
         """Do the pieces of each pair (a * 2^20 + b) stay apart when encoded together?"""
         unique, inverse = np.unique(pairs, return_inverse=True)
         known, out = self.fits_cache, np.empty(len(unique), bool)
-        if len(known) > 1_000_000:
+        if len(known) > CACHE_PAIRS:
             known.clear()
         for k, x in enumerate(unique.tolist()):
             v = known.get(x)
             if v is None:
                 a, b = self.text_of[x >> 20], self.text_of[x & 0xFFFFF]
-                v = known[x] = self.merge(a + b) == [a, b]
+                v = known[x] = a + b not in self.whole and self.merge(a + b) == [a, b]
             out[k] = v
         return out[inverse]
 
