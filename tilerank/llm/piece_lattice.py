@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding over a suffix array.
 
-A batch's distinct words (runs of word marks and what follows; no piece holds a mark behind another character, which is checked when the model is read) are put into one
+Texts are cut wherever no piece of the vocabulary holds the two characters beside the cut, as no merge ever crosses such a place. A batch's distinct runs are put into one
 text. Its suffix array, right for the longest piece, is searched for every piece of the vocabulary at once; the ranges found are all places of
 all pieces, the edges of one lattice. Edges are sorted by where they end and relaxed in that order.
 
@@ -8,10 +8,10 @@ Relaxing: for a BPE model an encoding is right exactly if each two neighbours wo
 encoding. So an edge reaches its end if its start is reached and its piece fits the piece that reached the start; one piece does. Scores
 decide nothing else, so ids equal the library's (tested). Characters without a piece become their UTF-8 bytes' pieces.
 
-Words met before come from a cache of ``CACHE_WORDS`` words per Python worker. Decoding joins the ids' bytes and gives the marks
+Runs met before come from a cache of ``CACHE_RUNS`` runs per Python worker, of which the half used most stays when it is full. Decoding joins the ids' bytes and gives the marks
 back as spaces; text that holds the mark itself decodes to spaces there.
 
-Defined cases: null text encodes like an empty one, to no ids, and decodes to an empty text; repeated rows are encoded each; null doc_ids stay; very long words
+Defined cases: null text encodes like an empty one, to no ids, and decodes to an empty text; repeated rows are encoded each; null doc_ids stay; very long runs
 are one lattice of linear size; an empty table gives no rows; other columns are ignored.
 """
 
@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import functools
 import itertools
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +28,13 @@ from pyspark.sql import functions as F
 from .common import text_slices
 
 MARK = "▁"
-WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-CACHE_WORDS = 100_000
+#: Runs kept per Python worker, about.
+CACHE_RUNS = 200_000
 SLICE_BYTES = 2 << 20
-#: Verdicts on neighbouring pieces kept per Python worker.
-CACHE_PAIRS = 300_000
-#: Characters of new words per suffix array.
-INDEX_CHARS = 100_000
+#: Slots for verdicts on neighbouring pieces, as a power of two, per Python worker.
+PAIR_BITS = 20
+#: Characters of new runs per suffix array.
+INDEX_CHARS = 200_000
 LAST_CHAR = chr(0x10FFFF)
 
 
@@ -72,8 +71,8 @@ class PieceModel:
                 self.bytes_of[i] = p.replace(MARK, " ").encode()
         if len(self.byte_id) != 256:
             raise ValueError("the model has no pieces for single bytes")
-        if any(MARK in p.lstrip(MARK) for p in self.id_of) or any(c not in self.id_of for p in self.id_of for c in p):
-            raise ValueError("a piece holds a word mark inside, or a character that is no piece")
+        if any("\x00" in p or any(c not in self.id_of for c in p) for p in self.id_of):
+            raise ValueError("a piece holds a zero byte, or a character that is no piece")
         self.score = {p: self.sp.get_score(i) for p, i in self.id_of.items()}
         self.text_of = {i: p for p, i in self.id_of.items()}
         whole = [p for p in self.id_of if len(p) == 1 or self.merge(p) == [p]]  # others never come out
@@ -84,8 +83,19 @@ class PieceModel:
         self.above = np.array([p + LAST_CHAR * (self.depth - len(p)) for p in whole], dtype=f"U{self.depth}")
         self.lens = np.array([len(p) for p in whole])
         self.ids = np.array([self.id_of[p] for p in whole])
-        self.fits_cache: dict[int, bool] = {}
-        self.reset()
+        # Characters of pieces of two or more, by number (0: all others), and which of them stand side by side in a piece.
+        chars = sorted({c for p in self.id_of if len(p) > 1 for c in p})
+        number = {c: i + 1 for i, c in enumerate(chars)}
+        self.kind = np.zeros(0x110000, np.uint16)
+        self.kind[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.joined = np.zeros((len(chars) + 1, len(chars) + 1), bool)
+        for p in self.id_of:
+            for a, b in itertools.pairwise(p):
+                self.joined[number[a], number[b]] = True
+        self.pair_key, self.pair_fits = np.full(1 << PAIR_BITS, -1, np.int64), np.zeros(1 << PAIR_BITS, bool)
+        self.index: dict[str, int] = {}
+        self.begin, self.found, self.uses = np.zeros(1, np.int64), np.empty(0, np.int32), np.zeros(0, np.int64)
+        self.singles: list[tuple[str, list[int]]] = []
 
     def merge(self, text: str) -> list[str]:
         """Plain merging, for short texts: the best-scored neighbours first, leftmost among equals."""
@@ -100,30 +110,32 @@ class PieceModel:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def fits(self, pairs: np.ndarray) -> np.ndarray:
-        """Do the pieces of each pair (a * 2^20 + b) stay apart when encoded together?"""
-        unique, inverse = np.unique(pairs, return_inverse=True)
-        known, out = self.fits_cache, np.empty(len(unique), bool)
-        if len(known) > CACHE_PAIRS:
-            known.clear()
-        for k, x in enumerate(unique.tolist()):
-            v = known.get(x)
-            if v is None:
-                a, b = self.text_of[x >> 20], self.text_of[x & 0xFFFFF]
-                v = known[x] = a + b not in self.whole and self.merge(a + b) == [a, b]
-            out[k] = v
-        return out[inverse]
-
-    def reset(self) -> None:
-        self.index: dict[str, int] = {}
-        self.begin, self.found = np.zeros(1, np.int64), np.empty(0, np.int32)
+    def apart(self, pair: int) -> bool:
+        """Do the two pieces (a * 2^20 + b) stay apart when encoded together?"""
+        a, b = self.text_of[pair >> 20], self.text_of[pair & 0xFFFFF]
+        return a + b not in self.whole and self.merge(a + b) == [a, b]
 
-    def lattice(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, ids per word) of distinct words."""
-        text = "\x00".join(words) + "\x00"
+    def fits(self, pairs: np.ndarray) -> np.ndarray:
+        """:meth:`apart` of every pair; verdicts are kept, one per slot, until another pair takes the slot."""
+        slot = lambda x: (x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PAIR_BITS)
+        at = slot(pairs)
+        out = self.pair_fits[at]
+        miss = np.flatnonzero(self.pair_key[at] != pairs)
+        if len(miss):
+            unique, inverse = np.unique(pairs[miss], return_inverse=True)
+            verdict = np.fromiter(map(self.apart, unique.tolist()), bool, len(unique))
+            at = slot(unique)
+            _, one = np.unique(at, return_index=True)
+            self.pair_key[at[one]], self.pair_fits[at[one]] = unique[one], verdict[one]
+            out[miss] = verdict[inverse]
+        return out
+
+    def lattice(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, ids per run) of distinct runs of characters that are pieces."""
+        text = "\x00".join(runs) + "\x00"
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         n = len(codes)
-        stops = np.cumsum([len(w) + 1 for w in words]) - 1  # each word's end
+        stops = np.cumsum([len(w) + 1 for w in runs]) - 1  # each run's end
         starts = np.concatenate([[0], stops[:-1] + 1])
         order = suffix_order(codes, self.depth)
         wide = np.lib.stride_tricks.sliding_window_view(np.concatenate([codes, np.zeros(self.depth, np.uint32)]), self.depth)
@@ -132,64 +144,58 @@ class PieceModel:
         count = hi - lo
         piece = np.repeat(np.arange(len(count)), count)
         at = order[np.repeat(lo - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())]
-        word = np.searchsorted(stops, at, side="right")
+        run = np.repeat(np.arange(len(runs)), stops - starts + 1)  # of every place
         end = at + self.lens[piece]
-        ok = (end <= stops[np.minimum(word, len(stops) - 1)]) & (codes[at] != 0)
-        at, end, ids, word = at[ok], end[ok], self.ids[piece[ok]], word[ok]
-        # Characters that are no piece: an edge of their own, which fits anything.
-        bare = np.ones(n, bool)
-        bare[at[end - at == 1]] = False
-        bare[stops] = False
-        lone = np.flatnonzero(bare)
-        at, end, ids = np.concatenate([at, lone]), np.concatenate([end, lone + 1]), np.concatenate([ids, np.full(len(lone), -1)])
-        word = np.concatenate([word, np.searchsorted(stops, lone, side="right")])
-        depth = end - starts[word]
-        by_end = np.argsort(depth, kind="stable")
+        ok = (end <= stops[run[at]]) & (codes[at] != 0)
+        at, end, ids = at[ok], end[ok], self.ids[piece[ok]]
+        depth = end - starts[run[at]]
+        by_end = np.argsort(depth.astype(np.uint16) if len(depth) and depth.max() < 1 << 16 else depth, kind="stable")
         at, end, ids, depth = at[by_end], end[by_end], ids[by_end], depth[by_end]
         first = np.zeros(n + 1, bool)
         first[starts] = True
-        last, back = np.full(n + 1, -2, np.int64), np.full(n + 1, -1, np.int64)  # the piece that reached a place, and from where
+        last, back = np.full(n + 1, -1, np.int64), np.full(n + 1, -1, np.int64)  # the piece that reached a place, and from where
         level = np.flatnonzero(np.diff(depth, prepend=-1))
         for a, b in zip(level, [*level[1:], len(depth)]):
             s, e, p = at[a:b], end[a:b], ids[a:b]
             prev = last[s]
-            free = first[s] | (prev == -1) | ((p == -1) & (prev != -2))
-            good = free.copy()
-            ask = np.flatnonzero(~free & (prev >= 0) & (p >= 0))
+            good = first[s]
+            ask = np.flatnonzero(~good & (prev >= 0))
             good[ask] = self.fits((prev[ask] << 20) | p[ask])
             last[e[good]], back[e[good]] = p[good], s[good]
-        return self._trace(codes, starts, stops, last, back)
-
-    def _trace(self, codes, starts, stops, last, back) -> tuple[np.ndarray, np.ndarray]:
-        """Walk all words back from their ends at once."""
-        steps, who, here = [], np.arange(len(starts)), stops.copy()
-        while True:
+        # Walk all runs back from their ends at once.
+        passed, who, here = np.zeros(n + 1, bool), np.arange(len(starts)), stops.copy()
+        while len(who):
             go = here > starts[who]
             who, here = who[go], here[go]
-            if not len(who):
-                break
-            steps.append((who, here, last[here]))
+            passed[here] = True
             here = back[here]
-        if not steps:
-            return np.empty(0, np.int32), np.zeros(len(starts), np.int64)
-        w, pos, ids = (np.concatenate(x) for x in zip(*steps))
-        order = np.lexsort((pos, w))
-        w, pos, ids = w[order], pos[order], ids[order]
-        if (ids == -1).any():
-            spread = [[self.byte_id[x] for x in chr(codes[p - 1]).encode("utf-8", "surrogatepass")] if i == -1 else [i] for p, i in zip(pos.tolist(), ids.tolist())]
-            w = np.repeat(w, [len(x) for x in spread])
-            ids = np.fromiter(itertools.chain.from_iterable(spread), np.int64)
-        return ids.astype(np.int32), np.bincount(w, minlength=len(starts))
+        places = np.flatnonzero(passed)
+        return last[places].astype(np.int32), np.diff(np.searchsorted(places, stops, side="right"), prepend=0)
+
+    def runs(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """(all runs, runs per text): texts cut wherever no piece holds the two characters beside the cut."""
+        whole = "".join(texts)
+        codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        kind = self.kind[codes]
+        bounds = np.cumsum([0, *map(len, texts)])
+        cut = np.ones(len(codes), bool)
+        cut[1:] = ~self.joined[kind[:-1], kind[1:]]
+        cut[bounds[bounds < len(codes)]] = True
+        at = np.flatnonzero(cut)
+        cuts = [*at.tolist(), len(codes)]
+        return [whole[a:b] for a, b in itertools.pairwise(cuts)], np.diff(np.searchsorted(at, bounds))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text)."""
-        split = [WORDS.findall(self.sp.normalize(t)) if t else [] for t in texts]
-        if len(self.index) > CACHE_WORDS:
-            self.reset()
-        new = list({w for ws in split for w in ws}.difference(self.index))
-        clean = [w for w in new if "\x00" not in w]
+        found, n_runs = self.runs([self.sp.normalize(t) if t else "" for t in texts])
+        if len(self.index) > CACHE_RUNS:
+            self.trim()
         batch, size = [], 0
-        for w in clean:
+        for w in set(found).difference(self.index):
+            if len(w) == 1:  # a piece, or its bytes' pieces
+                ids = [self.id_of[w]] if w in self.id_of else [self.byte_id[x] for x in w.encode()]
+                self.singles.append((w, ids))
+                continue
             batch.append(w)
             size += len(w) + 1
             if size >= INDEX_CHARS:
@@ -197,24 +203,34 @@ class PieceModel:
                 batch, size = [], 0
         if batch:
             self._learn(batch, *self.lattice(batch))
-        for w in new:
-            if "\x00" in w:  # the separator itself: around it pieces end, as no piece holds it
-                parts = [self.lattice([x])[0] if x else np.empty(0, np.int32) for x in w.split("\x00")]
-                zero = np.array([self.byte_id[0]], np.int32)
-                ids = np.concatenate([y for x in parts for y in (x, zero)][:-1])
-                self._learn([w], ids, np.array([len(ids)]))
-        n_words = np.array([len(ws) for ws in split], np.int64)
-        w = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(n_words.sum()))
+        if self.singles:
+            self._learn([w for w, _ in self.singles], np.array([i for _, ids in self.singles for i in ids], np.int32), np.array([len(ids) for _, ids in self.singles]))
+            self.singles = []
+        w = np.fromiter(map(self.index.__getitem__, found), np.int64, len(found))
+        self.uses += np.bincount(w, minlength=len(self.uses))
+        flat, ends = self._ids(w)
+        bounds = np.concatenate([[0], np.cumsum(n_runs)])
+        return flat, ends[bounds[1:]] - ends[bounds[:-1]]
+
+    def _ids(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of known runs one after another, where each ends, from 0)."""
         lens = self.begin[w + 1] - self.begin[w]
         ends = np.concatenate([[0], np.cumsum(lens)])
-        bounds = np.concatenate([[0], np.cumsum(n_words)])
-        flat = self.found[np.repeat(self.begin[w] - ends[:-1], lens) + np.arange(ends[-1])]
-        return flat, ends[bounds[1:]] - ends[bounds[:-1]]
+        return self.found[np.repeat(self.begin[w] - ends[:-1], lens) + np.arange(ends[-1])], ends
 
-    def _learn(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
+    def _learn(self, runs: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.index.update(zip(runs, range(len(self.index), len(self.index) + len(runs))))
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(counts)])
         self.found = np.concatenate([self.found, ids])
+        self.uses = np.concatenate([self.uses, np.zeros(len(runs), np.int64)])
+
+    def trim(self) -> None:
+        """Keep the half of the cache that was used most."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[: CACHE_RUNS // 2])
+        names = list(self.index)
+        ids, ends = self._ids(keep)
+        self.index = {names[k]: i for i, k in enumerate(keep.tolist())}
+        self.found, self.begin, self.uses = ids, ends, self.uses[keep] // 2
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the mark that stands before every text is not part of it."""
