@@ -270,3 +270,25 @@ def test_polygon_layer_distance_is_zero_inside(spark):
     sites = spark.createDataFrame([(1, 101.05, 3.05), (2, 101.2, 3.05)], "cluster_id long, longitude double, latitude double")
     got = {r["cluster_id"]: r["distance_to_amenity_m"] for r in nearest_all_layers(sites, {"amenities": segs}).collect()}
     assert got[1] == 0.0 and 10000.0 < got[2] < 12000.0
+
+
+def test_boundary_layouts_read_alike_and_other_reference_systems_fail(spark, tmp_path):
+    import json
+
+    from tilerank.sources.files import scan_boundaries
+
+    square = [[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]]]
+    feature = {"type": "Feature", "properties": {"Country": "A", "OBJECTID": 1, "Flag": "x"}, "geometry": {"type": "Polygon", "coordinates": square}}
+    whole = {"type": "FeatureCollection", "features": [feature]}
+    texts = {
+        "lines": json.dumps(feature), "flat": json.dumps(whole), "pretty": json.dumps(whole, indent=1),
+        "tagged": json.dumps({**whole, "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:OGC:1.3:CRS84"}}}),
+    }
+    found = []
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+        found.append(sorted(map(tuple, scan_boundaries(spark, str(tmp_path / name)).collect())))
+    assert len(found[0]) == 3 and all(x == found[0] for x in found)
+    (tmp_path / "other").write_text(json.dumps({**whole, "crs": {"type": "name", "properties": {"name": "EPSG:3857"}}}))
+    with pytest.raises(Exception, match="EPSG:3857"):
+        scan_boundaries(spark, str(tmp_path / "other")).collect()

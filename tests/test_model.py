@@ -48,3 +48,13 @@ def test_fit_gbt_query_reports_every_tree(spark, sf_dir):
     assert len(rows) == K.GBT_PARAMS["maxIter"]
     w = sorted((r["treeID"], r["tree_weight"]) for r in rows)
     assert w[0][1] == 1.0 and all(x[1] == pytest.approx(K.GBT_PARAMS["stepSize"]) for x in w[1:])
+
+
+def test_repeated_keys_keep_the_row_count(prepared):
+    feats = [f for f in K.MODEL_FEATURES if f in prepared.columns]
+    rows = prepared.limit(300).cache()
+    twice = rows.unionByName(rows)
+    assert MD.model_and_drivers(twice, feats, K.TARGET, maxIter=2).count() == twice.count()
+    folds = MD.spatial_folds(MD.with_blocks(twice).where(F.col("is_underserved_target")))
+    if folds is not None:
+        assert MD.cv_mean_baseline(MD.with_blocks(twice), K.TARGET, folds).count() == twice.count()

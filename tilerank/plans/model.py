@@ -47,14 +47,13 @@ def cv_mean_baseline(df: DataFrame, target: str, folds: DataFrame, key: str = "s
                      pool_flag: str = "is_underserved_target") -> DataFrame:
     """Fold mechanics with the training-fold mean as the predictor: pool rows get
     ``(S - S_k) / (N - N_k)``, other rows the mean of the whole pool."""
-    pool = fold_membership(df.where(F.col(pool_flag)), folds).select(key, "fold", F.col(target).cast("double").alias("_y"))
-    tot = pool.agg(F.sum("_y").alias("s"), F.count("_y").alias("n")).first()
-    per = pool.groupBy("fold").agg(F.sum("_y").alias("sk"), F.count("_y").alias("nk"))
+    marked = fold_membership(df, folds).withColumn("fold", F.when(F.col(pool_flag), F.col("fold")))
+    rows = marked.select(key, "fold", F.when(F.col(pool_flag), F.col(target).cast("double")).alias("_y"))
+    tot = rows.agg(F.sum("_y").alias("s"), F.count("_y").alias("n")).first()
+    per = rows.where(F.col("fold").isNotNull()).groupBy("fold").agg(F.sum("_y").alias("sk"), F.count("_y").alias("nk"))
     s, n = F.lit(tot["s"]).cast("double"), F.lit(tot["n"]).cast("double")
-    pred = pool.join(F.broadcast(per), "fold").select(
-        key, "fold", F.when(n - F.col("nk") > 0, (s - F.col("sk")) / (n - F.col("nk"))).alias("cv_pred"))
-    out = df.select(key).join(pred, key, "left")
-    return out.withColumn("cv_pred", F.coalesce(F.col("cv_pred"), F.when(n > 0, s / n)))
+    held_out = F.when(n - F.col("nk") > 0, (s - F.col("sk")) / (n - F.col("nk")))
+    return rows.join(F.broadcast(per), "fold", "left").select(key, "fold", F.coalesce(held_out, F.when(n > 0, s / n)).alias("cv_pred"))
 
 
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -64,22 +63,22 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 
 ROWS_PER_TRAIN_PARTITION = 200_000
+#: Names a row inside the model flow: keys may repeat, so nothing is joined back by them.
+ROW = "_model_row"
 
 
-def fit_gbt(df: DataFrame, features: Sequence[str], target: str, **params):
+def fit_gbt(df: DataFrame, features: Sequence[str], target: str, partitions: int | None = None, **params):
     """Gradient-boosted regression trees (defaults: 200 trees, depth 4, rate 0.05, seed 42).
 
-    Every boosting round runs a few Spark jobs over the training set, so its partition count is
-    sized to the data (one partition per 200k rows): a small pool does not pay for dozens of
-    near-empty tasks 1000+ times, and a large pool still spreads over the cluster.
+    Every boosting round runs a few Spark jobs over the training set. The set is cut first, with
+    whatever parallelism its plan has, and then dealt out to ``partitions`` (default: one per
+    ``ROWS_PER_TRAIN_PARTITION`` rows), so the layout of the rounds never reaches into the plan before.
     """
     p = {**K.GBT_PARAMS, **params}
     est = GBTRegressor(featuresCol="features", labelCol="_label", predictionCol="prediction", **p)
     data = assemble(df, features).withColumn("_label", F.col(target).cast("double")).where(F.col("_label").isNotNull())
-    n = data.count()
-    parts = max(1, -(-n // ROWS_PER_TRAIN_PARTITION))
-    data = data.coalesce(parts) if parts < data.rdd.getNumPartitions() else data.repartition(parts)
-    return est.fit(data)
+    data = cut_lineage(data.select("features", "_label"))
+    return est.fit(data.repartition(partitions or max(1, -(-data.count() // ROWS_PER_TRAIN_PARTITION))))
 
 
 def predict_all(df: DataFrame, model, features: Sequence[str], out: str = "predicted_download_kbps") -> DataFrame:
@@ -95,7 +94,7 @@ def spatial_block_cv(df: DataFrame, features: Sequence[str], target: str, n_spli
     The fold fits and the production fit are independent and run concurrently. Returns
     ``(frame, production_model)``.
     """
-    data = cut_lineage(with_blocks(df))
+    data = cut_lineage(with_blocks(df).withColumn(ROW, F.monotonically_increasing_id()))
     pool = data.where(F.coalesce(F.col(pool_flag), F.lit(False)))
     folds = spatial_folds(pool, n_splits)
     jobs = []
@@ -112,7 +111,7 @@ def spatial_block_cv(df: DataFrame, features: Sequence[str], target: str, n_spli
         if train.isEmpty() or val.isEmpty():
             return None
         model = fit_gbt(train, features, target, **params)
-        return cut_lineage(predict_all(val, model, features, "cv_predicted_speed").select(key, "cv_predicted_speed"))
+        return cut_lineage(predict_all(val, model, features, "cv_predicted_speed").select(ROW, "cv_predicted_speed"))
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
         results = list(ex.map(run, [None] + jobs))
@@ -122,16 +121,16 @@ def spatial_block_cv(df: DataFrame, features: Sequence[str], target: str, n_spli
         cv = preds[0]
         for p in preds[1:]:
             cv = cv.unionByName(p)
-        out = out.join(cv, key, "left")
+        out = out.join(cv, ROW, "left")
     else:
         out = out.withColumn("cv_predicted_speed", F.lit(None).cast("double"))
     out = out.withColumn("cv_predicted_speed", F.coalesce(F.col("cv_predicted_speed"), F.col("predicted_download_kbps")))
-    return out, final
+    return out.drop(ROW), final
 
 
 def model_and_drivers(df: DataFrame, features: Sequence[str], target: str, key: str = "site_id", **params) -> DataFrame:
     """Cross-validated predictions plus each row's top driver and its contribution."""
     out, final = spatial_block_cv(df, features, target, key=key, **params)
-    out = cut_lineage(out)
-    drivers = top_driver(out, final, features, key).select(key, "top_shap_driver", "top_shap_value")
-    return out.join(drivers, key, "left")
+    out = cut_lineage(out.withColumn(ROW, F.monotonically_increasing_id()))
+    drivers = top_driver(out, final, features, ROW).select(ROW, "top_shap_driver", "top_shap_value")
+    return out.join(drivers, ROW, "left").drop(ROW)

@@ -24,9 +24,9 @@ def stratum_thresholds(valid: DataFrame, q: float = K.SPEED_QUANTILE, col: str =
 def threshold_lookup(df: DataFrame, thresholds: DataFrame, key: str = "demographic_stratum", default: float = 0.0) -> DataFrame:
     """Left join of a per-stratum threshold; a missing stratum gets ``default``.
 
-    The threshold table has one row per stratum (three labels), so it is broadcast.
+    ``key`` may be any column, so the threshold table has no bound and the join is left to Spark.
     """
-    return df.join(F.broadcast(thresholds), key, "left").withColumn(
+    return df.join(thresholds, key, "left").withColumn(
         "threshold", F.coalesce(F.col("threshold"), F.lit(float(default)))
     )
 

@@ -75,13 +75,17 @@ _COORDS = {
 }
 
 
-def scan_boundaries(spark: SparkSession, path: str, region: str | None = None, multiline: bool = False) -> DataFrame:
+def scan_boundaries(spark: SparkSession, path: str, region: str | None = None, multiline: bool | None = None) -> DataFrame:
     """GeoJSON polygons -> edge table ``(country, objectid, flag, part, ring, seg, lon1, lat1, lon2, lat2)``.
 
     Reads either newline-delimited features (one feature per line, splittable) or, with
-    ``multiline=True``, FeatureCollection documents (one task per file). Coordinates are
-    taken as WGS84 longitude/latitude. ``region`` keeps only ``Country == region``.
+    ``multiline=True``, FeatureCollection documents (one task per file); by default the first line
+    tells which. Coordinates are WGS84 longitude/latitude; a collection tagged with another
+    reference system is an error. ``region`` keeps only ``Country == region``.
     """
+    if multiline is None:
+        head = spark.read.text(path).where(F.trim("value") != "").select(F.from_json("value", "type string")["type"]).first()
+        multiline = head is None or head[0] != "Feature"
     reader = spark.read.option("multiLine", multiline).option("primitivesAsString", False)
     schema_feature = (
         "type string, properties struct<Country: string, OBJECTID: bigint, Flag: string>, "
@@ -89,11 +93,14 @@ def scan_boundaries(spark: SparkSession, path: str, region: str | None = None, m
     )
     if multiline:
         docs = reader.schema(
-            "type string, features array<struct<type: string, "
+            "type string, crs struct<properties: struct<name: string>>, features array<struct<type: string, "
             "properties: struct<Country: string, OBJECTID: bigint, Flag: string>, "
             "geometry: struct<type: string, coordinates: string>>>"
         ).json(path)
-        feats = docs.select(F.explode("features").alias("f")).select("f.*")
+        name = F.col("crs.properties.name")
+        known = F.coalesce(name.rlike("(CRS84|EPSG:+4326)$"), F.lit(True))
+        checked = F.when(known, F.col("features")).otherwise(F.raise_error(F.concat(F.lit("boundaries are not in WGS84 but in "), name)))
+        feats = docs.select(F.explode(checked).alias("f")).select("f.*")
     else:
         feats = reader.schema(schema_feature).json(path)
     if region is not None:
