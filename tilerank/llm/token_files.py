@@ -10,7 +10,8 @@ part per attempt and only files named in the materialised manifest are read, so
 place in the whole stream is the sum of the tokens of the files before it: one manifest row per file.
 
 Words are cached: this tokenizer cuts at white space before anything else and never looks across it, so a text's ids are the ids of
-its white-space-separated pieces in a row (tested against whole-text encoding). The cache holds ``CACHE_WORDS`` words.
+its white-space-separated pieces in a row (tested against whole-text encoding). New words of ASCII letters go
+to the tokenizer ``WORDS_A_CALL`` at a time; each ends at its one word-end piece (``</w>``). Others go alone. Beyond ``CACHE_WORDS`` words the cache keeps those that came again since the last such cut.
 
 Defined cases: null text counts as empty (only the end id); repeated rows are written each; a null doc_id comes first; equal
 doc_ids are ordered by a hash of their text; an empty table writes no file and gives no rows; other columns are ignored.
@@ -19,6 +20,7 @@ doc_ids are ordered by a hash of their text; an empty table writes no file and g
 from __future__ import annotations
 
 import functools
+import gc
 import itertools
 import os
 import uuid
@@ -38,6 +40,7 @@ SEQ_LEN = 2048
 BATCH_SEQS = 512
 FILE_TOKENS = 64 << 20
 CACHE_WORDS = 300_000
+WORDS_A_CALL = 256
 SLICE_BYTES = 4 << 20
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long, n_sequences long"
 
@@ -50,25 +53,64 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(tokenizer_file)
+        vocab = self.tok.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.ends_word[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
         self.reset()
 
     def reset(self) -> None:
         self.index: dict[bytes, int] = {}
         self.ids, self.begin = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.again = np.zeros(0, bool)
+
+    def _forget(self) -> None:
+        """Keeps the words that came again; starts anew where these are more than half a cache."""
+        kept = np.flatnonzero(self.again)
+        if len(kept) > CACHE_WORDS // 2:
+            return self.reset()
+        self.index = {w: i for i, w in enumerate(itertools.compress(self.index, self.again))}
+        lens = np.diff(self.begin)[kept]
+        ends = np.concatenate([[0], np.cumsum(lens)])
+        self.ids = self.ids[np.repeat(self.begin[kept] - ends[:-1], lens) + np.arange(ends[-1])]
+        self.begin, self.again = ends, np.zeros(len(kept), bool)
+
+    def _learn(self, new: list[bytes]) -> None:
+        plain = [w for w in new if w.isalpha()]
+        calls = [b" ".join(plain[i : i + WORDS_A_CALL]).decode("ascii") for i in range(0, len(plain), WORDS_A_CALL)]
+        ids = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(calls, add_special_tokens=False)]
+        ends = np.flatnonzero(self.ends_word[np.concatenate(ids)]) if ids else np.empty(0, np.int64)
+        if len(ends) != len(plain):  # another kind of tokenizer
+            plain, ids, ends = [], [], np.empty(0, np.int64)
+        known = set(plain)
+        other = [w for w in new if w not in known]
+        got = [e.ids for e in self.tok.encode_batch_fast([w.decode("utf-8") for w in other], add_special_tokens=False)]
+        lens = np.concatenate([np.diff(ends, prepend=-1), np.array([len(x) for x in got], np.int64)])
+        self.index.update(zip(itertools.chain(plain, other), range(len(self.index), len(self.index) + len(new))))
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(lens)])
+        self.ids = np.concatenate([self.ids, *ids, np.fromiter(itertools.chain.from_iterable(got), np.uint32)])
+        self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
 
     def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(all ids, ids per text); each text ends with ``end_id``."""
+        """(all ids, ids per text); each text ends with ``end_id``. Cycle collection rests meanwhile: nothing here has cycles."""
+        was = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts, end_id)
+        finally:
+            if was:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         split = [(t or "").encode("utf-8").split() for t in texts]
         if len(self.index) > CACHE_WORDS:
-            self.reset()
+            self._forget()
+        known = len(self.index)
         new = list({w for ws in split for w in ws}.difference(self.index))
         if new:
-            got = [e.ids for e in self.tok.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)]
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum([len(x) for x in got])])
-            self.ids = np.concatenate([self.ids, np.fromiter(itertools.chain.from_iterable(got), np.uint32)])
+            self._learn(new)
         n_words = np.array([len(ws) for ws in split], np.int64)
         w = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(n_words.sum()))
+        self.again[w[w < known]] = True
         lens = self.begin[w + 1] - self.begin[w]
         ends = np.concatenate([[0], np.cumsum(lens)])
         bounds = np.concatenate([[0], np.cumsum(n_words)])
@@ -223,7 +265,8 @@ def read_digest(manifest: DataFrame) -> DataFrame:
     """Per document, from the files: its global start, its number of ids and their crc32 (as little-endian uint32)."""
     order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     placed = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(order), F.lit(0)))
-    files = placed.select("path", "base").repartition(F.col("path"))
+    tasks = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a set number: small rows, much work behind each
+    files = placed.select("path", "base").repartition(tasks, F.col("path"))
 
     def read(batches):
         for b in batches:
