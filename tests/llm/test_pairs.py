@@ -1,6 +1,7 @@
 """ProbMinHash near-duplicates and the inverted multi-index against brute force."""
 
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -31,6 +32,53 @@ def test_probability_jaccard_and_estimate():
     assert P.probability_jaccard(ones(a), ones(b)) == pytest.approx(len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
 
 
+def exact_jp(a, b):
+    """J_P as a Fraction, by the definition."""
+    p, q = ({x: Fraction(int(c), int(s[1].sum())) for x, c in zip(s[0].tolist(), s[1].tolist())} for s in (a, b))
+    return sum((1 / sum(max(p.get(y, 0) / p[x], q.get(y, 0) / q[x]) for y in set(p) | set(q)) for x in set(p) & set(q)), Fraction(0))
+
+
+def test_exact_threshold_is_kept():
+    limit, exact = Fraction(4, 5), 0
+    span = lambda lo, hi: np.arange(lo, hi, dtype=np.uint64)
+    ones = lambda x: (x, np.ones(len(x), np.int64))
+    shapes = [(n, m, c) for n in range(1, 90) for m in range(1, n + 1) for c in [(n + m) * 4 // 9] if c <= m]
+    for n, m, c in shapes:
+        a, b = ones(span(0, n)), ones(span(n - c, n - c + m))
+        want = Fraction(c, n + m - c) >= limit
+        exact += Fraction(c, n + m - c) == limit
+        assert P.similar(a, b) == want == bool(P.block_links([a, b], [0, 1], np.zeros(2, int))), (n, m, c)
+    assert exact > 50
+    rng = np.random.default_rng(11)
+    weighted = []
+    for _ in range(3000):  # weighted sets, most of them near the threshold
+        n = int(rng.integers(2, 7))
+        ca = rng.integers(1, 5, n)
+        cb = np.maximum(1, ca + rng.integers(-1, 2, n) * (rng.random(n) < 0.4))
+        weighted.append(((span(0, n), ca), (span(0, n), cb)))
+    for k in (1, 3, 7):  # one part in five is not common, with unequal scales
+        weighted.append(((span(0, 5), np.array([1, 1, 1, 1, 1]) * k), (span(0, 4), np.array([2, 2, 2, 2]) * k)))
+        weighted.append(((span(0, 3), np.array([2, 2, 1]) * k), (span(0, 2), np.array([3, 3]))))
+    hits = 0
+    for a, b in weighted:
+        value = exact_jp(a, b)
+        assert P.probability_jaccard(a, b) == pytest.approx(float(value), abs=1e-12)
+        assert P.similar(a, b) == (value >= limit) == bool(P.block_links([a, b], [0, 1], np.zeros(2, int)))
+        hits += value == limit
+    assert hits >= 6
+
+
+def test_pair_of_exact_threshold_alone_and_in_a_group(spark):
+    """15 and 12 shingles with 12 common: 0.8. The pair is one class, alone with its leader or with a third text beside."""
+    words = [f"w{i}" for i in range(40)]
+    for third in ([], [(3, " ".join(words[1:16]))]):
+        rows = [(1, " ".join(words[:19])), (2, " ".join(words[:16])), *third]
+        a, b = P.text_shingles([t for _, t in rows[:2]])
+        assert exact_jp(a, b) == Fraction(4, 5)
+        got = {r["doc_id"]: r["class_id"] for r in P.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        assert got[1] == got[2] == 1
+
+
 def brute_classes(rows):
     """rows: (doc_id, text) -> class id per row, by all pairs."""
     sets = P.text_shingles([t for _, t in rows])

@@ -14,12 +14,16 @@ left out: what leaves a task are links that join components, never the pairs. So
 verified, a group of mutual copies costs one comparison per copy, and no task holds more than two blocks. Nodes are keyed by their text's
 md5, so texts are joined, never collected.
 
+Every pair is judged without rounding: J_P of exactly 0.8 is a link, in the star check as in the blocks.
+
 Defined cases: null texts and texts without a word are alone in their class (class id: the own doc_id); equal texts are one class; repeated doc_ids are separate rows; the
 class id is the smallest doc_id of the class (null if it has none); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +36,8 @@ SHINGLE = 5
 BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 THRESHOLD = 0.8
+#: Rounding of a sum of parts is far below this; closer to the threshold the sum is taken without rounding.
+NEAR = 1e-9
 SLICE_BYTES = 4 << 20
 #: Nodes per block of a group's comparison.
 BLOCK = 512
@@ -94,25 +100,55 @@ def band_hashes(sig: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return out
 
 
-def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Exact J_P of two weighted sets (sorted hashes, counts).
+def _parts(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers (above, below): J_P of two weighted sets (sorted hashes, counts) is the sum of above / below.
 
-    For common x the denominator is sum over y of max(p_y / p_x, q_y / q_x); over the ratio r_y = p_y / q_y sorted, the maximum is the first term where
-    r_y >= r_x and the second elsewhere, so prefix sums give all denominators in one pass.
+    J_P does not change with the scale of a set, so counts p, q stand for the shares. For common x the denominator is sum over y of
+    max(p_y / p_x, q_y / q_x); over the ratio r_y = p_y / q_y sorted, the maximum is the first term where r_y >= r_x and the second elsewhere, so
+    prefix sums P, Q give 1 / (P / p_x + Q / q_x) for all x in one pass. Shingles of one ratio u / v (lowest terms) are one part,
+    sum of p_x / u * u * v / (P v + Q u); texts without repeated shingles have the one part |common| / |union|. All fit 64 bits below 2^31 words.
     """
     (xa, ca), (xb, cb) = a, b
+    none = np.empty(0, np.int64)
     if not len(xa) or not len(xb):
-        return 0.0
+        return none, none
+    total_a, total_b = int(ca.sum()), int(cb.sum())
+    if total_a == len(xa) and total_b == len(xb):
+        n = len(np.intersect1d(xa, xb, assume_unique=True))
+        return np.array([n]), np.array([len(xa) + len(xb) - n])
     common, ia, ib = np.intersect1d(xa, xb, assume_unique=True, return_indices=True)
     if not len(common):
-        return 0.0
-    p, q = ca[ia] / ca.sum(), cb[ib] / cb.sum()
-    only_a, only_b = 1.0 - p.sum(), 1.0 - q.sum()
-    order = np.argsort(p / q, kind="stable")
-    p, q = p[order], q[order]
-    p_above = p.sum() - np.cumsum(p) + p  # ratios not below the own one; ties give the same term either way
-    q_below = np.cumsum(q) - q
-    return float((1.0 / ((only_a + p_above) / p + (only_b + q_below) / q)).sum())
+        return none, none
+    p, q = ca[ia].astype(np.int64), cb[ib].astype(np.int64)
+    k = np.gcd(p, q)
+    order = np.lexsort((p // k, p / q))
+    p, q, k = p[order], q[order], k[order]
+    u, v = p // k, q // k
+    start = np.flatnonzero(np.r_[True, (u[1:] != u[:-1]) | (v[1:] != v[:-1])])
+    u, v, p, q, k = u[start], v[start], np.add.reduceat(p, start), np.add.reduceat(q, start), np.add.reduceat(k, start)
+    p_above = total_a - np.cumsum(p) + p  # ratios not below the own one, and what only a has
+    q_below = total_b - q.sum() + np.cumsum(q) - q
+    return k * u * v, p_above * v + q_below * u
+
+
+def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """J_P of two weighted sets as a float; ``similar`` decides without rounding."""
+    above, below = _parts(a, b)
+    return float((above / below).sum())
+
+
+def similar(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], threshold: float = THRESHOLD) -> bool:
+    """J_P >= threshold (the decimal that it is written as). Near it the parts are summed as whole fractions, halves by halves."""
+    above, below = _parts(a, b)
+    near = float((above / below).sum()) - threshold
+    if abs(near) > NEAR:
+        return near > 0
+    parts = list(zip(above.tolist(), below.tolist()))
+    while len(parts) > 1:
+        odd = parts[len(parts) // 2 * 2 :]
+        parts = [(n * e + m * d, d * e) for (n, d), (m, e) in zip(parts[::2], parts[1::2])] + odd
+    t = Fraction(str(threshold))
+    return bool(parts) and t.denominator * parts[0][0] >= t.numerator * parts[0][1]
 
 
 def block_links(sets: list[tuple[np.ndarray, np.ndarray]], comp: list, side: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, int]]:
@@ -141,6 +177,7 @@ def block_links(sets: list[tuple[np.ndarray, np.ndarray]], comp: list, side: np.
     both_plain = plain[left][:, None] & plain[right][None]
     sure = both_plain & (inter >= threshold * union - 1e-3)  # settled in whole numbers below
     maybe = ~both_plain & (mass[left] @ support[right].T >= threshold - 1e-4) & ((support[left] @ mass[right].T) >= threshold - 1e-4)
+    limit = Fraction(str(threshold))
     root = {c: c for c in comp}
 
     def find(c):
@@ -155,7 +192,8 @@ def block_links(sets: list[tuple[np.ndarray, np.ndarray]], comp: list, side: np.
         ra, rb = find(comp[a]), find(comp[b])
         if a == b or ra == rb:
             continue
-        if both_plain[i, j] and round(float(inter[i, j])) / round(float(union[i, j])) >= threshold or not both_plain[i, j] and probability_jaccard(sets[a], sets[b]) >= threshold:
+        whole = both_plain[i, j] and limit.denominator * round(float(inter[i, j])) >= limit.numerator * round(float(union[i, j]))
+        if whole or not both_plain[i, j] and similar(sets[a], sets[b], threshold):
             root[ra] = rb
             out.append((a, b))
     return out
@@ -184,7 +222,7 @@ def _verify(batches):
         for k, (a, x, y) in enumerate(zip(u, b.column("leader_text").to_pylist(), b.column("text").to_pylist())):
             if a not in cache:
                 cache = {a: text_shingles([x])[0]}  # rows come sorted by leader
-            if probability_jaccard(cache[a], text_shingles([y])[0]) >= THRESHOLD:
+            if similar(cache[a], text_shingles([y])[0]):
                 keep.append(k)
         yield pa.RecordBatch.from_arrays([pa.array([u[k] for k in keep], pa.string()), pa.array([v[k] for k in keep], pa.string())], names=["src", "dst"])
 
