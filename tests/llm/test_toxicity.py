@@ -48,3 +48,34 @@ def test_label_model_finds_accurate_voters():
     assert ((q > 0.5) == y).mean() > 0.99
     lift = dict(zip((names[j] for j in m.used), m.theta[1, : m.m] - m.theta[0, : m.m]))
     assert lift["seed"] > 3 and lift["no hit"] < -1.5 and abs(lift["masked"]) < 1
+
+
+def test_copies_and_long_texts_push_nothing_out(spark):
+    """Copies count once for a term, and every term that passes is kept: insults that also occur in clean rows stay beside thousands of stronger terms."""
+    letters = "abcdefghijklmnop"
+    code = lambda i: "".join(letters[int(d, 16)] for d in f"{i:04x}")
+    long_ = " ".join(f"zq{code(i)}" for i in range(3000))
+    spread = " ".join(f"yx{code(i)}" for i in range(4500))
+    rows = [(f"{long_}", 1)] * 40 + [(f"{spread} {code(i)}", 1) for i in range(12)]
+    rows += [(f"such a blorf {code(100 + i)}", 1) for i in range(80)] + [(f"a fine blorf {code(300 + i)}", 0) for i in range(20)] + [(f"quiet day {code(500 + i)}", 0) for i in range(300)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    notes = T.training_notes(docs, labels)
+    lex = T.mine_lexicon(T.training_texts(docs, notes, 1.0))
+    has = lambda w: T.terms_of(w)[0] in set(lex.ids.tolist())
+    assert has("blorf") and not has("zq" + code(5)), "the insult stays; a word of one copied text has one text"
+    assert all(has(f"yx{code(i)}") for i in range(4500)) and len(lex.ids) > 4000
+    per = {(r["y"]): r["n"] for r in notes.groupBy("y").count().withColumnRenamed("count", "n").collect()}
+    got = T.training_texts(docs, notes, 1.0).selectExpr("sum(n1) a", "sum(n0) b", "max(n1) m").first()
+    assert (got["a"], got["b"]) == (per[1], per[0]) and got["m"] > 20  # rows are all counted for the voters
+    scores = {r["doc_id"]: r["score"] for r in T.judge(docs, labels).collect()}
+    assert min(scores[i] for i in range(52, 132)) >= T.THRESHOLD > max(scores[i] for i in range(152, 452))
+
+
+def test_read_of_many_is_read_of_each():
+    lex = T.Lexicon(*(np.array(x, t) for x, t in zip(zip(*sorted((t, i % 3 + 1) for i, t in enumerate(T.terms_of("blorfing") + T.terms_of("snark")))), (np.uint64, np.uint8))))
+    texts = ["You blorfing idiot", None, "", "BLORF snark", "sn**rk here", "a snark a snark"]
+    assert lex.read(texts) == [lex.read([t])[0] for t in texts] and lex.read([]) == []
+    v = T.Lexicon.VOTERS.index
+    none, some = lex.read(["quiet"])[0], lex.read(["snark"])[0]
+    assert none[0] == 1 << v("no hit") and some[1] and not some[0] >> v("no hit") & 1
