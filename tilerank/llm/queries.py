@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import inverted_multi_index, line_dedup, mixing, piece_lattice, prob_minhash, quality_rules, suffix_dedup, token_files, toxicity, url_filter
+from . import inverted_multi_index, line_dedup, mixing, ngram_join, piece_lattice, prob_minhash, quality_rules, suffix_dedup, token_files, toxicity, url_filter
 from .common import register, table
 
 
@@ -63,3 +63,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_merged_transforms")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@register("op11_ngram_join", ngram_join.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
