@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import inverted_multi_index, line_dedup, mixing, ngram_join, piece_lattice, prob_minhash, quality_rules, suffix_dedup, token_files, toxicity, url_filter
+from . import bisector, inverted_multi_index, line_dedup, mixing, ngram_join, piece_lattice, prob_minhash, quality_rules, spelling, suffix_dedup, token_files, toxicity, url_filter
 from .common import register, table
 
 
@@ -68,3 +68,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op11_ngram_join", ngram_join.ORACLE)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@register("op12_permuterm")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@register("op13_bisector", bisector.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisector.cluster(table(spark, sf_dir, "embeddings"))
