@@ -20,8 +20,8 @@ Plan. Equal sets are one node.
    again, so a group of mutual copies costs one verification per copy, and what is shipped twice are the nodes outside.
 
 A hot shingle cannot fill a task: it has one row per node, copies of one text beyond ``HEAVY_SHARE`` of all rows are dropped by a broadcast of these
-texts before the shuffle (at most 1 / HEAVY_SHARE rows), and shingles that a sample of ``HOT_SAMPLE`` nodes shows to be common are counted by partial aggregates instead. The sample
-steers the shuffle only, every count is exact.
+texts before the shuffle (at most 1 / HEAVY_SHARE rows), and shingles that a sample of about ``HOT_SAMPLE`` nodes (by hash) shows to be common are counted by partial
+aggregates instead. The sample steers the shuffle only, every count is exact.
 
 Shingles are 64-bit hashes: a link of two given texts is misjudged with a probability of about (n / 2^32)^2.
 
@@ -109,7 +109,8 @@ def _full(batches):
 def _shared(sets: DataFrame, hs: str) -> DataFrame:
     """(node, h, df) of the shingles that two nodes or more hold; ``sets`` is a materialised table, df counts its rows."""
     rows = sets.select("node", F.explode(hs).alias("h"))
-    seen = sets.orderBy(F.xxhash64("node")).limit(HOT_SAMPLE).select("node", F.explode(hs).alias("h")).distinct()
+    every = max(1, sets.count() // HOT_SAMPLE)
+    seen = sets.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("node", F.explode(hs).alias("h")).distinct()
     hot = stage(seen.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") >= HOT_SAMPLE * HOT_SHARE).select("h"), "ngram-hot")
     some = hot.limit(1).count() > 0
     light = (rows.join(F.broadcast(hot), "h", "left_anti") if some else rows).repartition("h")
