@@ -128,8 +128,10 @@ def _survivors(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """Nodes whose screen part holds no more singles than a link allows."""
     total = nodes.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("t")).first()["t"]
     copied = nodes.where(F.col("copies") >= max(1000, int(total * HEAVY_SHARE))).select("key", F.col("node_doc").alias("first_doc"))
-    once = rows.where("key IS NOT NULL").join(F.broadcast(copied), "key", "left")
-    once = once.where(F.col("first_doc").isNull() | F.col("doc_id").eqNullSafe(F.col("first_doc"))).select("node", "low")
+    once = rows.where("key IS NOT NULL")
+    if copied.limit(1).count():
+        once = once.join(F.broadcast(copied), "key", "left").where(F.col("first_doc").isNull() | F.col("doc_id").eqNullSafe(F.col("first_doc")))
+        once = stage(once.select("node", "low"), "ngram-once")  # read several times
     shared = _shared(once, "low").select("node", "h").distinct().groupBy("node").agg(F.count("*").alias("shared"))
     singles = F.col("n_low") - F.coalesce(F.col("shared"), F.lit(0))
     return nodes.join(shared.hint("merge"), "node", "left").where(singles <= _slack("n"))
