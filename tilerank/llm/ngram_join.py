@@ -52,7 +52,7 @@ SCREEN_BITS = 2
 #: Nodes looked at for common shingles, and the share of them that makes a shingle common.
 HOT_SAMPLE, HOT_SHARE = 4096, 0.01
 #: Shingles per side of a block.
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 18
 #: Candidates of one node up to this number are verified one by one.
 FEW = 16
 SUFFIX_DEPTH = 4
