@@ -110,7 +110,7 @@ def _shared(sets: DataFrame, hs: str) -> DataFrame:
     """(node, h, df) of the shingles that two nodes or more hold; ``sets`` is a materialised table, df counts its rows."""
     rows = sets.select("node", F.explode(hs).alias("h"))
     every = max(1, sets.count() // HOT_SAMPLE)
-    seen = sets.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select("node", F.explode(hs).alias("h")).distinct()
+    seen = sets.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).select(F.explode(hs).alias("h"))
     hot = stage(seen.groupBy("h").agg(F.count("*").alias("c")).where(F.col("c") >= HOT_SAMPLE * HOT_SHARE).select("h"), "ngram-hot")
     some = hot.limit(1).count() > 0
     light = (rows.join(F.broadcast(hot), "h", "left_anti") if some else rows).repartition("h")
@@ -157,17 +157,18 @@ def _ordered(texts: DataFrame) -> DataFrame:
 
 
 def _meetings(alive: DataFrame) -> DataFrame:
-    """(leader, nid, lead_n, n, at): one row per pair of a node and the leader of a bucket that it is in.
+    """(leader, nid, lead_n, lead_w, n, w, at): one row per pair of a node and the leader of a bucket that it is in.
 
-    ``at`` is the match with the lowest positional bound: struct (bound, i, j), i and j the places in the leader's and in the node's order.
+    n counts shingles, w those that are no singles; ``at`` is the match with the lowest positional bound: struct (bound, i, j), i and j the places in the leader's and in the node's order.
     """
     prefix = F.slice("toks", F.lit(1), (_slack("n") + 1 - F.col("u")).cast("int"))
-    slots = stage(alive.select("nid", "n", "u", F.posexplode(prefix).alias("j", "h")).select("nid", "n", (F.col("u") + F.col("j")).alias("j"), "h"), "ngram-slots")
-    lead = F.min(F.struct("nid", "n", "j")).alias("lead")
+    slots = alive.select("nid", "n", "u", F.size("toks").cast("long").alias("w"), F.posexplode(prefix).alias("j", "h"))
+    slots = stage(slots.select("nid", "n", "w", (F.col("u") + F.col("j")).alias("j"), "h"), "ngram-slots")
+    lead = F.min(F.struct("nid", "n", "j", "w")).alias("lead")
     buckets = stage(slots.groupBy("h").agg(lead, F.count("*").alias("members")).where("members > 1"), "ngram-buckets")
-    both = join_counted(slots, buckets, ["h"], "members").where("nid <> lead.nid").select(F.col("lead.nid").alias("leader"), "nid", F.col("lead.n").alias("lead_n"), "n", F.col("lead.j").alias("i"), "j")
+    both = join_counted(slots, buckets, ["h"], "members").where("nid <> lead.nid").select(F.col("lead.nid").alias("leader"), "nid", F.col("lead.n").alias("lead_n"), F.col("lead.w").alias("lead_w"), "n", "w", F.col("lead.j").alias("i"), "j")
     bound = F.least("i", "j") + 1 + F.least(F.col("lead_n") - F.col("i") - 1, F.col("n") - F.col("j") - 1)
-    return stage(both.groupBy("leader", "nid", "lead_n", "n").agg(F.min(F.struct(bound.alias("bound"), "i", "j")).alias("at")), "ngram-meetings")
+    return stage(both.groupBy("leader", "nid", "lead_n", "lead_w", "n", "w").agg(F.min(F.struct(bound.alias("bound"), "i", "j")).alias("at")), "ngram-meetings")
 
 
 def suffix_bound(x: np.ndarray, y: np.ndarray, depth: int = SUFFIX_DEPTH) -> int:
@@ -281,10 +282,9 @@ def _join_block(t: pa.Table) -> pa.Table:
 
 def _open_links(met: DataFrame, alive: DataFrame, comps: DataFrame) -> DataFrame:
     """Links between components inside the groups of leaders."""
-    members = met.select("leader", "nid").union(met.select("leader", F.col("leader").alias("nid")).distinct())
-    members = members.join(comps, "nid", "left").withColumn("comp", F.coalesce("comp", "nid"))
-    sized = alive.select("nid", F.floor(F.ln("n") / CLASS_BASE).cast("int").alias("cls"), F.size("toks").cast("long").alias("w"))
-    members = stage(members.join(sized.hint("merge"), "nid"), "ngram-members")
+    members = met.select("leader", "nid", "n", "w").union(met.select("leader", F.col("leader").alias("nid"), F.col("lead_n").alias("n"), F.col("lead_w").alias("w")).distinct())
+    members = members.join(comps, "nid", "left").withColumns({"comp": F.coalesce("comp", "nid"), "cls": F.floor(F.ln("n") / CLASS_BASE).cast("int")})
+    members = stage(members, "ngram-members")
     main = F.max(F.when(F.col("nid") == F.col("leader"), F.col("comp"))).alias("main")
     open_ = members.groupBy("leader").agg(main, F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("g")).where("lo <> hi AND g > 2")
     open_ = stage(open_.select("leader", "main", "g"), "ngram-open")
