@@ -125,7 +125,7 @@ def test_nearest_matches_brute_force(spark):
     segs = [(j, x, y, x + rnd.uniform(-900, 900), y + rnd.uniform(-900, 900)) for j, x, y in right]
     L = spark.createDataFrame(left, "k long, x double, y double")
     R = spark.createDataFrame(segs, "fid long, x1 double, y1 double, x2 double, y2 double")
-    got = {r["k"]: r["distance_m"] for r in nearest_feature(L, R, "k", "fid", cell_m=300.0).collect()}
+    got = {r["k"]: r["distance_m"] for r in nearest_feature(L, R, "k", "fid").collect()}
 
     def seg(px, py, x1, y1, x2, y2):
         dx, dy = x2 - x1, y2 - y1

@@ -41,7 +41,7 @@ def test_lattice_points(spark, cell):
 def test_nearest_has_no_cap_and_takes_null_sides(spark):
     left = spark.createDataFrame([("a", 0.0, 0.0), ("b", 0.0, 9e6)], "site_id string, x double, y double")
     right = spark.createDataFrame([(1, 1000.0, 0.0, 1000.0, 0.0), (2, None, None, None, None)], "rid int, x1 double, y1 double, x2 double, y2 double")
-    got = {r["site_id"]: (r["distance_m"], r["rid"]) for r in nearest_feature(left, right, "site_id", "rid", cell_m=0.001).collect()}
+    got = {r["site_id"]: (r["distance_m"], r["rid"]) for r in nearest_feature(left, right, "site_id", "rid").collect()}
     assert got["a"] == (1000.0, 1) and got["b"] == (pytest.approx((9e6**2 + 1e6) ** 0.5), 1)
     none = nearest_feature(left, right.where("rid = 2"), "site_id", "rid").collect()
     assert [(r["distance_m"], r["rid"]) for r in none] == [(None, None)] * 2

@@ -1,8 +1,8 @@
 """Spatial joins as grid-cell equi-joins: point in polygon, nearest feature, points within a radius.
 
 No operator here plans a cross join or a nested-loop join; every pairing goes through an
-equality on integer cell coordinates, so Spark can hash-partition both sides and AQE can
-split skewed cells.
+equality on integer cell coordinates or block numbers, so Spark can hash-partition both sides
+and AQE can split skewed cells.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import point_segment_distance
 from ..session import cut_lineage
+from .boxtree import nearest_pairs
 
 # ---------------------------------------------------------------------------
 # point in polygon (strict interior, even-odd rule)
@@ -145,91 +146,45 @@ def _block3(df: DataFrame, ci0: str, cj0: str, ci: str, cj: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# nearest feature (exact, multi-level grid)
+# nearest feature (exact, two pyramids of boxes)
 # ---------------------------------------------------------------------------
 
 
 def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key: str, carry: Sequence[str] = (),
-                    lx: str = "x", ly: str = "y", cell_m: float | None = None, dist_col: str = "distance_m") -> DataFrame:
+                    lx: str = "x", ly: str = "y", dist_col: str = "distance_m") -> DataFrame:
     """For each left point, the nearest right geometry (segments; points are zero-length segments).
 
     ``left``: ``(left_key, lx, ly)``; ``right``: ``(right_key, x1, y1, x2, y2, carry...)`` in the
     same planar metres. Output: ``left_key, dist_col, right_key, carry...`` with one row per left
     key; ties are broken by the smallest ``right_key``. An empty right side gives NULLs, and right rows without coordinates take no part.
 
-    Level k uses square cells of side ``s_k = s0 * 2**k``. Right pieces (segments cut to at most
-    ``s0``) are indexed by the cells their boxes touch; each unresolved left point looks at its
-    3 x 3 block (or, when the right side is the smaller one, every piece is spread over the 3 x 3
-    block of its cells and each point looks at its own cell only: the same pairs, but the larger
-    side is not multiplied). A point whose best distance is at most ``s_k`` is final, because every location
-    within ``s_k`` of it lies inside that block. Unresolved points go to the next level; at the
-    level where ``s_k`` exceeds the extent of both sides every point resolves. ``s0`` defaults to
-    the mean spacing of the right segments (about one per cell): with uniform data about 95 % of
-    the points finish at level 0, and a dense area costs candidates in proportion to its local
-    density only.
+    Equal geometries count once (the smallest key), so a place that holds a third of all rows is one row. Segments
+    are cut to the mean spacing of the right side, which keeps boxes small; distances use the whole segment.
+    Points and pieces are then walked as two pyramids of boxes (:func:`boxtree.nearest_pairs`): a point meets the
+    few blocks of pieces whose boxes can hold its nearest geometry, wherever and however densely they lie.
     """
     carry = list(carry)
     base0 = cut_lineage(left.select(F.col(left_key).alias("_lk"), F.col(lx).alias("_x"), F.col(ly).alias("_y")))
     base = base0.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    # the right side is scanned once per level: materialise its (projected) segments once
     placed = right.where(F.col("x1").isNotNull() & F.col("y1").isNotNull() & F.col("x2").isNotNull() & F.col("y2").isNotNull())
-    segs = cut_lineage(placed.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry))
+    placed = placed.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry)
+    once = placed.groupBy("x1", "y1", "x2", "y2").agg(F.min_by(F.struct("_rk", *carry), "_rk").alias("_r"))
+    segs = cut_lineage(once.select("x1", "y1", "x2", "y2", *[F.col(f"_r.{c}").alias(c) for c in ["_rk", *carry]]))
     ext = segs.agg(F.count(F.lit(1)).alias("n"), F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
                    F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y1")).first()
-    lext = base.agg(F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1"),
-                    F.count(F.lit(1)).alias("n")).first()
-    base_count = lext["n"]
-    out_cols = [F.col(left_key)] + [F.lit(None).cast("double").alias(dist_col)]
-    if not ext["n"] or lext["x0"] is None:
+    if not ext["n"] or base.isEmpty():
         empty = base0.select(F.col("_lk").alias(left_key)).distinct().withColumn(dist_col, F.lit(None).cast("double"))
         empty = empty.withColumn(right_key, F.lit(None).cast(right.schema[right_key].dataType))
         for c in carry:
             empty = empty.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
         return empty
-    span = max(ext["x1"], lext["x1"]) - min(ext["x0"], lext["x0"]), max(ext["y1"], lext["y1"]) - min(ext["y0"], lext["y0"])
-    diag = math.hypot(*span) + 1.0
-    if cell_m is None:
-        area = max((ext["x1"] - ext["x0"]) * (ext["y1"] - ext["y0"]), 1.0)
-        cell_m = max(math.sqrt(area / ext["n"]), 1.0)
-    s0 = float(cell_m)
-    # pieces only decide which cells a segment is indexed in; distances use the whole segment
-    pieces = cut_lineage(_split_pieces(segs, s0, ["_rk", *carry]))
-    resolved_parts = []
-    todo = base
-    level = 0
+    area = max((ext["x1"] - ext["x0"]) * (ext["y1"] - ext["y0"]), 1.0)
+    pieces = _split_pieces(segs, max(math.sqrt(area / ext["n"]), 1.0), ["_rk", *carry])
     best = F.min_by(F.struct(*[F.col(c) for c in ["_rk", *carry]]), F.struct(F.col("_d"), F.col("_rk")))
-    n_pieces = pieces.count()
-    while True:
-        s = s0 * (2 ** level)
-        index = _explode_cells(pieces, ["_rk", *carry, "x1", "y1", "x2", "y2"], "_pxmin", "_pymin", "_pxmax", "_pymax", s)
-        cells = todo.withColumns({"ci": F.floor(F.col("_y") / s), "cj": F.floor(F.col("_x") / s)})
-        n_todo = base_count if level == 0 else todo.count()
-        if n_pieces <= n_todo:
-            # fewer right pieces than open points: spread the pieces over the 3 x 3 block instead
-            probe = cells
-            index = _block3(index.withColumnsRenamed({"ci": "_ci0", "cj": "_cj0"}), "_ci0", "_cj0", "ci", "cj")
-        else:
-            probe = _block3(cells.withColumnsRenamed({"ci": "_ci0", "cj": "_cj0"}), "_ci0", "_cj0", "ci", "cj")
-        pairs = probe.join(index, ["ci", "cj"], "inner").withColumn(
-            "_d", point_segment_distance("_x", "_y", "x1", "y1", "x2", "y2"))
-        found = pairs.groupBy("_lk").agg(F.min("_d").alias("_dmin"), best.alias("_best"))
-        last = s >= diag
-        done = found if last else found.where(F.col("_dmin") <= s)
-        done = cut_lineage(done)
-        resolved_parts.append(done)
-        if last:
-            break
-        todo = cut_lineage(todo.join(done.select("_lk"), "_lk", "left_anti"))
-        if todo.isEmpty():
-            break
-        level += 1
-    res = resolved_parts[0]
-    for p in resolved_parts[1:]:
-        res = res.unionByName(p)
-    res = res.select(F.col("_lk").alias(left_key), F.col("_dmin").alias(dist_col), *[F.col(f"_best.{c}").alias(c) for c in ["_rk", *carry]])
-    res = res.withColumnRenamed("_rk", right_key)
-    keys = base0.select(F.col("_lk").alias(left_key)).distinct()
-    return keys.join(res, left_key, "left")
+    res = nearest_pairs(base, pieces).groupBy("_lk").agg(F.min("_d").alias("_dmin"), best.alias("_best"))
+    res = res.select("_lk", F.col("_dmin").alias(dist_col), F.col("_best._rk").alias(right_key), *[F.col(f"_best.{c}").alias(c) for c in carry])
+    keys = base0.select("_lk").distinct()
+    return cut_lineage(keys.join(res, "_lk", "left")).withColumnRenamed("_lk", left_key)
 
 
 # ---------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.geo import mean_longitude_zone, with_lonlat, with_utm
+from ..operators.boxtree import close_groups, grouped_points, weight_within
 from ..operators.graph import connected_components
 from ..session import cut_lineage
 from ..operators.spatial import join_within_polygon, join_within_radius, nearest_feature
@@ -39,53 +40,66 @@ def eps_self_join(points: DataFrame, eps: float = K.CLUSTER_EPS_M, key: str = "n
     return join_within_radius(left, right, eps).select("src", "dst", "distance_m")
 
 
-def _cell_graph(nodes: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
-    """Edges between nodes within ``eps`` without quadratic work inside a cell.
-
-    Cells of side ``eps / sqrt(2)`` have diagonal ``eps``, so all nodes of one cell are
-    mutually linked: each node is tied to its cell representative (smallest key). Only node
-    pairs in different cells (up to two cells apart) are tested, and each tested pair
-    contributes at most one representative-to-representative edge.
-    """
+def _cells(nodes: DataFrame, eps: float) -> DataFrame:
+    """``nodes`` with their cell ``ci, cj`` (side ``eps / sqrt(2)``, so all nodes of one cell are within ``eps``) and ``rep``, the cell's smallest node."""
     c = eps / math.sqrt(2.0)
     n = nodes.withColumns({"ci": F.floor(F.col("y") / c), "cj": F.floor(F.col("x") / c)})
-    reps = n.groupBy("ci", "cj").agg(F.min("node").alias("rep"))
-    n = n.join(reps, ["ci", "cj"])
+    return cut_lineage(n.join(n.groupBy("ci", "cj").agg(F.min("node").alias("rep")), ["ci", "cj"]))
+
+
+def _around(cells: DataFrame, half: bool) -> DataFrame:
+    """Each row for every cell up to two cells away (``half``: one direction of each pair, own cell left out)."""
+    offs = [(di, dj) for di in range(-2, 3) for dj in range(-2, 3) if (di, dj) > (0, 0) or not half and (di, dj) != (0, 0)]
+    o = F.explode(F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj")) for a, b in offs]))
+    d = cells.withColumn("_o", o)
+    return d.withColumns({"ci": F.col("ci") + F.col("_o.di"), "cj": F.col("cj") + F.col("_o.dj")}).drop("_o")
+
+
+def _cell_graph(n: DataFrame, eps: float) -> DataFrame:
+    """Edges ``src, dst`` with the components of the ``<= eps`` graph: every node with its cell's representative, and one edge per pair of close cells.
+
+    Whether two cells are close is settled on pyramids of their nodes (:func:`boxtree.close_groups`), so a cell of thousands of
+    positions costs a few box tests per neighbour cell, not all pairs.
+    """
     star = n.select(F.col("node").alias("src"), F.col("rep").alias("dst"))
-    offs = [(di, dj) for di in range(-2, 3) for dj in range(-2, 3) if (di, dj) > (0, 0)]
-    probe = n.select("node", "x", "y", "rep", "ci", "cj",
-                     F.explode(F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj")) for a, b in offs])).alias("o"))
-    probe = probe.select(F.col("rep").alias("src"), F.col("x").alias("ax"), F.col("y").alias("ay"),
-                         (F.col("ci") + F.col("o.di")).alias("ci"), (F.col("cj") + F.col("o.dj")).alias("cj"))
-    other = n.select("ci", "cj", F.col("rep").alias("dst"), F.col("x").alias("bx"), F.col("y").alias("by"))
-    d2 = (F.col("bx") - F.col("ax")) * (F.col("bx") - F.col("ax")) + (F.col("by") - F.col("ay")) * (F.col("by") - F.col("ay"))
-    cross = probe.join(other, ["ci", "cj"]).where(F.sqrt(d2) <= eps).select("src", "dst").distinct()
-    return n, star.unionByName(cross)
+    cells = n.select("ci", "cj", "rep").distinct()
+    pairs = _around(cells.withColumnRenamed("rep", "ag"), half=True).join(cells.withColumnRenamed("rep", "bg"), ["ci", "cj"]).select("ag", "bg")
+    points = grouped_points(n, "rep", "node")
+    close = close_groups(points, points, pairs, eps)
+    return star.unionByName(close.select(F.col("ag").alias("src"), F.col("bg").alias("dst")))
 
 
 def cluster_antennas(df: DataFrame, eps: float = K.CLUSTER_EPS_M, min_samples: int = 1) -> DataFrame:
     """DBSCAN in UTM metres; with ``min_samples=1`` clusters are the connected components of the
     ``<= eps`` graph over distinct positions. Adds ``cluster_id`` (smallest position key in the
     cluster), ``x, y`` (projected) and ``node``; with ``min_samples > 1`` non-core points that
-    reach no core point get ``cluster_id = -1`` and border points join the smallest adjacent cluster."""
+    reach no core point get ``cluster_id = -1`` and border points join the smallest adjacent cluster.
+
+    No pairs of positions are formed. A cell that weighs ``min_samples`` holds core points only; the others count what lies around them by
+    whole nodes of pyramids, until they have enough. Core points of one cell are one cluster, so a border point asks per cell."""
     zone = mean_longitude_zone(df)
     pts = with_utm(df.withColumn("node", node_key()), zone)
     nodes = pts.select("node", "x", "y").dropDuplicates(["node"])
     if min_samples <= 1:
-        cells, edges = _cell_graph(nodes, eps)
-        labels = connected_components(nodes, edges)
+        labels = connected_components(nodes.select("node"), _cell_graph(_cells(nodes, eps), eps))
         return pts.join(labels.withColumnRenamed("label", "cluster_id"), "node", "left")
-    # general DBSCAN: degree counts every antenna row within eps, itself included
-    weight = pts.groupBy("node").agg(F.count(F.lit(1)).alias("w"))
-    pairs = eps_self_join(nodes, eps)
-    deg = pairs.join(weight.withColumnRenamed("node", "dst"), "dst").groupBy("src").agg(F.sum("w").alias("deg"))
-    core = deg.where(F.col("deg") >= min_samples).select(F.col("src").alias("node"))
-    core_edges = pairs.join(core.withColumnRenamed("node", "src"), "src", "left_semi").join(core.withColumnRenamed("node", "dst"), "dst", "left_semi")
-    labels = connected_components(core, core_edges.select("src", "dst"))
-    border = pairs.join(core.withColumnRenamed("node", "dst"), "dst", "left_semi").join(core.withColumnRenamed("node", "src"), "src", "left_anti")
-    border = border.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("label").alias("label"))
-    all_labels = labels.unionByName(border)
-    out = pts.join(all_labels.withColumnRenamed("label", "cluster_id"), "node", "left")
+    # the degree counts every antenna row within eps, itself included
+    n = _cells(nodes.join(pts.groupBy("node").agg(F.count(F.lit(1)).alias("w")), "node"), eps)
+    cells = cut_lineage(n.groupBy("ci", "cj", "rep").agg(F.sum("w").alias("have")))
+    thin = n.join(cells.where(F.col("have") < min_samples), ["ci", "cj", "rep"])
+    look = _around(thin.select("node", "ci", "cj"), half=False).join(cells.select("ci", "cj", F.col("rep").alias("bg")), ["ci", "cj"]).select("node", "bg")
+    degree = weight_within(thin.select("node", F.col("x").alias("px"), F.col("y").alias("py"), "have"), grouped_points(n, "rep", "node"), look, eps, min_samples)
+    full = n.join(cells.where(F.col("have") >= min_samples), ["ci", "cj", "rep"], "left_semi").select("node")
+    core = cut_lineage(full.unionByName(degree.where(F.col("weight") >= min_samples).select("node")))
+    cored = _cells(n.join(core, "node", "left_semi").select("node", "x", "y"), eps)
+    labels = cut_lineage(connected_components(core, _cell_graph(cored, eps)))
+    rest = n.join(core, "node", "left_anti").select("node", "x", "y", "ci", "cj")
+    of_cell = cored.select("ci", "cj", "rep").distinct()
+    own = rest.join(of_cell, ["ci", "cj"]).select("node", "rep")
+    ask = _around(rest.select(F.col("node").alias("ag"), "ci", "cj"), half=False).join(of_cell.withColumnRenamed("rep", "bg"), ["ci", "cj"]).select("ag", "bg")
+    border = close_groups(grouped_points(rest, "node", "node"), grouped_points(cored, "rep", "node"), ask, eps).select(F.col("ag").alias("node"), F.col("bg").alias("rep"))
+    named = own.unionByName(border).join(labels.withColumnRenamed("node", "rep"), "rep").groupBy("node").agg(F.min("label").alias("label"))
+    out = pts.join(labels.unionByName(named).withColumnRenamed("label", "cluster_id"), "node", "left")
     return out.withColumn("cluster_id", F.coalesce(F.col("cluster_id"), F.lit(-1).cast("bigint")))
 
 
