@@ -1,6 +1,6 @@
 """Searches over pyramids of boxes: nearest geometry, close groups, weight within a radius.
 
-A side's rows are put in Z-order (a distributed sort) and every ``LEAF`` rows in a row are a block with its box; four blocks make a node of the level
+A side's rows are put in Z-order (a distributed sort) and every 2^``LEAF_BITS`` rows in a row are a block with its box; 2^``FAN_BITS`` blocks make a node of the level
 above, and so on. Rows per block do not depend on how densely they lie, so a city and an empty coast cost the same per row, and there is no cell size to
 choose. Two such pyramids are walked from their tops at once, as joins of (left node, right node) pairs: what the boxes rule out leaves the walk, what stays is replaced by pairs of
 children. Every step is an equi-join on node numbers and a reduction per left node; no step forms all pairs of anything but the two tops (at most ``TOP`` nodes each).
@@ -8,7 +8,6 @@ children. Every step is an equi-join on node numbers and a reduction per left no
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +18,7 @@ from ..session import cut_lineage
 from .rank import global_row_number
 
 #: Rows per block, as a power of two; children per node, as a power of two; nodes at the top of a walk.
-LEAF_BITS, FAN_BITS, TOP = 4, 2, 64
+LEAF_BITS, FAN_BITS, TOP = 3, 3, 256
 #: Bits per axis of the Z-order.
 Z_BITS = 26
 #: Bounds that are this close (metres) are not told apart; exact distances decide.
@@ -143,16 +142,16 @@ def nearest_pairs(points: DataFrame, pieces: DataFrame) -> DataFrame:
 def grouped_points(points: DataFrame, group: str, key: str) -> tuple[DataFrame, int]:
     """(``g, k, x, y`` and ``w`` if there is one, levels): the points of each group numbered in Z-order from 0, materialised.
 
-    A group's pyramid is made of the numbers: node ``k >> 2 * level`` of a level.
+    A group's pyramid is made of the numbers: node ``k >> FAN_BITS * level`` of a level.
     """
-    n, corner, side = _extent(points, {"x0": F.col("x"), "x1": F.col("x"), "y0": F.col("y"), "y1": F.col("y")})
+    _, corner, side = _extent(points, {"x0": F.col("x"), "x1": F.col("x"), "y0": F.col("y"), "y1": F.col("y")})
     keep = ["x", "y", *(["w"] if "w" in points.columns else [])]
     placed = z_order(points.select(F.col(group).alias("g"), F.col(key).alias("_key"), *keep), F.col("x"), F.col("y"), corner, side)
     rows = global_row_number(placed, [F.col("g"), F.col("_z"), F.col("_key")], "_rn")
-    first = cut_lineage(rows.groupBy("g").agg(F.min("_rn").alias("_first"), F.count(F.lit(1)).alias("_size")))
-    largest = first.agg(F.max("_size").alias("m")).first()["m"] or 1
+    first = rows.groupBy("g").agg(F.min("_rn").alias("_first"))
     rows = cut_lineage(rows.join(first, "g").select("g", (F.col("_rn") - F.col("_first")).alias("k"), *keep))
-    return rows, math.ceil(math.log(largest, 1 << FAN_BITS)) if largest > 1 else 0
+    last = rows.agg(F.max("k").alias("m")).first()["m"] or 0
+    return rows, -(-last.bit_length() // FAN_BITS)
 
 
 def _nodes(points: DataFrame, level: int, side: str) -> DataFrame:
