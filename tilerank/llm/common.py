@@ -56,6 +56,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(docs: DataFrame, needed: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """The columns ``needed`` and one struct ``carried`` of all others, numbered, so that no name of theirs can meet a name used inside an operator."""
+    others = [c for c in docs.columns if c not in needed]
+    fields = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)]
+    return docs.select(*needed, F.struct(F.lit(True).alias("row"), *fields).alias("carried"))
+
+
+def unpacked(rows: DataFrame, like: DataFrame, needed: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
+    """The columns of ``like``, in its order and types, from rows made by ``packed`` (``needed`` as there)."""
+    kinds = dict(like.dtypes)
+    others = {c: f"carried.c{i}" for i, c in enumerate(c for c in like.columns if c not in needed)}
+    return rows.select(*(F.col(others.get(c, c)).cast(kinds[c]).alias(c) for c in like.columns))
+
+
 def join_counted(rows: DataFrame, keys: DataFrame, on: list[str], n: str = "n") -> DataFrame:
     """Inner join of ``rows`` with ``keys`` (one row per key; column ``n`` counts the key's rows in ``rows``).
 
