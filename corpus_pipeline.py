@@ -5,6 +5,7 @@ returns the encoded rows. ``run`` writes every stage's result as Parquet to the
 on all that the one before kept.
 
 Defined cases are those of the operators (see their modules): nulls, empty and very long texts, repeated rows and empty tables pass every stage.
+Columns that a stage does not read travel as one struct, so they may have any name, those used inside the operators included, and keep their values.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilerank.llm import line_dedup, mixing, piece_lattice, prob_minhash, toxicity
-from tilerank.llm.common import prepare, stage, table
+from tilerank.llm.common import packed, prepare, stage, table, unpacked
 
 #: No SQL: the classifier, the sketches and the tokenizer are beyond it; tests/llm/test_pipeline.py compares with brute force.
 ORACLE_SQL = None
@@ -24,42 +25,43 @@ IN_WORD = r"[^\x20\x09-\x0D]"
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak-supervision classifier rejects (score >= 0.3) go."""
     prepare(spark)
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    keep = tuple(c for c in docs.columns if c != "doc_id")
-    return toxicity.score(docs, model, keep).where(F.col("score") < toxicity.THRESHOLD).select(*docs.columns)
+    model = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    scored = toxicity.score(packed(docs), model, ("text", "carried"))
+    return unpacked(scored.where(F.col("score") < toxicity.THRESHOLD), docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of three-line windows go; so do documents that lose their last word by it. ``n_chars`` counts what is left."""
     prepare(spark)
-    extra = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    cut = line_dedup.line_dedup(docs, extra)
+    needed = ("doc_id", "text", *(c for c in docs.columns if c == "n_chars"))
+    cut = line_dedup.line_dedup(packed(docs, needed), (*needed[2:], "carried"))
     left = cut.where((F.col("n_removed") == 0) | F.col("text").rlike(IN_WORD))
-    if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        left = left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return left.select(*docs.columns)
+    if "n_chars" in needed:
+        left = left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")))
+    return unpacked(left, docs, needed)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays, the one of the smallest doc_id; documents without a word stay."""
     prepare(spark)
+    rows = packed(docs)
     worded = F.coalesce(F.col("text").rlike(IN_WORD), F.lit(False))
-    found = prob_minhash.near_duplicates(docs).where("rep AND key IS NOT NULL")
+    found = prob_minhash.near_duplicates(docs.select("doc_id", "text")).where("rep AND key IS NOT NULL")
     name = lambda key: F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), key)
     reps = found.select(name(F.col("key")).alias("rid")).distinct()
-    named = docs.where(worded).withColumn("rid", name(F.md5("text")))
-    one = named.join(reps.hint("merge"), "rid").groupBy("rid").agg(F.first(F.struct(*docs.columns)).alias("d")).select("d.*")
-    return one.unionByName(docs.where(~worded))
+    named = rows.where(worded).withColumn("rid", name(F.md5("text")))
+    one = named.join(reps.hint("merge"), "rid").groupBy("rid").agg(F.first(F.struct(*rows.columns)).alias("d")).select("d.*")
+    return unpacked(one.unionByName(rows.where(~worded)), docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in proportion to their target weights: documents come once per epoch that takes words of them, cut to those words."""
     prepare(spark)
-    mixed = mixing.mixed_documents(docs)
+    needed = ("doc_id", "text", "source")
+    mixed = unpacked(mixing.mixed_documents(packed(docs, needed)), docs, needed)
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return mixed.select(*docs.columns)
+    return mixed
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +69,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     import public_tokenizers
 
     prepare(spark)
-    return piece_lattice.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return piece_lattice.round_trip(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES = [
