@@ -92,6 +92,26 @@ def test_edges(spark, sf_dir, weird, no_docs):
     assert empty.count() == 0
 
 
+#: Names used inside the operators of the stages, some in another case, and two that are awkward to write.
+INSIDE = ("score", "th", "AT", "n_lines", "n_removed", "N_spans", "rid", "w", "takes", "take", "size", "d", "key", "rep", "class_id", "copies", "epoch", "block",
+          "sid", "bucket", "rn", "h", "p", "carried", "row", "c0", "a.b", "comp", "n", "leader", "ids", "label")
+
+
+def test_clashing_names(spark, sf_dir, weird):
+    """Every stage keeps the values of columns named like its internals, and decides as it does without them."""
+    plain = weird.select(*COLS)
+    clash = plain.select(*COLS, *(F.concat_ws("/", F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in INSIDE))
+    for name, step in C.STAGES[:-1]:
+        out, want = C.stage(step(spark, clash, sf_dir), "clash"), C.stage(step(spark, plain, sf_dir), "plain")
+        assert out.columns == clash.columns and out.dtypes == clash.dtypes, name
+        got = out.collect()
+        assert all(r[c] == f"{c}/{'none' if r['doc_id'] is None else r['doc_id']}" for r in got for c in INSIDE), name
+        assert Counter(tuple(r[c] for c in COLS) for r in got) == Counter(tuple(r) for r in want.collect()), name
+        clash, plain = out, want
+    ids = [Counter((r["doc_id"], tuple(r["ids"])) for r in C.STAGES[-1][1](spark, x, sf_dir).collect()) for x in (clash, plain)]
+    assert ids[0] == ids[1]
+
+
 def test_equal_rows(spark, sf_dir):
     """Equal rows are one class (one stays), and separate documents of the mix."""
     df = spark.createDataFrame([(1, "a b c d e f g", "en", "s", 7)] * 3 + [(2, "h i j k l m n", "en", "t", 7)], "doc_id long, text string, lang string, source string, n_chars long")
