@@ -125,6 +125,15 @@ SUFFICIENT_MARKER = "Sufficient"
 INFERENCE_STATUS = "Candidate Site - Validation Required"
 
 # --- fixed values: zonal band renames (raw reducer output -> matrix column) ---
+# Composite of each band as (name, band of the images, reducer, first day, day after the last); no days: all images.
+ENVIRONMENT_RECIPES = (
+    ("night_radiance", "night_radiance", "median", "2022-01-01", "2023-01-01"),
+    ("solar_radiation", "solar_radiation", "mean", "2023-01-01", "2024-01-01"),
+    ("population", "population", "mean", "2020-01-01", "2021-01-01"),
+    ("elevation", "elevation", "mean", None, None),
+    ("rainfall", "rainfall", "mean", "2023-01-01", "2024-01-01"),
+    ("tree_canopy", "tree_canopy", "mean", None, None),
+)
 ZONAL_RENAMES = (
     ("elevation_mean", "elevation_m"),
     ("slope_mean", "slope_degrees"),

@@ -12,6 +12,7 @@ from ..operators.rank import global_row_number, sample_rows
 from ..operators.spatial import join_within_polygon
 from ..operators.tables import engineer_features, impute_domain, rename_zonal_v1, select_features
 from ..session import cut_lineage
+from .environment import Grid
 from .matrix import build_master_matrix
 from .model import model_and_drivers
 from .ranking import govern_score_rank
@@ -43,10 +44,10 @@ def rank_sites(master: DataFrame, mask: bool = True, **model_params) -> DataFram
     return govern_score_rank(cut_lineage(modeled), mask=mask)
 
 
-def national_ranking(tiles: DataFrame, towers: DataFrame, env: DataFrame, edges: DataFrame | None, region: str,
-                     **model_params) -> DataFrame:
-    """Tiles, tower sites and zonal statistics to the ranked, scored matrix."""
-    master = build_master_matrix(tiles, towers, env, edges, region)
+def national_ranking(tiles: DataFrame, towers: DataFrame, env: DataFrame | None, edges: DataFrame | None, region: str,
+                     images: DataFrame | None = None, grid: Grid = Grid(), **model_params) -> DataFrame:
+    """Tiles, tower sites and zonal statistics (or the images to take them from) to the ranked, scored matrix."""
+    master = build_master_matrix(tiles, towers, env, edges, region, images, grid)
     return rank_sites(master, mask=True, **model_params)
 
 

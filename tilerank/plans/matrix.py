@@ -11,6 +11,7 @@ from ..functions.geo import mean_longitude_zone, with_utm
 from ..operators.spatial import join_within_polygon, nearest_feature
 from ..operators.tables import dedupe_rows, merge_env, rename_scale_zonal
 from ..session import cut_lineage
+from .environment import Grid, environment_of
 
 TOWER_CARRY = ("distance_to_power_m", "distance_to_road_m", "distance_to_amenity_m", "distance_to_tier1_hub_m",
                "antenna_count", "antennas_4G", "antennas_3G", "antennas_2G", "antennas_5G")
@@ -45,8 +46,16 @@ def nearest_tower(tiles: DataFrame, towers: DataFrame, carry: Sequence[str] = TO
     return tiles.join(near, key, "left")
 
 
-def build_master_matrix(tiles: DataFrame, towers: DataFrame, env: DataFrame, edges: DataFrame | None, region: str) -> DataFrame:
-    """Clip -> nearest tower -> merge zonal statistics -> renames and unit scaling."""
+def build_master_matrix(tiles: DataFrame, towers: DataFrame, env: DataFrame | None, edges: DataFrame | None, region: str,
+                        images: DataFrame | None = None, grid: Grid = Grid()) -> DataFrame:
+    """Clip -> nearest tower -> zonal statistics -> merge -> renames and unit scaling.
+
+    The statistics are a finished table ``env``, or are computed from ``images`` around the clipped tiles.
+    """
+    if (env is None) == (images is None):
+        raise ValueError("give either the zonal statistics or the images")
     clipped = clip_to_region(tiles, edges, region) if edges is not None else tiles
     prox = nearest_tower(clipped, towers)
+    if images is not None:
+        env = cut_lineage(environment_of(prox.select("site_id", "longitude", "latitude").distinct(), images, grid))
     return rename_scale_zonal(merge_env(prox, env))

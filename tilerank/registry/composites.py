@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..operators.raster import EARTH_RADIUS_M
 from ..plans import flows as FL
 from ..plans.matrix import build_master_matrix as build_matrix
 from ..plans.screening import stratified_screening as screening_op
@@ -60,6 +63,74 @@ def build_master_matrix(spark, sf_dir):
     return m.withColumn("distance_to_nearest_tower", F.round("distance_to_nearest_tower", 3)).drop("cluster_id")
 
 
+_BANDS = ["night_radiance", "solar_radiation", "population", "elevation", "rainfall", "tree_canopy", "slope", "aspect", "terrain_ruggedness"]
+
+
+def _environment_ctes() -> list[tuple[str, str]]:
+    """CTEs ending in ``px``: the wide pixel table from ``fx_images``."""
+    from .raster import _ASPECT, _OFFS, _SLOPE
+
+    def one(out, band, how, start, end):
+        days = f" AND ts >= TIMESTAMP '{start}' AND ts < TIMESTAMP '{end}'" if start else ""
+        return f"{'median' if how == 'median' else 'avg'}(value) FILTER (WHERE band = '{band}'{days}) AS {out}"
+
+    step = math.radians(0.01) * EARTH_RADIUS_M
+    return [
+        ("wide", f"""SELECT px_row, px_col, {C.d(0.0)} + (px_col + 0.5::DOUBLE) * {C.d(0.01)} AS lon, {C.d(0.0)} + (px_row + 0.5::DOUBLE) * {C.d(0.01)} AS lat,
+            {', '.join(one(*r) for r in K.ENVIRONMENT_RECIPES)} FROM fx_images GROUP BY px_row, px_col"""),
+        ("gr", f"""SELECT p.*, (e.elevation - w.elevation) / ({C.d(2.0 * step)} * cos(radians(p.lat))) AS gx, (n.elevation - s.elevation) / {C.d(2.0 * step)} AS gy
+            FROM wide p LEFT JOIN wide e ON e.px_row = p.px_row AND e.px_col = p.px_col + 1 LEFT JOIN wide w ON w.px_row = p.px_row AND w.px_col = p.px_col - 1
+            LEFT JOIN wide n ON n.px_col = p.px_col AND n.px_row = p.px_row + 1 LEFT JOIN wide s ON s.px_col = p.px_col AND s.px_row = p.px_row - 1"""),
+        ("rg", f"""SELECT p.px_row, p.px_col,
+            sqrt(greatest((count(*) * sum(q.elevation * q.elevation) - sum(q.elevation) * sum(q.elevation)) / (count(*) * count(*)), 0.0::DOUBLE)) AS terrain_ruggedness
+            FROM wide p CROSS JOIN {_OFFS} dr(o) CROSS JOIN {_OFFS} dc(o) JOIN wide q ON q.px_row = p.px_row + dr.o AND q.px_col = p.px_col + dc.o
+            GROUP BY p.px_row, p.px_col"""),
+        ("px", f"SELECT gr.* EXCLUDE (gx, gy), {_SLOPE} AS slope, {_ASPECT} AS aspect, rg.terrain_ruggedness FROM gr JOIN rg USING (px_row, px_col)"),
+    ]
+
+
+def _image_master_sql() -> str:
+    from .joins import nearest_tower_ctes
+    from .sqltext import utm_sql, zone_sql
+
+    sx, sy = utm_sql("longitude", "latitude", _V1_Z)
+    qx, qy = utm_sql("lon", "lat", _V1_Z)
+    r = C.d(K.BUFFER_RADIUS_M)
+    clip = f"""SELECT t.* EXCLUDE (population_total) FROM fx_tiles t JOIN ({_within_sql('fx_tiles', 'p.site_id')}) w
+        ON t.site_id = w.site_id WHERE w.country = 'COUNTRY_7'"""
+    aggs = ", ".join(f"avg(p.{b}) AS {b}_mean, sum(p.{b}) AS {b}_sum" for b in _BANDS)
+    renames = dict(K.ZONAL_RENAMES)
+    stats = [f"{b}_{s}" for b in _BANDS for s in ("mean", "sum")]
+    kept = [c for c in stats if c not in K.ZONAL_DROPS and c != "solar_radiation_mean"]
+    sel = ", ".join(f"round(e.{c}, 6) AS {renames.get(c, c)}" for c in kept)
+    tower_cols = ", ".join(f"nt.{x}" for x in ["distance_to_nearest_tower"] + _TOWER_COLS)
+    cell = lambda x: f"CAST(floor({x} / {r}) AS BIGINT)"
+    return C.render(["fx_tiles", "fx_countries", "fx_antennas", "fx_towers", "fx_images"], [("clip", clip)] + nearest_tower_ctes("clip") + _environment_ctes() + [
+        ("zz", f"SELECT {zone_sql('clip')} AS zone"),
+        ("sp", f"SELECT site_id, {sx} AS x, {sy} AS y FROM clip"),
+        ("pp", f"SELECT *, {qx} AS rx, {qy} AS ry FROM px"),
+        ("env", f"""SELECT s.site_id, {aggs} FROM sp s CROSS JOIN (VALUES (-1), (0), (1)) a(o) CROSS JOIN (VALUES (-1), (0), (1)) b(o)
+            JOIN pp p ON {cell('p.rx')} = {cell('s.x')} + a.o AND {cell('p.ry')} = {cell('s.y')} + b.o
+            WHERE sqrt((p.rx - s.x) * (p.rx - s.x) + (p.ry - s.y) * (p.ry - s.y)) <= {r} GROUP BY s.site_id"""),
+    ], f"""
+SELECT c.site_id, c.longitude, c.latitude, c.download_kbps, c.tests, c.devices, {tower_cols}, {sel},
+       round(COALESCE(e.solar_radiation_mean / 1e6, 0.0::DOUBLE), 6) AS solar_radiation_mj
+FROM clip c JOIN nt USING (site_id) JOIN env e USING (site_id)""")
+
+
+_V1_Z = "(SELECT zone FROM zz)"
+
+
+@register("master_matrix_from_images", _image_master_sql())
+def master_matrix_from_images(spark, sf_dir):
+    """Clip, nearest tower, and zonal statistics taken from the images of all bands (composites, terrain, disks) around the clipped tiles."""
+    tiles = fixture(spark, sf_dir, "fx_tiles").drop("population_total")
+    m = build_matrix(tiles, fixture(spark, sf_dir, "fx_towers"), None, fixture(spark, sf_dir, "fx_countries"), "COUNTRY_7", images=fixture(spark, sf_dir, "fx_images"))
+    known = {*tiles.columns, *_TOWER_COLS, "cluster_id", "distance_to_nearest_tower"}
+    m = m.withColumns({c: F.round(c, 6) for c in m.columns if c not in known})
+    return m.withColumn("distance_to_nearest_tower", F.round("distance_to_nearest_tower", 3)).drop("cluster_id")
+
+
 def _raw_inputs(spark, sf_dir):
     """Raw-layout inputs of the full flow: tile parquet scan, zonal CSV chunks, antennas and layers."""
     tiles = io.scan_tiles(spark, write_tiles_parquet(spark, sf_dir, scratch_path(spark, "tiles")), MY)
@@ -100,9 +171,6 @@ def rescore_stored_matrix(spark, sf_dir):
     return spark.read.parquet(out).select(*_RANK_COLS)
 
 
-_V1_Z = "(SELECT zone FROM zz)"
-
-
 def _zonal_v1_sql() -> str:
     from .sqltext import utm_sql, zone_sql
 

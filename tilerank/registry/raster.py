@@ -26,9 +26,8 @@ STEP = math.radians(PITCH) * RA.EARTH_RADIUS_M
     WHERE ts >= TIMESTAMP '{START}' AND ts < TIMESTAMP '{END}' GROUP BY pixel_id"""))
 def temporal_composite(spark, sf_dir):
     imgs = fixture(spark, sf_dir, "fx_image_collection")
-    med = RA.temporal_composite(imgs, START, END, "median", out="median_value")
-    mean = RA.temporal_composite(imgs, START, END, "mean", out="mean_value").withColumn("mean_value", F.round("mean_value", 9))
-    return med.join(mean, "pixel_id")
+    out = RA.composite_bands(imgs, [(f"{how}_value", "", how, START, END) for how in ("median", "mean")], ["pixel_id"], None)
+    return out.withColumn("mean_value", F.round("mean_value", 9))
 
 
 _NB = """SELECT p.*, e.elevation AS ze, w.elevation AS zw, n.elevation AS zn, s.elevation AS zs FROM fx_pixels p

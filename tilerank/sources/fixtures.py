@@ -78,6 +78,18 @@ SELECT CAST(c_custkey AS STRING) AS site_id, 101.05e0 + ((c_custkey * 37) % 900)
 FROM {customer}""",
     "fx_image_collection": """
 SELECT user_id AS pixel_id, ts, value FROM {events}""",
+    # Images of six bands on a 0.01 degree grid, at the pixel of each tile and the eight around it; some lie outside every composite's days.
+    "fx_images": """
+SELECT p.px_row, p.px_col, v.band AS band, CAST(v.day AS TIMESTAMP) AS ts,
+       CAST((p.px_row * 7919 + p.px_col * 104729 + v.k * 37) % v.m AS DOUBLE) AS value
+FROM (SELECT DISTINCT CAST(floor((800 + (o_orderkey * 104729) % 6700) / 1e1) AS BIGINT) + a.o AS px_row,
+             CAST(floor((99600 + (o_orderkey * 7919) % 19700) / 1e1) AS BIGINT) + b.o AS px_col
+      FROM {orders} CROSS JOIN (VALUES (-1), (0), (1)) AS a(o) CROSS JOIN (VALUES (-1), (0), (1)) AS b(o)) p
+CROSS JOIN (VALUES ('night_radiance', '2021-12-31', 5, 640), ('night_radiance', '2022-02-01', 1, 640), ('night_radiance', '2022-06-01', 2, 640),
+  ('night_radiance', '2022-12-31', 3, 640), ('night_radiance', '2022-07-01', 4, 64), ('solar_radiation', '2023-01-01', 1, 20000000),
+  ('solar_radiation', '2023-07-01', 2, 20000000), ('population', '2020-05-01', 1, 300), ('population', '2021-01-01', 2, 300),
+  ('elevation', '2000-02-11', 1, 1500), ('rainfall', '2023-03-01', 1, 100), ('rainfall', '2023-09-01', 2, 100), ('tree_canopy', '2000-06-01', 1, 100)
+) AS v(band, day, k, m)""",
     "fx_env": """
 SELECT lpad(CAST(o_orderkey AS STRING), 16, '0') AS site_id,
        CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE ((o_orderkey * 271) % 1800) / 1e0 END AS elevation_mean,
