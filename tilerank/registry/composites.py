@@ -114,7 +114,7 @@ def _image_master_sql() -> str:
             WHERE sqrt((p.rx - s.x) * (p.rx - s.x) + (p.ry - s.y) * (p.ry - s.y)) <= {r} GROUP BY s.site_id"""),
     ], f"""
 SELECT c.site_id, c.longitude, c.latitude, c.download_kbps, c.tests, c.devices, {tower_cols}, {sel},
-       round(COALESCE(e.solar_radiation_mean / 1e6, 0.0::DOUBLE), 6) AS solar_radiation_mj
+       round(COALESCE(e.solar_radiation_mean / 1e6, 0.0::DOUBLE), 9) AS solar_radiation_mj
 FROM clip c JOIN nt USING (site_id) JOIN env e USING (site_id)""")
 
 
@@ -127,7 +127,8 @@ def master_matrix_from_images(spark, sf_dir):
     tiles = fixture(spark, sf_dir, "fx_tiles").drop("population_total")
     m = build_matrix(tiles, fixture(spark, sf_dir, "fx_towers"), None, fixture(spark, sf_dir, "fx_countries"), "COUNTRY_7", images=fixture(spark, sf_dir, "fx_images"))
     known = {*tiles.columns, *_TOWER_COLS, "cluster_id", "distance_to_nearest_tower"}
-    m = m.withColumns({c: F.round(c, 6) for c in m.columns if c not in known})
+    # mean joules are whole or half ones here: as megajoules, six digits would round ties by the last bit of a division
+    m = m.withColumns({c: F.round(c, 9 if c == "solar_radiation_mj" else 6) for c in m.columns if c not in known})
     return m.withColumn("distance_to_nearest_tower", F.round("distance_to_nearest_tower", 3)).drop("cluster_id")
 
 
