@@ -59,6 +59,38 @@ def test_exact_quantiles_match_pandas_with_hot_value(spark):
         assert np.allclose(got[f"q{i}"].to_numpy(), exp[q].to_numpy(), rtol=0, atol=1e-9)
 
 
+@pytest.mark.parametrize("units", [3.0, 0.0])
+@pytest.mark.parametrize("small", [0, 20000])
+def test_exact_quantiles_need_no_good_bracket(spark, monkeypatch, units, small):
+    """Brackets of no width miss ranks; the counts tell, and the values stay exact."""
+    import numpy as np
+    import pandas as pd
+
+    from tilerank.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "BRACKET_UNITS", units)
+    monkeypatch.setattr(quantiles, "BROADCAST_ROWS", small)
+    rng = np.random.default_rng(1)
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, 4000).astype(float), "v": rng.normal(size=4000)})
+    pdf.loc[:1500, "v"] = 0.25
+    df = spark.createDataFrame(pdf).selectExpr("IF(g = 2, NULL, g) AS g", "v").repartition(4)
+    probs = [0.0, 0.2, 0.5, 0.77, 1.0]
+    got = {r["g"]: list(r)[1:] for r in exact_quantiles(df, "v", probs, by=["g"], accuracy=50, count_name="n").collect()}
+    for g in (0.0, 1.0, None):
+        part = pdf[pdf["g"] == (2.0 if g is None else g)]["v"]
+        assert np.allclose(got[g][:-1], part.quantile(probs), rtol=0, atol=1e-12) and got[g][-1] == len(part)
+    whole, n = quantiles.global_quantiles(df, "v", probs, accuracy=50)
+    assert np.allclose(whole, pdf["v"].quantile(probs), rtol=0, atol=1e-12) and n == 4000
+
+
+def test_exact_quantiles_of_nothing(spark):
+    from tilerank.operators.quantiles import global_quantiles
+
+    none = spark.createDataFrame([("a", None)], "g string, v double")
+    assert exact_quantiles(none, "v", [0.5], by=["g"]).collect() == []
+    assert global_quantiles(none, "v", [0.5, 0.1]) == ([None, None], 0)
+
+
 def test_spatial_block_truncates_toward_zero(spark):
     df = spark.createDataFrame([(-0.7, -0.2)], "latitude double, longitude double")
     lat_b, lon_b, blk = spatial_block()
