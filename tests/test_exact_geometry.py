@@ -53,3 +53,54 @@ def test_clip_needs_a_boundary(spark):
     assert clip_to_region(tiles, edges, "elsewhere").count() == 1
     with pytest.raises(ValueError):
         clip_to_region(tiles, edges.where(F.lit(False)), "x")
+
+
+EDGES = "country string, objectid long, lon1 double, lat1 double, lon2 double, lat2 double"
+
+
+def ring_edges(name, oid, ring):
+    return [(name, oid, *map(float, a), *map(float, b)) for a, b in zip(ring, ring[1:] + ring[:1])]
+
+
+def test_overlapping_features_of_one_country_keep_the_point_twice(spark):
+    square = lambda x: [(x, 0), (x + 2, 0), (x + 2, 2), (x, 2)]
+    e = spark.createDataFrame(ring_edges("A", 1, square(0)) + ring_edges("A", None, square(1)) + ring_edges("B", 1, square(1)), EDGES)
+    tiles = spark.createDataFrame([("left", 0.5, 1.1, 7), ("both", 1.5, 1.1, 8), ("right", 2.5, 1.1, 9), ("out", 5.0, 1.1, 1), ("none", None, 1.1, 2)],
+                                  "site_id string, longitude double, latitude double, objectid int")
+    got = sorted(map(tuple, clip_to_region(tiles, e, "A").collect()))
+    assert got == [("both", 1.5, 1.1, 8), ("both", 1.5, 1.1, 8), ("left", 0.5, 1.1, 7), ("right", 2.5, 1.1, 9)]
+
+
+def test_detailed_coast_goes_to_finer_cells(spark, monkeypatch):
+    """A star of 6,000 edges in one cell: right everywhere, and far fewer tests than points x edges."""
+    import math
+    import random
+
+    from tilerank.operators import spatial
+
+    rnd = random.Random(5)
+    n = 6000
+    ring = [(0.5 + (0.3 + 0.02 * rnd.random()) * math.cos(2 * math.pi * i / n), 0.5 + (0.3 + 0.02 * rnd.random()) * math.sin(2 * math.pi * i / n))
+            for i in range(n)]
+    pts = []
+    for i in range(400):
+        a, r = rnd.random() * 2 * math.pi, (0.29 + 0.04 * rnd.random()) if i % 2 else rnd.random() * 0.7
+        pts.append((str(i), 0.5 + r * math.cos(a), 0.5 + r * math.sin(a)))
+    pts += [("vertex", *ring[7]), ("vertex2", *ring[3000])]
+    e = spark.createDataFrame(ring_edges("A", 1, ring), EDGES)
+    p = spark.createDataFrame(pts, "site_id string, longitude double, latitude double")
+    sizes = []
+    whole = spatial._inside
+
+    def counted(cand, edges, ecell, keys, needed, g):
+        sizes.append(cand.join(ecell, ["_f", "ci", "cj"]).count())
+        return whole(cand, edges, ecell, keys, needed, g)
+
+    monkeypatch.setattr(spatial, "_inside", counted)
+    got = {r["site_id"] for r in join_within_polygon(p, e, ["country", "objectid"], cell_deg=1.0).collect()}
+
+    def odd(px, py):
+        return sum((y1 > py) != (y2 > py) and x1 + (py - y1) * (x2 - x1) / (y2 - y1) > px for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1])) % 2
+
+    assert got == {k for k, x, y in pts if not k.startswith("vertex") and odd(x, y)}
+    assert len(sizes) > 1 and sum(sizes) < len(pts) * n / 50

@@ -49,13 +49,21 @@ def _split_pieces(edges: DataFrame, g: float, keep: Sequence[str]) -> DataFrame:
     )
 
 
-def join_within_polygon(points: DataFrame, edges: DataFrame, point_key: str = "site_id", feature: str = "country",
+# a boundary cell with more edges of one feature than this is cut into 16 x 16 finer cells
+MAX_CELL_EDGES = 64
+FINER = 16
+MAX_LEVELS = 4
+
+
+def join_within_polygon(points: DataFrame, edges: DataFrame, feature: str | Sequence[str] = "country",
                         lon: str = "longitude", lat: str = "latitude", cell_deg: float = 0.1) -> DataFrame:
     """Inner join of points to the polygons that contain them strictly (boundary excluded).
 
-    ``edges`` is a ring-edge table ``(feature, lon1, lat1, lon2, lat2)`` holding every ring of
+    ``edges`` is a ring-edge table ``(feature..., lon1, lat1, lon2, lat2)`` holding every ring of
     every part of each polygon feature; holes and multipolygons follow from the even-odd rule.
-    A point inside two features appears twice. Output: the point columns plus ``feature``.
+    ``feature`` names the columns that tell one feature from another. A point inside two features
+    appears twice, also when they share a name but not the other columns. Output: the point
+    columns plus the feature columns. NULL coordinates lie in no polygon, NULLs in feature columns are values.
 
     Method (all coordinates planar lon/lat, cell side ``cell_deg``):
     * each cell (row i, column j) has a reference point R = (right border x, row middle y);
@@ -66,51 +74,92 @@ def join_within_polygon(points: DataFrame, edges: DataFrame, point_key: str = "s
       of the path with the cell's edges; cells without edges need no edge work at all;
     * a point exactly on an edge is removed;
     * points in cells that no edge touches take the cell status directly (no edge join and no
-      aggregation), so only boundary cells pay for the walk.
+      aggregation), so only boundary cells pay for the walk;
+    * points of a boundary cell with more than ``MAX_CELL_EDGES`` edges of the feature go on to cells
+      of a 16th of the side, at most ``MAX_LEVELS`` grids deep, so a detailed coast does not cost
+      points x edges. A finer grid is laid only where such points lie.
     """
-    g = float(cell_deg)
-    e = edges.select(F.col(feature).alias("_f"), F.col("lon1").alias("x1"), F.col("lat1").alias("y1"),
+    names = [feature] if isinstance(feature, str) else list(feature)
+    e = edges.select(F.struct(*names).alias("_f"), F.col("lon1").alias("x1"), F.col("lat1").alias("y1"),
                      F.col("lon2").alias("x2"), F.col("lat2").alias("y2")).where(
         (F.col("x1") != F.col("x2")) | (F.col("y1") != F.col("y2")))
+    g = float(cell_deg)
     # feature bounding boxes -> cells they cover (candidate feature per point cell)
     fbox = e.groupBy("_f").agg(
         F.min(F.least("x1", "x2")).alias("bx0"), F.max(F.greatest("x1", "x2")).alias("bx1"),
         F.min(F.least("y1", "y2")).alias("by0"), F.max(F.greatest("y1", "y2")).alias("by1"))
     fcells = _explode_cells(fbox, ["_f", "bx0", "bx1", "by0", "by1"], "bx0", "by0", "bx1", "by1", g, pad=0.0)
-
-    pts = points.withColumns({"_pid": F.monotonically_increasing_id(), "_px": F.col(lon), "_py": F.col(lat)}).withColumns(
-        {"ci": F.floor(F.col("_py") / g), "cj": F.floor(F.col("_px") / g)})
+    pts = points.select(F.struct(*[F.col(f"`{c}`") for c in points.columns]).alias("_pt"), F.col(lon).alias("_px"), F.col(lat).alias("_py"))
+    pts = _with_cell(pts, g)
     cand = pts.join(fcells, ["ci", "cj"], "inner").where(
         (F.col("_px") > F.col("bx0")) & (F.col("_px") < F.col("bx1")) & (F.col("_py") > F.col("by0")) & (F.col("_py") < F.col("by1"))
-    ).drop("bx0", "bx1", "by0", "by1")
-    cand = cand.withColumns({"_xr": (F.col("cj") + 1) * g, "_ym": (F.col("ci") + 0.5) * g})
+    ).select("_pt", "_px", "_py", "_f", "ci", "cj")
+    # cells that need a status: from the distinct point cells (small), so the large point table is
+    # joined to the feature cells only once
+    needed = pts.select("ci", "cj").distinct().join(fcells.select("_f", "ci", "cj"), ["ci", "cj"], "inner").select("_f", "ci", "cj")
+
+    found, near = [], e
+    for level in range(MAX_LEVELS):
+        ecell = _edge_cells(near, g)
+        if level:
+            ecell = ecell.join(needed, ["_f", "ci", "cj"], "left_semi")
+        weights = ecell.groupBy("_f", "ci", "cj").agg(F.count(F.lit(1)).alias("_m"))
+        weights = cut_lineage(weights) if level < MAX_LEVELS - 1 else weights
+        last = level == MAX_LEVELS - 1 or weights.where(F.col("_m") > MAX_CELL_EDGES).isEmpty()
+        if not last:
+            crowded = weights.where(F.col("_m") > MAX_CELL_EDGES).select("_f", "ci", "cj")
+            heavy = cut_lineage(_with_cell(cand.join(crowded, ["_f", "ci", "cj"], "left_semi"), g / FINER))
+            cand = cand.join(crowded, ["_f", "ci", "cj"], "left_anti")
+        found.append(_inside(cand, e, ecell, weights, needed, g))
+        if last or heavy.isEmpty():
+            break
+        # finer cells meet only edges of the crowded cells that they lie in
+        near = cut_lineage(ecell.join(crowded, ["_f", "ci", "cj"], "left_semi").select("_f", "x1", "y1", "x2", "y2").distinct())
+        g /= FINER
+        cand = heavy
+        needed = cand.select("_f", "ci", "cj").distinct()
+        e = e.join(needed.select("_f").distinct(), "_f", "left_semi")
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.select("_pt.*", *[F.col(f"_f.{n}").alias(n) for n in names])
+
 
-    # row crossings at each row middle, per feature
+def _with_cell(pts: DataFrame, g: float) -> DataFrame:
+    """Points with the row ``ci`` and column ``cj`` of their cell of side ``g``."""
+    return pts.withColumns({"ci": F.floor(F.col("_py") / g), "cj": F.floor(F.col("_px") / g)})
+
+
+def _edge_cells(e: DataFrame, g: float) -> DataFrame:
+    """Every edge once for each cell it touches."""
+    pieces = _split_pieces(e, g, ["_f"])
+    return _explode_cells(pieces, ["_f", "x1", "y1", "x2", "y2"], "_pxmin", "_pymin", "_pxmax", "_pymax", g).distinct()
+
+
+def _cell_status(e: DataFrame, needed: DataFrame, g: float) -> DataFrame:
+    """``_f, ci, cj, _status``: parity of the ring crossings right of each needed cell's reference point."""
     rows_lo = F.floor(F.least("y1", "y2") / g - 0.5)
     rows_hi = F.ceil(F.greatest("y1", "y2") / g - 0.5)
     rc = e.withColumn("ci", F.explode(F.sequence(rows_lo, rows_hi))).withColumn("_ym", (F.col("ci") + 0.5) * g)
-    rc = rc.where((F.col("y1") > F.col("_ym")) != (F.col("y2") > F.col("_ym"))).select(
+    rc = rc.where((F.col("y1") > F.col("_ym")) != (F.col("y2") > F.col("_ym"))).join(
+        needed.select("_f", "ci").distinct(), ["_f", "ci"], "left_semi").select(
         "_f", "ci", (F.col("x1") + (F.col("_ym") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("_x"),
         F.lit(1).alias("_is_x"), F.lit(None).cast("bigint").alias("cj"))
-    # cells that need a status: from the distinct point cells (small), so the large point table is
-    # joined to the feature cells only once, in the main branch below
-    needed = pts.select("ci", "cj").distinct().join(fcells.select("_f", "ci", "cj"), ["ci", "cj"], "inner").select("_f", "ci", "cj")
     marks = needed.select("_f", "ci", ((F.col("cj") + 1) * g).alias("_x"), F.lit(0).alias("_is_x"), "cj")
     w = Window.partitionBy("_f", "ci").orderBy(F.col("_x").desc(), F.col("_is_x").asc()).rowsBetween(Window.unboundedPreceding, 0)
-    status = rc.unionByName(marks).withColumn("_cum", F.sum("_is_x").over(w)).where(F.col("_is_x") == 0).select(
+    return rc.unionByName(marks).withColumn("_cum", F.sum("_is_x").over(w)).where(F.col("_is_x") == 0).select(
         "_f", "ci", "cj", (F.col("_cum") % 2).alias("_status"))
 
-    # edges indexed by the cells they touch
-    pieces = _split_pieces(e, g, ["_f"])
-    ecell = _explode_cells(pieces, ["_f", "x1", "y1", "x2", "y2"], "_pxmin", "_pymin", "_pxmax", "_pymax", g).distinct()
 
-    with_status = cand.join(status, ["_f", "ci", "cj"], "inner")
+def _inside(cand: DataFrame, e: DataFrame, ecell: DataFrame, edge_keys: DataFrame, needed: DataFrame, g: float) -> DataFrame:
+    """``_pt, _f`` of the candidate points (of cells of side ``g``) that lie strictly inside their feature."""
+    pts = cand.withColumns({"_pid": F.monotonically_increasing_id(), "_xr": (F.col("cj") + 1) * g, "_ym": (F.col("ci") + 0.5) * g})
+    with_status = pts.join(_cell_status(e, needed, g), ["_f", "ci", "cj"], "inner").join(
+        edge_keys.select("_f", "ci", "cj", F.lit(True).alias("_edged")), ["_f", "ci", "cj"], "left")
     # points in cells that no edge touches take the cell status as it is (no edge join, no
     # aggregation); only points in boundary cells go through the edge tests below
-    edge_keys = ecell.select("_f", "ci", "cj").distinct()
-    interior = with_status.join(edge_keys, ["_f", "ci", "cj"], "left_anti").where(F.col("_status") == 1)
-    border = with_status.join(edge_keys, ["_f", "ci", "cj"], "left_semi")
-    point_cols = [c for c in with_status.columns if c not in ("_pid", "_f")]
+    interior = with_status.where(F.col("_edged").isNull() & (F.col("_status") == 1)).select("_pt", "_f")
+    border = with_status.where(F.col("_edged"))
     touched = border.join(ecell, ["_f", "ci", "cj"], "inner")
     px, py, xr, ym = F.col("_px"), F.col("_py"), F.col("_xr"), F.col("_ym")
     x1, y1, x2, y2 = F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2")
@@ -128,14 +177,12 @@ def join_within_polygon(points: DataFrame, edges: DataFrame, point_key: str = "s
     on_edge = ((px - x1) * (y2 - y1) == (py - y1) * (x2 - x1)) & (px >= F.least(x1, x2)) & (px <= F.greatest(x1, x2)) \
         & (py >= F.least(y1, y2)) & (py <= F.greatest(y1, y2))
     agg = touched.groupBy("_pid", "_f").agg(
-        *[F.first(c).alias(c) for c in point_cols],
+        F.first("_pt").alias("_pt"), F.first("_status").alias("_status"),
         (F.sum(F.when(v_hit, 1).otherwise(0)) + F.sum(F.when(h_hit, 1).otherwise(0))).alias("_walk"),
         F.max(F.when(on_edge, 1).otherwise(0)).alias("_on"),
     )
     inside = agg.where(((F.col("_status") + F.col("_walk")) % 2 == 1) & (F.col("_on") == 0))
-    drop = ("_pid", "ci", "cj", "_px", "_py", "_xr", "_ym", "_status", "_walk", "_on")
-    out = inside.drop(*drop).unionByName(interior.drop(*[c for c in drop if c in interior.columns]))
-    return out.withColumnRenamed("_f", feature)
+    return inside.select("_pt", "_f").unionByName(interior)
 
 
 def _block3(df: DataFrame, ci0: str, cj0: str, ci: str, cj: str) -> DataFrame:

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..operators.raster import zonal_stats
 from ..operators.rank import global_row_number, sample_rows
-from ..operators.spatial import join_within_polygon
 from ..operators.tables import engineer_features, impute_domain, rename_zonal_v1, select_features
 from ..session import cut_lineage
 from .environment import Grid
-from .matrix import build_master_matrix
+from .matrix import build_master_matrix, inside_region
 from .model import model_and_drivers
 from .ranking import govern_score_rank
 from .screening import filter_low_quantile, stratified_screening
@@ -71,7 +70,7 @@ def zonal_v1(tiles: DataFrame, edges: DataFrame, pixels: DataFrame, region: str,
     """Earlier flow: global lower-quartile screen -> polygon clip -> seeded sample -> sequential
     ids -> zonal statistics around the sample -> merge -> v1 renames."""
     low = filter_low_quantile(tiles)
-    clipped = join_within_polygon(low, edges.where(F.col("country") == region)).drop("country")
+    clipped = inside_region(low, edges, region)
     sample = sample_rows(clipped, n, seed).withColumn("_h", F.md5(F.concat(F.col("site_id"), F.lit(f"|{seed}"))))
     cohort = global_row_number(sample, [F.col("_h"), F.col("site_id")], "_rn").drop("_h")
     cohort = cohort.withColumn("site_id", (F.col("_rn") - 1).cast("string")).drop("_rn")

@@ -17,17 +17,25 @@ TOWER_CARRY = ("distance_to_power_m", "distance_to_road_m", "distance_to_amenity
                "antenna_count", "antennas_4G", "antennas_3G", "antennas_2G", "antennas_5G")
 
 
-def clip_to_region(tiles: DataFrame, edges: DataFrame, region: str, feature: str = "country") -> DataFrame:
-    """Tiles strictly inside the region's polygon(s); a region with no polygon in a table that has some keeps the box result.
+def inside_region(tiles: DataFrame, edges: DataFrame, region: str, feature: str = "country", identity: str = "objectid") -> DataFrame:
+    """Tiles strictly inside the region's features, told apart by name and ``identity`` (where the table has it):
+    a tile in two features of the region comes twice."""
+    # names of their own, so a tile column called like a feature column keeps its values
+    keys = {c: f"_feature_{c}" for c in (feature, identity) if c in edges.columns}
+    own = edges.where(F.col(feature) == region).withColumnsRenamed(keys)
+    return join_within_polygon(tiles, own, feature=list(keys.values())).drop(*keys.values())
+
+
+def clip_to_region(tiles: DataFrame, edges: DataFrame, region: str, feature: str = "country", identity: str = "objectid") -> DataFrame:
+    """:func:`inside_region`; a region with no polygon in a table that has some keeps the box result.
 
     A boundary table without any edge is an error: clipping to nothing would silently keep every tile.
     """
-    region_edges = edges.where(F.col(feature) == region)
-    if region_edges.isEmpty():
+    if edges.where(F.col(feature) == region).isEmpty():
         if edges.isEmpty():
             raise ValueError("the boundary table holds no edge")
         return tiles
-    return join_within_polygon(tiles, region_edges, feature=feature).drop(feature)
+    return inside_region(tiles, edges, region, feature, identity)
 
 
 def nearest_tower(tiles: DataFrame, towers: DataFrame, carry: Sequence[str] = TOWER_CARRY, key: str = "site_id") -> DataFrame:

@@ -145,9 +145,8 @@ def nearest_all_layers(sites: DataFrame, layers: Mapping[str, DataFrame], key: s
             # distance to its boundary)
             rings = segs.where(F.col("kind") == "ring").select("feature_id", "lon1", "lat1", "lon2", "lat2")
             if not rings.isEmpty():
-                inside = join_within_polygon(sites.select(key, "longitude", "latitude"), rings, point_key=key,
-                                             feature="feature_id").select(key).distinct().withColumn("_in", F.lit(True))
-                near = near.join(inside, key, "left").withColumn(
+                inside = join_within_polygon(sites.select(key, "longitude", "latitude"), rings, feature="feature_id")
+                near = near.join(inside.select(key).distinct().withColumn("_in", F.lit(True)), key, "left").withColumn(
                     name, F.when(F.col("_in"), F.lit(0.0)).otherwise(F.col(name))).drop("_in")
         return name, near
 

@@ -43,6 +43,24 @@ def clip_within(spark, sf_dir):
     return clip_to_region(fixture(spark, sf_dir, "fx_tiles"), fixture(spark, sf_dir, "fx_countries"), "COUNTRY_7")
 
 
+_TWO = """SELECT country, CAST(1 AS BIGINT) AS objectid, lon1, lat1, lon2, lat2 FROM fx_countries
+UNION ALL SELECT country, CAST(2 AS BIGINT) AS objectid, lon1 + 0.25e0, lat1 + 0.125e0, lon2 + 0.25e0, lat2 + 0.125e0 FROM fx_countries"""
+
+
+@register("clip_overlapping_features", C.render(["fx_tiles", "fx_countries"], [("two", _TWO)], f"""
+SELECT t.* FROM fx_tiles t JOIN (
+{_within_sql("fx_tiles", "p.site_id").replace("fx_countries", "two").replace("e.country", "e.country, e.objectid")}) w
+ON t.site_id = w.site_id WHERE w.country = 'COUNTRY_7'"""))
+def clip_overlapping_features(spark, sf_dir):
+    """The clip with two overlapping features per country: a tile in both comes twice."""
+    from ..plans.matrix import clip_to_region
+
+    e = fixture(spark, sf_dir, "fx_countries").select("country", "lon1", "lat1", "lon2", "lat2")
+    moved = e.withColumns({"lon1": F.col("lon1") + 0.25, "lat1": F.col("lat1") + 0.125, "lon2": F.col("lon2") + 0.25, "lat2": F.col("lat2") + 0.125})
+    two = e.withColumn("objectid", F.lit(1)).unionByName(moved.withColumn("objectid", F.lit(2)))
+    return clip_to_region(fixture(spark, sf_dir, "fx_tiles"), two, "COUNTRY_7")
+
+
 # --- nearest tower -----------------------------------------------------------
 _TOWER_COLS = ["distance_to_power_m", "distance_to_road_m", "distance_to_amenity_m", "distance_to_tier1_hub_m",
                "antenna_count", "antennas_4G", "antennas_3G", "antennas_2G", "antennas_5G"]
