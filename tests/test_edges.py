@@ -307,20 +307,51 @@ def test_polygon_layer_distance_is_zero_inside(spark):
 def test_boundary_layouts_read_alike_and_other_reference_systems_fail(spark, tmp_path):
     import json
 
+    import pandas as pd
+
+    from tilerank.functions.geo import with_utm
     from tilerank.sources.files import scan_boundaries
 
-    square = [[[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]]]
-    feature = {"type": "Feature", "properties": {"Country": "A", "OBJECTID": 1, "Flag": "x"}, "geometry": {"type": "Polygon", "coordinates": square}}
-    whole = {"type": "FeatureCollection", "features": [feature]}
+    ring = [[100.0, 0.5], [101.0, 0.5], [101.0, 1.5], [100.0, 0.5]]
+
+    def feature(points=ring, name="A"):
+        return {"type": "Feature", "properties": {"Country": name, "OBJECTID": 1, "Flag": "x"}, "geometry": {"type": "Polygon", "coordinates": [points]}}
+
+    def whole(*features, crs=None):
+        return {"type": "FeatureCollection", "features": list(features), **({"crs": {"type": "name", "properties": {"name": crs}}} if crs else {})}
+
+    def mercator(p):
+        return [math.radians(p[0]) * 6378137.0, math.asinh(math.tan(math.radians(p[1]))) * 6378137.0]
+
+    flat = spark.createDataFrame(pd.DataFrame(ring, columns=["longitude", "latitude"]))
+    utm = {(r["longitude"], r["latitude"]): [r["x"], r["y"]] for r in with_utm(flat, F.lit(47)).collect()}
     texts = {
-        "lines": json.dumps(feature), "flat": json.dumps(whole), "pretty": json.dumps(whole, indent=1),
-        "tagged": json.dumps({**whole, "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:OGC:1.3:CRS84"}}}),
+        "lines": json.dumps(feature()), "spaced": "\n  \n" + json.dumps(feature()) + "\n\n", "flat": json.dumps(whole(feature())),
+        "pretty": json.dumps(whole(feature()), indent=1), "lone": json.dumps(feature(), indent=1),
+        "tagged": json.dumps(whole(feature(), crs="urn:ogc:def:crs:OGC:1.3:CRS84")),
+        "mercator": json.dumps(whole(feature([mercator(p) for p in ring]), crs="EPSG:3857")),
+        "utm": json.dumps(whole(feature([utm[tuple(p)] for p in ring]), crs="urn:ogc:def:crs:EPSG::32647"), indent=1),
+        "south": json.dumps(whole(feature([[utm[tuple(p)][0], utm[tuple(p)][1] + 1e7] for p in ring]), crs="EPSG:32747")),
     }
-    found = []
+
+    def edges(path):
+        return sorted((r[:6], tuple(round(v, 9) for v in r[6:])) for r in scan_boundaries(spark, str(path)).collect())
+
+    found = {}
     for name, text in texts.items():
         (tmp_path / name).write_text(text)
-        found.append(sorted(map(tuple, scan_boundaries(spark, str(tmp_path / name)).collect())))
-    assert len(found[0]) == 3 and all(x == found[0] for x in found)
-    (tmp_path / "other").write_text(json.dumps({**whole, "crs": {"type": "name", "properties": {"name": "EPSG:3857"}}}))
-    with pytest.raises(Exception, match="EPSG:3857"):
-        scan_boundaries(spark, str(tmp_path / "other")).collect()
+        found[name] = edges(tmp_path / name)
+    assert len(found["lines"]) == 3 and all(x == found["lines"] for x in found.values()), found
+    both = tmp_path / "folder"
+    both.mkdir()
+    (both / "a").write_text("\n".join(json.dumps(feature(name=n)) for n in "AB"))
+    (both / "b").write_text(json.dumps(whole(feature(name="C"), feature(name="D")), indent=1))
+    (both / "c").write_text(texts["mercator"])
+    assert [x[0][0] for x in edges(both)] == sorted("AAABBBCCCDDDAAA")
+    assert {r["country"] for r in scan_boundaries(spark, str(both), "C").collect()} == {"C"}
+    bad = {"other": (json.dumps(whole(feature(), crs="EPSG:2154")), "EPSG:2154"), "no_feature": (json.dumps(whole()), "no feature"),
+           "no_json": ("hello", "no feature"), "bad_line": (json.dumps(feature()) + "\n{oops", "not a feature"), "blank": (" \n", "without any feature")}
+    for name, (text, message) in bad.items():
+        (tmp_path / name).write_text(text)
+        with pytest.raises(Exception, match=message):
+            scan_boundaries(spark, str(tmp_path / name)).collect()

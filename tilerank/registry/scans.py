@@ -9,7 +9,7 @@ from .. import constants as K
 from ..session import scratch_path
 from ..sources import files as io
 from ..sources.fixtures import (
-    fixture, with_fixtures, write_antenna_csv, write_boundaries_geojson, write_layer_parquet,
+    fixture, with_fixtures, write_antenna_csv, write_boundaries_geojson, write_mixed_boundaries, write_layer_parquet,
     write_tiles_parquet, write_zonal_csv,
 )
 
@@ -41,6 +41,16 @@ def scan_boundaries(spark, sf_dir):
     return io.scan_boundaries(spark, path)
 
 
+@register("scan_mixed_boundaries", with_fixtures(
+    """SELECT country, CAST(regexp_extract(country, '(\\d+)$', 1) AS BIGINT) AS objectid, ring, seg,
+    round(lon1, 9) AS lon1, round(lat1, 9) AS lat1, round(lon2, 9) AS lon2, round(lat2, 9) AS lat2 FROM fx_countries""", ["fx_countries"]))
+def scan_mixed_boundaries(spark, sf_dir):
+    """A folder of newline-delimited features, a plain collection and one in Web Mercator (degrees rounded to 1e-9)."""
+    path = write_mixed_boundaries(spark, sf_dir, scratch_path(spark, "boundaries_mixed"))
+    deg = [F.round(c, 9).alias(c) for c in ("lon1", "lat1", "lon2", "lat2")]
+    return io.scan_boundaries(spark, path).select("country", "objectid", "ring", "seg", *deg)
+
+
 def _layer_oracle(layer: str) -> str:
     w, s, e, n = MY
     if layer in ("power", "roads"):

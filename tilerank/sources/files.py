@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions.geo import unproject_utm
 from .wkb import SEGMENT_SCHEMA, decode_segments, point_wkb
 
 
@@ -75,47 +76,87 @@ _COORDS = {
 }
 
 
-def scan_boundaries(spark: SparkSession, path: str, region: str | None = None, multiline: bool | None = None) -> DataFrame:
+_PROPERTIES, _GEOMETRY = "struct<Country: string, OBJECTID: bigint, Flag: string>", "struct<type: string, coordinates: string>"
+_FEATURE = f"type: string, properties: {_PROPERTIES}, geometry: {_GEOMETRY}"
+_LINE = f"type string, properties {_PROPERTIES}, geometry {_GEOMETRY}"
+_WEB_MERCATOR_RADIUS_M = 6378137.0
+
+
+def _boundary_layouts(spark: SparkSession, path: str | Sequence[str]) -> tuple[list[str], list[str]]:
+    """``(files of newline-delimited features, files that are one document)``, told by each file's first line
+    (one row per file reaches the driver, which lists the files anyway). A file without any text is an error."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    first = lines.where(F.trim("value") != "").groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    kind = {r["file"]: r["type"] for r in first.select("file", F.from_json("head", "type string")["type"].alias("type")).collect()}
+    listed = spark.read.format("binaryFile").load(path).where(F.col("_metadata.file_size") > 0)  # writers leave files of no length
+    every = {r["file"] for r in listed.select(F.col("_metadata.file_path").alias("file")).collect()}
+    if every - set(kind) or not kind:
+        raise ValueError(f"boundary files without any feature: {sorted(every - set(kind)) or path}")
+    # a lone feature written over several lines starts like a document: its first line does not parse to a type
+    return sorted(f for f, t in kind.items() if t == "Feature"), sorted(f for f, t in kind.items() if t != "Feature")
+
+
+def _to_wgs84(pts: Column, name: Column) -> Column:
+    """Ring points in the reference system ``name`` (NULL: WGS84) as ``[longitude, latitude]`` arrays.
+
+    Known: WGS84, Web Mercator (EPSG:3857), and the UTM zones of WGS84 (EPSG:326zz north, 327zz south);
+    any other name is an error.
+    """
+    code = F.regexp_extract(name, r"EPSG:+(?:[0-9.]*:)?([0-9]+)$", 1)
+    same = name.isNull() | name.rlike("CRS84$") | (code == "4326")
+
+    def mercator(p):
+        return F.array(F.degrees(p[0] / _WEB_MERCATOR_RADIUS_M), F.degrees(F.atan(F.sinh(p[1] / _WEB_MERCATOR_RADIUS_M))))
+
+    def utm(p):
+        south = code.startswith("327")
+        return F.array(*unproject_utm(p[0], p[1] - F.when(south, F.lit(10000000.0)).otherwise(0.0), F.substring(code, 4, 2).cast("int")))
+
+    unknown = F.raise_error(F.concat(F.lit("boundaries are in an unknown reference system: "), name)).cast("array<array<double>>")
+    return (F.when(same, pts).when(code == "3857", F.transform(pts, mercator))
+            .when(code.rlike("^32[67](0[1-9]|[1-5][0-9]|60)$"), F.transform(pts, utm)).otherwise(unknown))
+
+
+def scan_boundaries(spark: SparkSession, path: str | Sequence[str], region: str | None = None) -> DataFrame:
     """GeoJSON polygons -> edge table ``(country, objectid, flag, part, ring, seg, lon1, lat1, lon2, lat2)``.
 
-    Reads either newline-delimited features (one feature per line, splittable) or, with
-    ``multiline=True``, FeatureCollection documents (one task per file); by default the first line
-    tells which. Coordinates are WGS84 longitude/latitude; a collection tagged with another
-    reference system is an error. ``region`` keeps only ``Country == region``.
+    A path may hold files of newline-delimited features (one per line, splittable) and files that are one
+    document (a FeatureCollection or a lone Feature; one task per file), mixed: each file's first line tells.
+    Coordinates come out as WGS84 longitude/latitude; a document tagged with Web Mercator or a UTM zone of WGS84
+    is projected back, any other tag is an error. A file without a feature, or with a line that is
+    none, is an error too; a feature without a polygon has no edges. ``region`` keeps only ``Country == region``.
     """
-    if multiline is None:
-        head = spark.read.text(path).where(F.trim("value") != "").select(F.from_json("value", "type string")["type"]).first()
-        multiline = head is None or head[0] != "Feature"
-    reader = spark.read.option("multiLine", multiline).option("primitivesAsString", False)
-    schema_feature = (
-        "type string, properties struct<Country: string, OBJECTID: bigint, Flag: string>, "
-        "geometry struct<type: string, coordinates: string>"
-    )
-    if multiline:
-        docs = reader.schema(
-            "type string, crs struct<properties: struct<name: string>>, features array<struct<type: string, "
-            "properties: struct<Country: string, OBJECTID: bigint, Flag: string>, "
-            "geometry: struct<type: string, coordinates: string>>>"
-        ).json(path)
-        name = F.col("crs.properties.name")
-        known = F.coalesce(name.rlike("(CRS84|EPSG:+4326)$"), F.lit(True))
-        checked = F.when(known, F.col("features")).otherwise(F.raise_error(F.concat(F.lit("boundaries are not in WGS84 but in "), name)))
-        feats = docs.select(F.explode(checked).alias("f")).select("f.*")
-    else:
-        feats = reader.schema(schema_feature).json(path)
+    by_line, whole = _boundary_layouts(spark, path)
+    reader = spark.read.option("primitivesAsString", False)
+    parts = []
+    if by_line:
+        rows = reader.schema(_LINE).json(by_line)
+        ok = F.when(F.col("type") == "Feature", F.lit(None).cast("string")).otherwise(
+            F.raise_error(F.lit("a line of a boundary file is not a feature")).cast("string"))
+        parts.append(rows.select(ok.alias("crs"), "properties", "geometry"))
+    if whole:
+        docs = reader.option("multiLine", True).schema(
+            f"{_LINE}, crs struct<properties: struct<name: string>>, features array<struct<{_FEATURE}>>").json(whole)
+        lone = F.when(F.col("type") == "Feature", F.array(F.struct("type", "properties", "geometry")))
+        listed = F.coalesce(lone, F.when(F.size("features") > 0, F.col("features")), F.raise_error(F.concat(
+            F.lit("a boundary file holds no feature: "), F.col("_metadata.file_path"))).cast(f"array<struct<{_FEATURE}>>"))
+        parts.append(docs.select(F.col("crs.properties.name").alias("crs"), F.explode(listed).alias("f")).select("crs", "f.properties", "f.geometry"))
+    feats = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     if region is not None:
         feats = feats.where(F.col("properties.Country") == region)
     poly = F.from_json("geometry.coordinates", _COORDS["Polygon"])
     multi = F.from_json("geometry.coordinates", _COORDS["MultiPolygon"])
-    parts = F.when(F.col("geometry.type") == "Polygon", F.array(poly)).when(F.col("geometry.type") == "MultiPolygon", multi)
+    polygons = F.when(F.col("geometry.type") == "Polygon", F.array(poly)).when(F.col("geometry.type") == "MultiPolygon", multi)
     rings = (
         feats.select(
             F.col("properties.Country").alias("country"),
             F.col("properties.OBJECTID").alias("objectid"),
             F.col("properties.Flag").alias("flag"),
-            F.posexplode(parts).alias("part", "rings"),
+            "crs", F.posexplode(polygons).alias("part", "rings"),
         )
-        .select("country", "objectid", "flag", "part", F.posexplode("rings").alias("ring", "pts"))
+        .select("country", "objectid", "flag", "part", "crs", F.posexplode("rings").alias("ring", "pts"))
+        .withColumn("pts", _to_wgs84(F.col("pts"), F.col("crs")))
     )
     n = F.size("pts")
     edges = rings.select(

@@ -200,11 +200,11 @@ def write_tiles_parquet(spark: SparkSession, sf_dir: str, path: str) -> str:
     return path
 
 
-def countries_geojson_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def countries_geojson_lines(spark: SparkSession, sf_dir: str, edges: DataFrame | None = None) -> DataFrame:
     """One GeoJSON Feature per country (outer ring + hole), as text lines."""
     from pyspark.sql import functions as F
 
-    e = fixture(spark, sf_dir, "fx_countries")
+    e = fixture(spark, sf_dir, "fx_countries") if edges is None else edges
     # per ring: ordered start points, closed with the last segment's end point
     rings = e.groupBy("country", "ring").agg(
         F.sort_array(F.collect_list(F.struct("seg", "lon1", "lat1", "lon2", "lat2"))).alias("s")
@@ -228,6 +228,26 @@ def write_boundaries_geojson(spark: SparkSession, sf_dir: str, path: str) -> str
     return path
 
 
+def write_mixed_boundaries(spark: SparkSession, sf_dir: str, path: str) -> str:
+    """The countries in three kinds of files in one folder: lines, a collection, a collection in Web Mercator metres."""
+    from pyspark.sql import functions as F
+
+    e = fixture(spark, sf_dir, "fx_countries")
+    kind = F.regexp_extract("country", r"(\d+)$", 1).cast("int") % 3
+    radius = 6378137.0
+    metres = {f"lon{i}": F.radians(f"lon{i}") * radius for i in (1, 2)} | {f"lat{i}": F.asinh(F.tan(F.radians(f"lat{i}"))) * radius for i in (1, 2)}
+
+    def document(edges, tag):
+        one = countries_geojson_lines(spark, sf_dir, edges).agg(F.concat_ws(",", F.collect_list("value")).alias("f"))
+        return one.select(F.concat(F.lit('{"type": "FeatureCollection", ' + tag + '"features": ['), "f", F.lit("]}")).alias("value"))
+
+    countries_geojson_lines(spark, sf_dir, e.where(kind == 0)).write.mode("overwrite").text(path)
+    document(e.where(kind == 1), "").write.mode("append").text(path)
+    tag = '"crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::3857"}}, '
+    document(e.where(kind == 2).withColumns(metres), tag).write.mode("append").text(path)
+    return path
+
+
 def layer_frame(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
     """Infrastructure layer rows: ``id, geometry (WKB), class, subtype, categories, bbox``."""
     from pyspark.sql import functions as F
