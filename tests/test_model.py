@@ -58,3 +58,68 @@ def test_repeated_keys_keep_the_row_count(prepared):
     folds = MD.spatial_folds(MD.with_blocks(twice).where(F.col("is_underserved_target")))
     if folds is not None:
         assert MD.cv_mean_baseline(MD.with_blocks(twice), K.TARGET, folds).count() == twice.count()
+
+
+def test_contributions_are_looked_up_not_played_per_row():
+    """Tables equal the game played per row, for shallow trees and for paths of more conditions than a shared table holds, and cost little a row."""
+    import random
+    import time
+
+    import numpy as np
+
+    from tilerank.operators.contributions import _contrib_batch, contribution_tables
+
+    rng = random.Random(3)
+
+    def grow(depth, path, leaves):
+        if depth == 0:
+            leaves.append((rng.gauss(0, 1), list(path)))
+            return
+        f, thr, share = rng.randrange(6), rng.random(), rng.random()
+        grow(depth - 1, path + [(f, thr, True, share)], leaves)
+        grow(depth - 1, path + [(f, thr, False, 1 - share)], leaves)
+
+    def value(leaves, x, known):
+        out = 0.0
+        for v, path in leaves:
+            w = v
+            for f, thr, left, share in path:
+                w *= float((x[f] <= thr) == left) if f in known else share
+            out += w
+        return out
+
+    from itertools import permutations
+
+    X = np.random.default_rng(1).random((2, 6))
+    X[1, 2] = np.nan
+    for depth in (2, 4, 10):
+        leaves = []
+        grow(depth, [], leaves)
+        leaves = leaves[:40]
+        tables, base = contribution_tables([(0.5, leaves)])
+        got = _contrib_batch(X, tables, 6)
+        assert base == pytest.approx(0.5 * value(leaves, X[0], set()))
+        for r, x in enumerate(X):
+            seen = {}
+            want = np.zeros(6)
+            orders = list(permutations(range(6)))
+            for order in orders:
+                known = frozenset()
+                for f in order:
+                    for k in (known, known | {f}):
+                        if k not in seen:
+                            seen[k] = value(leaves, x, k)
+                    want[f] += seen[known | {f}] - seen[known]
+                    known = known | {f}
+            assert np.allclose(got[:, r], 0.5 * want / len(orders), atol=1e-12)
+    # 200 trees of depth 4: some 20 microseconds a row, not half a millisecond
+    model = []
+    for _ in range(200):
+        leaves = []
+        grow(4, [], leaves)
+        model.append((0.05, leaves))
+    tables, _ = contribution_tables(model)
+    rows = np.random.default_rng(2).random((10_000, 6))
+    start = time.process_time()
+    _contrib_batch(rows, tables, 6)
+    assert time.process_time() - start < 2

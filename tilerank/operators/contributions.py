@@ -6,8 +6,9 @@ product, over the nodes on its path, of ``1[x goes that way]`` when the node's f
 S and of the training cover fraction of that branch otherwise. That product depends only on
 the distinct features of the leaf's own path (at most the tree depth), so each leaf is a small
 cooperative game whose Shapley values are found exactly by enumerating subsets of those
-features; the model's contributions are the weighted sum over leaves and trees. The model
-(at most ``trees * 2**(depth+1)`` nodes) travels to the tasks with the function closure.
+features; the model's contributions are the weighted sum over leaves and trees. The games are
+played once per pattern of answers on the driver (a few tables of 256 entries a tree, whatever
+the number of rows); the tables travel to the tasks, where a row looks its patterns up.
 """
 
 from __future__ import annotations
@@ -60,50 +61,106 @@ def _shapley_weights(m: int) -> dict[int, float]:
     return {s: math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)}
 
 
-def _contrib_batch(X: np.ndarray, model, n_features: int) -> tuple[np.ndarray, float]:
-    n = X.shape[0]
-    phi = np.zeros((n, n_features))
-    base = 0.0
+#: Leaves share one table as long as they ask no more than this many conditions together (2**8 patterns).
+GROUP_CONDITIONS = 8
+
+
+def _condition_groups(leaves) -> list[list]:
+    """The leaves of a tree in runs that ask at most ``GROUP_CONDITIONS`` different conditions; a leaf that asks more is a group of its own."""
+    groups, asked = [], set()
+    for leaf in leaves:
+        own = {(f, thr) for f, thr, _, _ in leaf[1]}
+        if not groups or len(asked | own) > GROUP_CONDITIONS:
+            groups.append([])
+            asked = set()
+        groups[-1].append(leaf)
+        asked |= own
+    return groups
+
+
+def _leaf_table(value: float, path, answer, rows: int) -> dict[int, np.ndarray]:
+    """Shapley values of one leaf by feature, for ``rows`` patterns; ``answer(question)`` is 1 in the patterns that say yes to it."""
+    feats = sorted({f for f, _, _, _ in path})
+    m = len(feats)
+    # per feature: does the row pass all of the path's conditions on it, and what share of the training rows does
+    passes, share = [np.ones(rows) for _ in feats], [1.0] * m
+    for f, thr, left, frac in path:
+        i = feats.index(f)
+        passes[i] = passes[i] * answer(f, thr, left)
+        share[i] *= frac
+    weight = []
+    for mask in range(1 << m):
+        acc = np.ones(rows)
+        for i in range(m):
+            acc = acc * (passes[i] if (mask >> i) & 1 else share[i])
+        weight.append(acc)
+    coef = _shapley_weights(m)
+    out = {}
+    for j, f in enumerate(feats):
+        tot = np.zeros(rows)
+        for mask in range(1 << m):
+            if not (mask >> j) & 1:
+                tot += coef[bin(mask).count("1")] * (weight[mask | 1 << j] - weight[mask])
+        out[f] = value * tot
+    return out
+
+
+def contribution_tables(model) -> tuple[list, float]:
+    """``([(questions, {feature: table}), ...], expected value)`` of a flattened model.
+
+    A row's contributions depend on nothing but its answers to ``x[feature] <= threshold``. Per group of leaves, the exact Shapley values
+    of all patterns of answers are found once; a row then looks its pattern up instead of playing the game of every leaf again. A question
+    is a list of conditions ``(feature, threshold, left)`` that all must hold: one condition each, or, for a leaf deeper than a
+    group's limit, all of its conditions on one feature (the table then has two entries per subset of the leaf's features).
+    """
+    tables, base = [], 0.0
     for w_t, leaves in model:
-        for value, path in leaves:
-            feats = sorted({f for f, _, _, _ in path})
-            m = len(feats)
-            pos = {f: i for i, f in enumerate(feats)}
-            cover = 1.0
-            known = []
-            for f, thr, left, frac in path:
-                x = X[:, f]
-                go = (x <= thr) if left else ~(x <= thr)
-                known.append((pos[f], go.astype(np.float64), frac))
-                cover *= frac
-            base += w_t * value * cover
-            if m == 0:
-                continue
-            # weight of the leaf for every subset S of the path's features (bit mask)
-            wS = []
-            for mask in range(1 << m):
-                acc = np.ones(n)
-                for i, go, frac in known:
-                    acc = acc * (go if (mask >> i) & 1 else frac)
-                wS.append(acc)
-            coef = _shapley_weights(m)
-            scale = w_t * value
-            for j in range(m):
-                bit = 1 << j
-                tot = np.zeros(n)
-                for mask in range(1 << m):
-                    if mask & bit:
-                        continue
-                    tot += coef[bin(mask).count("1")] * (wS[mask | bit] - wS[mask])
-                phi[:, feats[j]] += scale * tot
-    return phi, base
+        for group in _condition_groups(leaves):
+            asked = sorted({(f, thr) for _, path in group for f, thr, _, _ in path})
+            if len(asked) > GROUP_CONDITIONS:
+                path = group[0][1]
+                questions = [[(f, thr, left) for f, thr, left, _ in path if f == g] for g in sorted({f for f, _, _, _ in path})]
+            else:
+                questions = [[(f, thr, True)] for f, thr in asked]
+            bit_of = {c: i for i, q in enumerate(questions) for c in q}
+            patterns = np.arange(1 << len(questions))
+
+            def answer(f, thr, left):
+                yes = (f, thr, left) in bit_of
+                bit = (patterns >> bit_of[(f, thr, left) if yes else (f, thr, not left)]) & 1
+                return bit if yes else 1 - bit
+
+            phi: dict[int, np.ndarray] = {}
+            for value, path in group:
+                base += w_t * value * math.prod(frac for _, _, _, frac in path)
+                for f, t in _leaf_table(w_t * value, path, answer, len(patterns)).items():
+                    phi[f] = phi.get(f, 0.0) + t
+            if phi:
+                tables.append((questions, phi))
+    return tables, base
+
+
+def _contrib_batch(X: np.ndarray, tables, n_features: int) -> np.ndarray:
+    """Contributions (feature x row) of a batch; a missing value answers no, as in the trees."""
+    columns = np.ascontiguousarray(X.T)
+    phi = np.zeros((n_features, X.shape[0]))
+    for questions, by_feature in tables:
+        pattern = np.zeros(X.shape[0], dtype=np.intp)
+        for i, conditions in enumerate(questions):
+            yes = np.ones(X.shape[0], dtype=bool)
+            for f, thr, left in conditions:
+                yes &= (columns[f] <= thr) if left else ~(columns[f] <= thr)
+            pattern |= yes.astype(np.intp) << i
+        for f, table in by_feature.items():
+            phi[f] += table[pattern]
+    return phi
 
 
 def top_driver(df: DataFrame, model, features: Sequence[str], key: str = "site_id",
                driver: str = "top_shap_driver", value: str = "top_shap_value") -> DataFrame:
     """``key``, the feature with the largest absolute contribution (first on ties), its contribution,
     the model's expected value ``shap_base`` and the sum of contributions ``shap_sum``."""
-    flat = flatten_model(model)
+    tables, base = contribution_tables(flatten_model(model))
     feats = list(features)
     nf = len(feats)
     schema = T.StructType([
@@ -114,11 +171,11 @@ def top_driver(df: DataFrame, model, features: Sequence[str], key: str = "site_i
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             X = pdf[feats].to_numpy(dtype="float64", na_value=np.nan)
-            phi, base = _contrib_batch(X, flat, nf)
-            idx = np.abs(phi).argmax(axis=1) if len(pdf) else np.zeros(0, dtype=int)
+            phi = _contrib_batch(X, tables, nf)
+            idx = np.abs(phi).argmax(axis=0) if len(pdf) else np.zeros(0, dtype=int)
             yield pd.DataFrame({
-                key: pdf[key].to_numpy(), driver: [feats[i] for i in idx], value: phi[np.arange(len(pdf)), idx],
-                "shap_base": np.full(len(pdf), base), "shap_sum": phi.sum(axis=1),
+                key: pdf[key].to_numpy(), driver: [feats[i] for i in idx], value: phi[idx, np.arange(len(pdf))],
+                "shap_base": np.full(len(pdf), base), "shap_sum": phi.sum(axis=0),
             })
 
     cols = [key] + [F.col(c).cast("double").alias(c) for c in feats]
