@@ -129,3 +129,18 @@ def test_dense_cells_are_not_compared_pair_by_pair(spark):
     finally:
         B.cut_lineage = keep
     assert sum(d.count() for d in seen) < 20000  # all pairs: 16 million
+
+
+def test_nearest_lists_of_any_length_and_on_either_side(spark):
+    """Many points to few pieces, few points to many, and nodes whose lists come in parts: exact, the smallest key on ties, lists short where both sides are even."""
+    rnd = random.Random(12)
+    for n, m in ((3000, 5), (5, 3000), (1, 1), (64, 2000)):
+        points = [(rnd.uniform(0, 1e4), rnd.uniform(0, 1e4)) for _ in range(n)]
+        segs = [(x, y, x + rnd.choice((0, 900)), y) for x, y in [(rnd.uniform(4e3, 6e3), rnd.uniform(4e3, 6e3)) for _ in range(m)]]
+        segs += [segs[0]]  # the same geometry again: the smaller key wins
+        left, right = frames(spark, points, segs)
+        got = {r["k"]: (r["distance_m"], r["fid"], r["name"]) for r in nearest_feature(left, right.withColumn("name", F.concat(F.lit("n"), "fid")), "k", "fid", ["name"]).collect()}
+        for i, (x, y) in enumerate(points):
+            d, j = min((seg_distance(x, y, *s), j) for j, s in enumerate(segs))
+            assert got[i][0] == pytest.approx(d, abs=1e-6) and got[i][2] == f"n{got[i][1]}"
+            assert got[i][1] == j or seg_distance(x, y, *segs[got[i][1]]) == pytest.approx(d, abs=1e-9)

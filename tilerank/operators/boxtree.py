@@ -8,13 +8,16 @@ children. Every step is an equi-join on node numbers and a reduction per left no
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import point_segment_distance
-from ..session import cut_lineage
+from ..session import cut_lineage, ship_package
 from .rank import global_row_number
 
 #: Rows per block, as a power of two; children per node, as a power of two; nodes at the top of a walk.
@@ -99,39 +102,118 @@ def _cols(name: str) -> list[Column]:
     return [F.col(f"{name}_{c}") for c in _BOX]
 
 
-def _prune(pairs: DataFrame, left: Sequence[Column], by: Sequence[str]) -> DataFrame:
-    """Pairs whose right box can hold the nearest geometry of something on their left; ``by`` names the left node."""
-    d = pairs.withColumns({"_low": least_distance(left, _cols("r")), "_sure": sure_distance(left, _cols("r"))})
-    d = d.withColumn("_sure", F.min("_sure").over(Window.partitionBy(*by)))
-    return d.where(F.col("_low") <= F.col("_sure") * (1 + 1e-9) + MARGIN).drop("_low", "_sure")
+def _prune(pairs: DataFrame, sure: Column, by: Sequence[str]) -> DataFrame:
+    """Pairs whose right box can hold the nearest geometry of something on their left; ``by`` names the left node. Adds the node's bound ``_sure``."""
+    d = pairs.withColumns({"_low": least_distance(_cols("l"), _cols("r")), "_sure": sure})
+    d = d.withColumn("_sure", F.min("_sure").over(Window.partitionBy(*by)) * (1 + 1e-9) + MARGIN)
+    return d.where(F.col("_low") <= F.col("_sure")).drop("_low")
 
 
-def nearest_pairs(points: DataFrame, pieces: DataFrame) -> DataFrame:
-    """For every point the pieces that can be nearest to it, with the distance ``_d`` to their whole segment.
+def _farthest_corner(box: Sequence[Column], seg: Sequence[str]) -> Column:
+    """A distance within which every point of the box has the segment: the distance is convex, so a corner is farthest."""
+    return F.greatest(*[point_segment_distance(x, y, *seg) for x in box[:2] for y in box[2:]])
+
+
+#: Left nodes of this level are settled point by point against lists of their pieces, of about that many each.
+LIST_LEVEL, LIST_PIECES = 1, 256
+_SEGMENT = ("x1", "y1", "x2", "y2")
+
 
-    ``points``: ``(_lk, _x, _y)``; ``pieces``: ``(_rk, x1, y1, x2, y2, _pxmin, _pxmax, _pymin, _pymax, ...)``, both without NULL coordinates and not empty.
-    The nearest piece of each point is among its rows, and so is every other one at the same distance.
+def _walk(points: DataFrame, pieces: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(points ``l, _pid, _lk, _x, _y``, pieces ``l, _p, _n``): ``_p`` are the ``_n`` pieces that can be nearest to a point of left node ``l``.
+
+    ``points``: ``(_lk, _x, _y)``; ``pieces``: ``(_rk, x1, y1, x2, y2, _pxmin, _pxmax, _pymin, _pymax)`` and maybe ``_sid``, both without NULL coordinates and not empty.
+    The nearest piece of each point is among its node's, and so is every other one at the same distance.
+
+    The two pyramids are walked with levels of about the same number of nodes: the side with fewer rows has fewer rows in a node, down to single points on the left.
+    A pair row carries its left box and that node's bound, so the children of a right node are sorted out before they are shuffled. Left nodes of
+    up to 64 points keep the pieces that can be nearest as lists beside the node; each point takes the least of them (Arrow batches).
     """
     at = {"x0": F.col("_x"), "x1": F.col("_x"), "y0": F.col("_y"), "y1": F.col("_y")}
     box = {"x0": F.col("_pxmin"), "x1": F.col("_pxmax"), "y0": F.col("_pymin"), "y1": F.col("_pymax")}
     left, lblocks, nl = _packed(points, at, "_lk")
     right, rblocks, nr = _packed(pieces, box, "_rk")
+    # level -1 on the left: the points themselves
+    single = left.select((F.col("_rn") - 1).alias("l"), F.col("_b").alias("l_up"), *[at[c].alias(f"l_{c}") for c in _BOX])
+    ahead = round(math.log2(nl / nr) / FAN_BITS)
+
+    def of_left(level: int) -> DataFrame:
+        return _level(lblocks, level, "l") if level >= 0 else single
+
+    def lower_left(pairs: DataFrame, level: int, sure) -> DataFrame:
+        kept = pairs.withColumnRenamed("l", "l_up").drop("_sure", *[f"l_{c}" for c in _BOX])
+        return _prune(kept.join(of_left(level), "l_up"), sure, ["l_up", "l"]).drop("l_up")
+
     level = 0
-    while max(nl - 1, nr - 1) >> (FAN_BITS * level) >= TOP:
+    while max(nr - 1 >> (FAN_BITS * level), nl - 1 >> (FAN_BITS * max(level + ahead, 0))) >= TOP:
         level += 1
+    here = max(level + ahead, 0)
     top = ((nr - 1) >> (FAN_BITS * level)) + 1
-    pairs = _level(lblocks, level, "l").withColumn("r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(top - 1).cast("bigint"))))
-    pairs = _prune(pairs.join(_level(rblocks, level, "r"), "r"), _cols("l"), ["l"])
+    by_box = lambda: sure_distance(_cols("l"), _cols("r"))
+    pairs = of_left(here).drop("l_up").withColumn("r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(top - 1).cast("bigint"))))
+    pairs = _prune(pairs.join(_level(rblocks, level, "r").drop("r_up"), "r"), by_box(), ["l"])
+    near = least_distance(_cols("l"), _cols("r")) <= F.col("_sure")
     while level:
         level -= 1
-        up = pairs.select(F.col("l").alias("l_up"), F.col("r").alias("r_up"))
-        wide = up.join(_level(rblocks, level, "r"), "r_up").join(_level(lblocks, level, "l"), "l_up")
-        pairs = _prune(wide, _cols("l"), ["l_up", "l"])
-    here = left.select(F.col("_b").alias("l"), F.col("_rn").alias("_pid"), "_lk", "_x", "_y")
-    each = pairs.select("l", "r", *[f"r_{c}" for c in _BOX]).join(here, "l")
-    each = _prune(each, [F.col("_x"), F.col("_x"), F.col("_y"), F.col("_y")], ["l", "_pid"]).select("r", "_lk", "_x", "_y")
-    rows = each.join(right.withColumnRenamed("_b", "r").drop("_rn", "_pxmin", "_pxmax", "_pymin", "_pymax"), "r")
-    return rows.withColumn("_d", point_segment_distance("_x", "_y", "x1", "y1", "x2", "y2")).drop("r")
+        up = pairs.withColumnRenamed("r", "r_up").select("r_up", "l", *[f"l_{c}" for c in _BOX], "_sure")
+        pairs = up.join(_level(rblocks, level, "r"), "r_up").where(near).drop("r_up")
+        if max(level + ahead, -1) < here:
+            here -= 1
+            pairs = lower_left(pairs, here, by_box())
+        else:
+            pairs = _prune(pairs, by_box(), ["l"])
+    seg, keys = list(_SEGMENT), [c for c in ("_rk", "_sid") if c in pieces.columns]
+    rows = right.select(F.col("_b").alias("r"), *keys, *seg, *[box[c].alias(f"r_{c}") for c in _BOX])
+    pairs = pairs.select("r", "l", *[f"l_{c}" for c in _BOX], "_sure").join(rows, "r").where(near).drop("r")
+    pairs = _prune(pairs, _farthest_corner(_cols("l"), seg), ["l"])
+    while here > LIST_LEVEL:
+        here -= 1
+        pairs = lower_left(pairs, here, _farthest_corner(_cols("l"), seg))
+    asks = left.select(F.shiftright(F.col("_rn") - 1, LEAF_BITS + FAN_BITS * here if here >= 0 else 0).alias("l"), F.col("_rn").alias("_pid"), "_lk", "_x", "_y")
+    found = pairs.select("l", F.struct(*keys, *seg).alias("_p"))
+    return asks, found.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("l")))
+
+
+def nearest_pairs(points: DataFrame, pieces: DataFrame) -> DataFrame:
+    """For every point all pieces of its node's list, with the distance ``_d``: what :func:`nearest_of` looks at."""
+    asks, found = _walk(points, pieces)
+    rows = asks.join(found, "l").select("_lk", "_x", "_y", "_p.*")
+    return rows.withColumn("_d", point_segment_distance("_x", "_y", *_SEGMENT)).drop("_x", "_y", *_SEGMENT)
+
+
+def _least(xs: pd.Series, ys: pd.Series, x1s: pd.Series, y1s: pd.Series, x2s: pd.Series, y2s: pd.Series) -> pd.Series:
+    """Per row: for each point of a node the distance to its nearest segment of the list (first on ties), then the places of those in the list."""
+    out = []
+    for px, py, x1, y1, x2, y2 in zip(xs, ys, x1s, y1s, x2s, y2s):
+        px, py, dx, dy = px[:, None], py[:, None], x2 - x1, y2 - y1
+        len2 = dx * dx + dy * dy
+        t = np.clip(((px - x1) * dx + (py - y1) * dy) / np.where(len2 > 0, len2, 1.0), 0.0, 1.0) * (len2 > 0)
+        qx, qy = px - (x1 + t * dx), py - (y1 + t * dy)
+        d = np.sqrt(qx * qx + qy * qy)
+        i = d.argmin(axis=1)
+        out.append(np.concatenate([d[np.arange(len(i)), i], i]))
+    return pd.Series(out)
+
+
+def nearest_of(points: DataFrame, pieces: DataFrame) -> DataFrame:
+    """``_lk, _best``: the struct ``(_d, _rk, _sid)`` of the nearest piece of every row of ``points`` (ties: smallest ``_rk``, then ``_sid``).
+
+    A point whose node has more than ``LIST_PIECES`` pieces comes once for each part of the list, with the nearest of that part.
+    """
+    ship_package(points.sparkSession)
+    asks, found = _walk(points, pieces)
+    keys = [c for c in ("_rk", "_sid") if c in pieces.columns]
+    part = F.pmod(F.xxhash64("_p"), F.ceil(F.col("_n") / LIST_PIECES))
+    lists = found.groupBy("l", part.alias("_part")).agg(F.array_sort(F.collect_list("_p")).alias("_ps"))
+    nodes = asks.groupBy("l").agg(F.collect_list(F.struct("_lk", "_x", "_y")).alias("_qs")).join(lists, "l")
+    least = F.pandas_udf(_least, "array<double>")
+    nodes = nodes.select("_qs", "_ps", least("_qs._x", "_qs._y", *[f"_ps.{c}" for c in _SEGMENT]).alias("_at"))
+
+    def answer(q: Column, i: Column) -> Column:
+        piece = F.get("_ps", F.get("_at", i + F.size("_qs")).cast("int"))
+        return F.struct(q["_lk"].alias("_lk"), F.struct(F.get("_at", i).alias("_d"), *[piece[c].alias(c) for c in keys]).alias("_best"))
+
+    return nodes.select(F.explode(F.transform("_qs", answer)).alias("_r")).select("_r.*")
 
 
 # ---------------------------------------------------------------------------

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import point_segment_distance
-from ..session import cut_lineage
-from .boxtree import nearest_pairs
+from ..session import cut_lineage, store
+from .boxtree import nearest_of
 
 # ---------------------------------------------------------------------------
 # point in polygon (strict interior, even-odd rule)
@@ -207,16 +207,16 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
 
     Equal geometries count once (the smallest key), so a place that holds a third of all rows is one row. Segments
     are cut to the mean spacing of the right side, which keeps boxes small; distances use the whole segment.
-    Points and pieces are then walked as two pyramids of boxes (:func:`boxtree.nearest_pairs`): a point meets the
+    Points and pieces are then walked as two pyramids of boxes (:func:`boxtree.nearest_of`): a point meets the
     few blocks of pieces whose boxes can hold its nearest geometry, wherever and however densely they lie.
     """
     carry = list(carry)
-    base0 = cut_lineage(left.select(F.col(left_key).alias("_lk"), F.col(lx).alias("_x"), F.col(ly).alias("_y")))
+    base0 = store(left.select(F.col(left_key).alias("_lk"), F.col(lx).alias("_x"), F.col(ly).alias("_y")))
     base = base0.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
     placed = right.where(F.col("x1").isNotNull() & F.col("y1").isNotNull() & F.col("x2").isNotNull() & F.col("y2").isNotNull())
     placed = placed.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry)
     once = placed.groupBy("x1", "y1", "x2", "y2").agg(F.min_by(F.struct("_rk", *carry), "_rk").alias("_r"))
-    segs = cut_lineage(once.select("x1", "y1", "x2", "y2", *[F.col(f"_r.{c}").alias(c) for c in ["_rk", *carry]]))
+    segs = store(once.select(F.monotonically_increasing_id().alias("_sid"), "x1", "y1", "x2", "y2", *[F.col(f"_r.{c}").alias(c) for c in ["_rk", *carry]]))
     ext = segs.agg(F.count(F.lit(1)).alias("n"), F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
                    F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y1")).first()
     if not ext["n"] or base.isEmpty():
@@ -226,12 +226,14 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
             empty = empty.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
         return empty
     area = max((ext["x1"] - ext["x0"]) * (ext["y1"] - ext["y0"]), 1.0)
-    pieces = _split_pieces(segs, max(math.sqrt(area / ext["n"]), 1.0), ["_rk", *carry])
-    best = F.min_by(F.struct(*[F.col(c) for c in ["_rk", *carry]]), F.struct(F.col("_d"), F.col("_rk")))
-    res = nearest_pairs(base, pieces).groupBy("_lk").agg(F.min("_d").alias("_dmin"), best.alias("_best"))
-    res = res.select("_lk", F.col("_dmin").alias(dist_col), F.col("_best._rk").alias(right_key), *[F.col(f"_best.{c}").alias(c) for c in carry])
+    pieces = _split_pieces(segs, max(math.sqrt(area / ext["n"]), 1.0), ["_rk", "_sid"])
+    res = nearest_of(base, pieces).groupBy("_lk").agg(F.min("_best").alias("_best"))
+    res = res.select("_lk", F.col("_best._d").alias(dist_col), F.col("_best._rk").alias(right_key), F.col("_best._sid").alias("_sid"))
+    if carry:
+        res = res.join(segs.select("_sid", *carry), "_sid")
+    res = res.drop("_sid")
     keys = base0.select("_lk").distinct()
-    return cut_lineage(keys.join(res, "_lk", "left")).withColumnRenamed("_lk", left_key)
+    return store(keys.join(res, "_lk", "left")).withColumnRenamed("_lk", left_key)
 
 
 # ---------------------------------------------------------------------------

@@ -84,6 +84,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    For tables of many rows: a checkpoint writes whole rows as they lie in memory and reads them whole, Parquet
+    writes columns packed and reads those a step asks for. Columns are numbered in the file, so any names will do;
+    types that Parquet cannot hold are checkpointed.
+    """
+    if any(t in df.schema.simpleString() for t in ("void", "interval")):
+        return cut_lineage(df)
+    path = scratch_path(df.sparkSession, "table")
+    names = df.columns
+    numbered = df.toDF(*[f"c{i}" for i in range(len(names))])
+    numbered.write.parquet(path)
+    return df.sparkSession.read.schema(numbered.schema).parquet(path).toDF(*names)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors once per application.
 
