@@ -144,3 +144,19 @@ def test_nearest_lists_of_any_length_and_on_either_side(spark):
             d, j = min((seg_distance(x, y, *s), j) for j, s in enumerate(segs))
             assert got[i][0] == pytest.approx(d, abs=1e-6) and got[i][2] == f"n{got[i][1]}"
             assert got[i][1] == j or seg_distance(x, y, *segs[got[i][1]]) == pytest.approx(d, abs=1e-9)
+
+
+def test_pieces_do_not_outgrow_the_segments(spark, monkeypatch):
+    """Long lines, close together: cut to the mean spacing they would give n * sqrt(n) pieces."""
+    from tilerank.operators import spatial as S
+
+    rnd = random.Random(13)
+    seen = []
+    keep = S.nearest_of
+    monkeypatch.setattr(S, "nearest_of", lambda a, b: seen.append(b.count()) or keep(a, b))
+    segs = [(x, y, x + 5e4, y + 2e4) for x, y in [(rnd.uniform(0, 1e5), rnd.uniform(0, 1e5)) for _ in range(1500)]]
+    points = [(rnd.uniform(0, 1e5), rnd.uniform(0, 1e5)) for _ in range(100)]
+    left, right = frames(spark, points, segs)
+    got = {r["k"]: r["distance_m"] for r in S.nearest_feature(left, right, "k", "fid").collect()}
+    assert all(got[i] == pytest.approx(min(seg_distance(x, y, *s) for s in segs), abs=1e-6) for i, (x, y) in enumerate(points))
+    assert seen[0] <= 6 * 1500

@@ -206,7 +206,8 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
     key; ties are broken by the smallest ``right_key``. An empty right side gives NULLs, and right rows without coordinates take no part.
 
     Equal geometries count once (the smallest key), so a place that holds a third of all rows is one row. Segments
-    are cut to the mean spacing of the right side, which keeps boxes small; distances use the whole segment.
+    are cut to the mean spacing of the right side, which keeps boxes small, but into no more than some four pieces a segment
+    and one a point in all; distances use the whole segment.
     Points and pieces are then walked as two pyramids of boxes (:func:`boxtree.nearest_of`): a point meets the
     few blocks of pieces whose boxes can hold its nearest geometry, wherever and however densely they lie.
     """
@@ -217,7 +218,8 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
     placed = placed.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry)
     once = placed.groupBy("x1", "y1", "x2", "y2").agg(F.min_by(F.struct("_rk", *carry), "_rk").alias("_r"))
     segs = store(once.select(F.monotonically_increasing_id().alias("_sid"), "x1", "y1", "x2", "y2", *[F.col(f"_r.{c}").alias(c) for c in ["_rk", *carry]]))
-    ext = segs.agg(F.count(F.lit(1)).alias("n"), F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
+    ext = segs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))).alias("long"),
+                   F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
                    F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y1")).first()
     if not ext["n"] or base.isEmpty():
         empty = base0.select(F.col("_lk").alias(left_key)).distinct().withColumn(dist_col, F.lit(None).cast("double"))
@@ -226,7 +228,9 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
             empty = empty.withColumn(c, F.lit(None).cast(right.schema[c].dataType))
         return empty
     area = max((ext["x1"] - ext["x0"]) * (ext["y1"] - ext["y0"]), 1.0)
-    pieces = _split_pieces(segs, max(math.sqrt(area / ext["n"]), 1.0), ["_rk", "_sid"])
+    # the cuts must not outgrow the input: at most some four pieces a segment on average, and one more a point
+    least = ext["long"] / (4 * ext["n"] + base.count())
+    pieces = _split_pieces(segs, max(math.sqrt(area / ext["n"]), least, 1.0), ["_rk", "_sid"])
     res = nearest_of(base, pieces).groupBy("_lk").agg(F.min("_best").alias("_best"))
     res = res.select("_lk", F.col("_best._d").alias(dist_col), F.col("_best._rk").alias(right_key), F.col("_best._sid").alias("_sid"))
     if carry:
