@@ -123,3 +123,24 @@ def test_contributions_are_looked_up_not_played_per_row():
     start = time.process_time()
     _contrib_batch(rows, tables, 6)
     assert time.process_time() - start < 2
+
+
+def test_stored_tables_keep_rows_names_and_types_in_less_space(spark):
+    import os
+
+    from tilerank.session import cut_lineage, ensure_checkpoint_dir, store
+
+    def size():
+        base = ensure_checkpoint_dir(spark).removeprefix("file:")
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(base) for f in fs)
+
+    df = spark.range(20_000).select("id", *[(F.col("id") % (i + 2)).cast("double").alias(f"a b;{i}") for i in range(30)], F.lit("tier").alias("A"), F.lit(None).cast("string").alias("a"))
+    before = size()
+    kept = store(df)
+    small = size() - before
+    assert kept.columns == df.columns and [f.dataType for f in kept.schema] == [f.dataType for f in df.schema]
+    assert kept.toDF(*map(str, range(33))).exceptAll(df.toDF(*map(str, range(33)))).isEmpty() and kept.count() == 20_000
+    before = size()
+    cut_lineage(df)
+    assert small * 3 < size() - before
+    assert store(spark.range(3).withColumn("n", F.lit(None))).count() == 3 and store(df.limit(0)).count() == 0

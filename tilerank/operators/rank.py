@@ -3,7 +3,7 @@
 ``row_number()`` over a window without ``partitionBy`` moves every row into one task.
 :func:`global_row_number` instead range-partitions and sorts the data (a normal
 distributed sort), tags each row with ``monotonically_increasing_id`` (partition index in
-the high bits, position in the low bits), writes that through a reliable checkpoint so the
+the high bits, position in the low bits), stores that under the checkpoint folder so the
 tags are stable under recomputation, counts rows per partition (one small row per
 partition), turns the counts into offsets with a window over that small table, and adds
 the offset back with a broadcast join whose size is bounded by the partition count.
@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import store
 
 _LOW_BITS = 33
 
@@ -24,7 +24,7 @@ _LOW_BITS = 33
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_number") -> DataFrame:
     """Append ``name`` = 1..n following ``order`` (which must be a total order for a unique result)."""
     tagged = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-    tagged = cut_lineage(tagged)
+    tagged = store(tagged)
     part = F.shiftright(F.col("_mid"), _LOW_BITS)
     pos = F.col("_mid") - F.shiftleft(part, _LOW_BITS)
     counts = tagged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))

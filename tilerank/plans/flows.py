@@ -10,7 +10,7 @@ from .. import constants as K
 from ..operators.raster import zonal_stats
 from ..operators.rank import global_row_number, sample_rows
 from ..operators.tables import engineer_features, impute_domain, rename_zonal_v1, select_features
-from ..session import cut_lineage
+from ..session import store
 from .environment import Grid
 from .matrix import build_master_matrix, inside_region
 from .model import model_and_drivers
@@ -32,7 +32,7 @@ def rank_sites(master: DataFrame, mask: bool = True, **model_params) -> DataFram
     """
     if master.isEmpty():
         raise ValueError("insufficient valid data to train the model")
-    prepared = cut_lineage(prepare_matrix(master))
+    prepared = store(prepare_matrix(master))
     feats, target = select_features(prepared)
     if prepared.where(F.col("is_underserved_target")).isEmpty():
         modeled = prepared.withColumns({
@@ -40,7 +40,7 @@ def rank_sites(master: DataFrame, mask: bool = True, **model_params) -> DataFram
             "top_shap_driver": F.lit(None).cast("string"), "top_shap_value": F.lit(None).cast("double")})
     else:
         modeled = model_and_drivers(prepared, feats, target, **model_params)
-    return govern_score_rank(cut_lineage(modeled), mask=mask)
+    return govern_score_rank(store(modeled), mask=mask)
 
 
 def national_ranking(tiles: DataFrame, towers: DataFrame, env: DataFrame | None, edges: DataFrame | None, region: str,
@@ -57,12 +57,12 @@ def rescore_stored_matrix(matrix: DataFrame, **model_params) -> DataFrame:
     and extended with the engineered features; one without it is screened first.
     """
     if "is_underserved_target" in matrix.columns:
-        prepared = cut_lineage(engineer_features(impute_domain(matrix)))
+        prepared = store(engineer_features(impute_domain(matrix)))
     else:
-        prepared = cut_lineage(prepare_matrix(matrix))
+        prepared = store(prepare_matrix(matrix))
     feats, target = select_features(prepared)
     modeled = model_and_drivers(prepared, feats, target, **model_params)
-    return govern_score_rank(cut_lineage(modeled), mask=False)
+    return govern_score_rank(store(modeled), mask=False)
 
 
 def zonal_v1(tiles: DataFrame, edges: DataFrame, pixels: DataFrame, region: str, bands=("elevation", "population"),

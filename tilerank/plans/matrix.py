@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import mean_longitude_zone, with_utm
 from ..operators.spatial import join_within_polygon, nearest_feature
 from ..operators.tables import dedupe_rows, merge_env, rename_scale_zonal
-from ..session import cut_lineage
+from ..session import cut_lineage, store
 from .environment import Grid, environment_of
 
 TOWER_CARRY = ("distance_to_power_m", "distance_to_road_m", "distance_to_amenity_m", "distance_to_tier1_hub_m",
@@ -45,7 +45,7 @@ def nearest_tower(tiles: DataFrame, towers: DataFrame, carry: Sequence[str] = TO
     ``cluster_id``.
     """
     carry = [c for c in carry if c in towers.columns]
-    tiles = cut_lineage(dedupe_rows(tiles))
+    tiles = store(dedupe_rows(tiles))
     zone = mean_longitude_zone(tiles)
     tp = with_utm(tiles.select(key, "longitude", "latitude"), zone)
     wp = with_utm(towers, zone, x="x1", y="y1").withColumns({"x2": F.col("x1"), "y2": F.col("y1")})

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.screening import spatial_block
 from ..operators.contributions import top_driver
-from ..session import cut_lineage
+from ..session import cut_lineage, store
 
 
 def with_blocks(df: DataFrame, size: float = K.BLOCK_SIZE_DEG) -> DataFrame:
@@ -94,12 +94,19 @@ def spatial_block_cv(df: DataFrame, features: Sequence[str], target: str, n_spli
     The fold fits and the production fit are independent and run concurrently. Returns
     ``(frame, production_model)``.
     """
-    data = cut_lineage(with_blocks(df).withColumn(ROW, F.monotonically_increasing_id()))
+    out, _, final = _cv_rows(df, features, target, n_splits, pool_flag, parallelism, **params)
+    return out.drop(ROW), final
+
+
+def _cv_rows(df: DataFrame, features: Sequence[str], target: str, n_splits: int = K.N_SPLITS, pool_flag: str = "is_underserved_target",
+             parallelism: int = 6, **params) -> tuple[DataFrame, DataFrame, object]:
+    """:func:`spatial_block_cv` with the rows still named by ``ROW``, the stored input rows with the same names, and the model."""
+    data = store(with_blocks(df).withColumn(ROW, F.monotonically_increasing_id()))
     pool = data.where(F.coalesce(F.col(pool_flag), F.lit(False)))
     folds = spatial_folds(pool, n_splits)
     jobs = []
     if folds is not None:
-        pf = cut_lineage(fold_membership(pool, folds))
+        pf = store(fold_membership(pool, folds))
         k = folds.agg(F.max("fold")).first()[0]
         for i in range(1, k + 1):
             jobs.append((pf.where(F.col("fold") != i), pf.where(F.col("fold") == i)))
@@ -125,12 +132,11 @@ def spatial_block_cv(df: DataFrame, features: Sequence[str], target: str, n_spli
     else:
         out = out.withColumn("cv_predicted_speed", F.lit(None).cast("double"))
     out = out.withColumn("cv_predicted_speed", F.coalesce(F.col("cv_predicted_speed"), F.col("predicted_download_kbps")))
-    return out.drop(ROW), final
+    return out, data, final
 
 
 def model_and_drivers(df: DataFrame, features: Sequence[str], target: str, key: str = "site_id", **params) -> DataFrame:
     """Cross-validated predictions plus each row's top driver and its contribution."""
-    out, final = spatial_block_cv(df, features, target, key=key, **params)
-    out = cut_lineage(out.withColumn(ROW, F.monotonically_increasing_id()))
-    drivers = top_driver(out, final, features, ROW).select(ROW, "top_shap_driver", "top_shap_value")
+    out, data, final = _cv_rows(df, features, target, **params)
+    drivers = top_driver(data, final, features, ROW).select(ROW, "top_shap_driver", "top_shap_value")
     return out.join(drivers, ROW, "left").drop(ROW)

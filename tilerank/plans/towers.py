@@ -13,7 +13,7 @@ from .. import constants as K
 from ..functions.geo import mean_longitude_zone, with_lonlat, with_utm
 from ..operators.boxtree import close_groups, grouped_points, weight_within
 from ..operators.graph import connected_components
-from ..session import cut_lineage
+from ..session import cut_lineage, store
 from ..operators.spatial import join_within_polygon, join_within_radius, nearest_feature
 from ..sources.files import bbox_filter, layer_segments, select_layer
 
@@ -115,7 +115,7 @@ def dissolve_sites(clustered: DataFrame, zone=None) -> DataFrame:
     )
     cent = clustered.select("cluster_id", "x", "y").distinct().groupBy("cluster_id").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
     sites = stats.join(cent, "cluster_id")
-    return cut_lineage(with_lonlat(sites, zone).drop("x", "y"))
+    return store(with_lonlat(sites, zone).drop("x", "y"))
 
 
 def layer_tables_from_fixtures(spark: SparkSession, sf_dir: str, layers) -> dict[str, DataFrame]:
@@ -133,7 +133,7 @@ def nearest_all_layers(sites: DataFrame, layers: Mapping[str, DataFrame], key: s
     """``distance_to_{power,road,amenity,tier1_hub}_m`` in UTM metres (zone of the sites' mean
     longitude) from each site to the nearest geometry of each layer; an empty layer gives NULL."""
     zone = mean_longitude_zone(sites)
-    sp = cut_lineage(with_utm(sites, zone).select(key, "x", "y"))
+    sp = store(with_utm(sites, zone).select(key, "x", "y"))
 
     def one(item):
         lay, segs = item
