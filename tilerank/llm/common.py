@@ -5,6 +5,8 @@ Nothing outside this subpackage imports it.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -20,6 +22,9 @@ ORACLES: dict[str, str] = {}
 
 #: A key with at least this share of all rows is joined by broadcast; there are at most 1 / HEAVY_SHARE such keys.
 HEAVY_SHARE = 1 / 2000
+#: Bytes of an Arrow batch that goes to Python, unless the session sets its own; 10,000 long texts in one would be held by the JVM and Python at once.
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def register(key: str, oracle: str | None = None):
@@ -40,6 +45,8 @@ def register(key: str, oracle: str | None = None):
 def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    if spark.conf.get(BATCH_CONF, None) is None:
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -101,6 +108,39 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int)
             lo = hi
 
 
+@functools.lru_cache(maxsize=1)
+def _malloc_trim():
+    """The C library's own call for it, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):
+        return lambda pad: 0
+
+
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    _malloc_trim()(0)
+
+
+def lean(emit):
+    """``emit`` (batches to batches) with its freed memory given back after every batch it yields and at its end.
+
+    Spark keeps Python workers for later tasks of any kind; what their allocators hold would add to what those tasks need.
+    """
+
+    def run(batches):
+        try:
+            for out in emit(batches):
+                yield out
+                del out
+                give_back()
+        finally:
+            give_back()
+
+    return run
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit keyed hashes (fixed key) of byte strings, the same in every process."""
     import pandas as pd

@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_counted, stage, text_slices
+from .common import join_counted, lean, stage, text_slices
 
 WINDOW = 3
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 def line_windows(docs: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def line_dedup(docs: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     rows = hit.select("b.doc_id", *(F.col(f"b.{c}") for c in extra), F.col("b.text").alias("text"), F.col("a.at").alias("at"))
     kinds = dict(base.dtypes)
     schema = ", ".join(["doc_id long", *(f"`{c}` {kinds[c]}" for c in extra), "text string, n_lines long, n_removed long, n_spans long"])
-    return rows.mapInArrow(_rebuild, schema)
+    return rows.mapInArrow(lean(_rebuild), schema)
 
 
 ORACLE = r"""

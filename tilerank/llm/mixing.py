@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stage, text_slices
+from .common import lean, stage, text_slices
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -196,7 +196,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
             texts = [t if w >= n else first_words(t, w) for t, w, n in zip(b.column("text").to_pylist(), b.column("w").to_pylist(), b.column("size").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in cols], names=cols)
 
-    return out.mapInArrow(cut, docs.schema)
+    return out.mapInArrow(lean(cut), docs.schema)
 
 
 def first_words(text: str, n: int) -> str:

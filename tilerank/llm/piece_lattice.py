@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_slices
+from .common import lean, text_slices
 
 MARK = "▁"
 #: Runs kept per Python worker, about.
@@ -293,4 +293,4 @@ def round_trip(docs: DataFrame, model_file: str) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(counts, pa.int64()), lists, pa.array(same)], names=["doc_id", "n_tokens", "ids", "same"])
 
-    return rows.mapInArrow(emit, "doc_id long, n_tokens long, ids array<int>, same boolean")
+    return rows.mapInArrow(lean(emit), "doc_id long, n_tokens long, ids array<int>, same boolean")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from .common import join_counted, mix64, stage, text_slices, window_hashes, word_hashes
+from .common import give_back, join_counted, lean, mix64, stage, text_slices, window_hashes, word_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 32, 5
@@ -38,7 +38,7 @@ REGISTERS = BANDS * ROWS
 THRESHOLD = 0.8
 #: Rounding of a sum of parts is far below this; closer to the threshold the sum is taken without rounding.
 NEAR = 1e-9
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Nodes per block of a group's comparison.
 BLOCK = 512
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -211,7 +211,7 @@ def signed(docs: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), key, lists], names=["doc_id", "key", "bands"])
 
-    return rows.mapInArrow(emit, "doc_id long, key string, bands array<long>")
+    return rows.mapInArrow(lean(emit), "doc_id long, key string, bands array<long>")
 
 
 def _verify(batches):
@@ -231,6 +231,7 @@ def _compare(t: pa.Table) -> pa.Table:
     keys, comps = t.column("key").to_pylist(), t.column("comp").to_pylist()
     side = (t.column("own").to_numpy() != t.column("bi").to_numpy()).astype(int)
     links = block_links(text_shingles(t.column("text").to_pylist()), comps, side) if len(set(comps)) > 1 else []
+    give_back()
     return pa.table([pa.array([keys[a] for a, _ in links], pa.string()), pa.array([keys[b] for _, b in links], pa.string())], names=["src", "dst"])
 
 
@@ -278,7 +279,7 @@ def _star_links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Verified links between leaders and the nodes of their buckets."""
     lead = texts.select(F.col("key").alias("leader"), F.col("text").alias("leader_text"))
     both = pairs.join(texts.hint("merge"), "key").join(lead.hint("merge"), "leader").sortWithinPartitions("leader")
-    return both.select("leader", "key", "text", "leader_text").mapInArrow(_verify, "src string, dst string")
+    return both.select("leader", "key", "text", "leader_text").mapInArrow(lean(_verify), "src string, dst string")
 
 
 def _open_links(pairs: DataFrame, texts: DataFrame, comps: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_slices
+from .common import lean, stage, text_slices
 
 #: Fixed seed lexicon.
 SEED = ("clown", "dumb", "garbage", "idiot", "idiots", "loser", "losers", "moron", "morons", "pathetic", "scum", "stupid", "trash", "vermin", "worthless")
@@ -47,7 +47,7 @@ STRONG, WEAK = 0.8, 0.5
 TRAIN_ROWS = 40_000
 HELD_OUT_MOD, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 WORD = re.compile(r"[^\W\d_]+")
 ADDRESSED = re.compile(r"\b(?:you|your|du|ihr|tu|vous|usted|eres)\b[^.!?\n]{0,30}\b(?:" + "|".join(SEED) + r")\b")
@@ -156,7 +156,7 @@ def mine_lexicon(train: DataFrame) -> Lexicon:
             yield pa.RecordBatch.from_arrays([b.column("t"), b.column("n"), pa.ListArray.from_arrays(pa.array(ends), flat)], names=["t", "n", "terms"])
 
     once = train.select("text", (F.col("n1") > 0).cast("int").alias("t"), ((F.col("n1") > 0).cast("int") + (F.col("n0") > 0).cast("int")).alias("n"))
-    per = once.mapInArrow(emit, "t int, n int, terms array<long>").select("t", "n", F.explode("terms").alias("term"))
+    per = once.mapInArrow(lean(emit), "t int, n int, terms array<long>").select("t", "n", F.explode("terms").alias("term"))
     counts = per.groupBy("term").agg(F.sum("t").alias("t"), F.sum("n").alias("n")).where(F.col("t") >= MIN_TOXIC)
     p, n, z = F.col("t") / F.col("n"), F.col("n"), WILSON_Z
     low = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
@@ -183,7 +183,7 @@ def votes(train: DataFrame, lex: Lexicon) -> DataFrame:
             )
 
     pos, neg = (1 << Lexicon.VOTERS.index(x) for x in ("toxic note", "clean note"))
-    per = train.select("text", "n1", "n0", "s1", "s0").mapInArrow(emit, "read long, active array<int>, n1 long, n0 long, s1 long, s0 long")
+    per = train.select("text", "n1", "n0", "s1", "s0").mapInArrow(lean(emit), "read long, active array<int>, n1 long, n0 long, s1 long, s0 long")
     note = lambda bit, n, s: F.struct(F.col("read").bitwiseOR(F.lit(bit).cast("long")).alias("bits"), F.col(n).alias("n"), F.col(s).alias("s"))
     both = per.select("active", F.explode(F.array(note(pos, "n1", "s1"), note(neg, "n0", "s0"))).alias("x"))
     return both.select("x.bits", "active", "x.n", "x.s").where("n > 0")
@@ -297,7 +297,7 @@ def score(docs: DataFrame, model: ToxicityModel, keep: tuple[str, ...] = ()) ->
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(s, pa.float64())], names=[*names, "score"])
 
     kinds = dict(rows.dtypes)
-    return rows.mapInArrow(emit, ", ".join([f"`{n}` {kinds[n]}" for n in names] + ["score double"]))
+    return rows.mapInArrow(lean(emit), ", ".join([f"`{n}` {kinds[n]}" for n in names] + ["score double"]))
 
 
 def spark_broadcast(df: DataFrame, value):
