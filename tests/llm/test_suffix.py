@@ -59,6 +59,19 @@ def test_merged_transforms_find_repeats(monkeypatch):
         assert got.tolist() == [i for i in range(len(t) - 199) if seen[t[i : i + 200]] > 1]
 
 
+def test_settled_suffixes_leave_the_merge(monkeypatch):
+    """Random texts with one shared passage: after the first rounds only the passage is sorted on, not all bytes in all rounds."""
+    rnd = random.Random(5)
+    passage = bytes(rnd.choices(range(32, 127), k=400))
+    texts = [bytes(rnd.choices(range(32, 127), k=1500)) + passage * (i in (3, 17)) for i in range(30)]
+    sorted_ = []
+    order = S._stable_order
+    monkeypatch.setattr(S, "_stable_order", lambda x: (sorted_.append(len(x)), order(x))[1])
+    found = S.repeated_starts(texts, [1] * 30)
+    assert [x.tolist() for x in found] == [list(range(1500, 1701)) if i in (3, 17) else [] for i in range(30)]
+    assert sum(sorted_) < 3 * sum(map(len, texts))  # all suffixes in all rounds: 24 times
+
+
 def test_documents(spark, docs):
     check(spark, [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
 

@@ -9,8 +9,8 @@ Texts are UTF-8 bytes; matches never cross documents; all strings are judged on
 2. *Transforms.* What is left are keys with different surroundings, once each. A task sorts the suffixes of shards of them and takes each shard's
    transform, with ``STEP`` preceding bytes per entry in place of one. The shards' transforms are merged by interleave refinement: an
    interleave that is right for the first d bytes of all suffixes becomes right for d + STEP by placing the shards' entries in its order, stably
-   by symbol. Block borders found on the way are the places where the common prefix ends; the blocks left at depth ``LENGTH`` are the
-   repeated intervals. Suffixes are never sorted again after their shard.
+   by symbol. Block borders found on the way are the places where the common prefix ends; a block of one suffix leaves the interleave, and the
+   blocks left at depth ``LENGTH`` are the repeated intervals. Suffixes are never sorted again after their shard.
 3. *Large groups.* A key with more than ``BIG`` different surroundings does not go to one task: its windows are halved by the anchor's place in
    them, keyed by the bytes that all windows of a half share, and counted again; halves that occur once or look all alike are done,
    and a half of one window always is, so this ends after eight rounds with every window judged.
@@ -160,7 +160,8 @@ def _shard_suffixes(sym: np.ndarray, pad: np.ndarray) -> np.ndarray:
 def repeated_starts(texts: list[bytes], weights: list[int]) -> list[np.ndarray]:
     """Per text, the starts of LENGTH-byte strings that start twice or more in all of the texts (a text counts ``weight`` times).
 
-    Shard transforms are merged all at once: ``owner`` says which shard each place of the interleave belongs to.
+    Shard transforms are merged all at once: ``place`` holds the interleave as places in the concatenated transforms. Suffixes whose
+    block weighs less than 2 leave at once: nothing longer that starts there, or at any place before, can repeat.
     """
     lens = np.array([len(t) for t in texts])
     at = np.concatenate([[0], np.cumsum(lens + STEP)])
@@ -176,33 +177,36 @@ def repeated_starts(texts: list[bytes], weights: list[int]) -> list[np.ndarray]:
     inside = np.arange(len(data)) - at[text_of]
     # Shards: consecutive texts.
     shard_of_text = (at[:-1] // SHARD).astype(np.int64)
-    suffixes, emits = [], []
+    shards = []
     for z in np.unique(shard_of_text):
         mine = np.flatnonzero(shard_of_text == z)
         lo, hi = at[mine[0]], at[mine[-1] + 1]
-        sa = _shard_suffixes(sym[lo:hi].copy(), pad[lo:hi]) + lo
-        suffixes.append(sa)
-        emits.append(np.where(inside[sa] >= STEP, sym[np.maximum(sa - STEP, 0)], -1))  # the shard's transform
-    n_pads = [int(pad[s].sum()) for s in suffixes]
-    fixed = np.repeat(np.arange(len(suffixes)), n_pads)  # terminators: shard by shard, each a block
-    owner = np.concatenate([fixed, *(np.full(len(s) - k, z) for z, (s, k) in enumerate(zip(suffixes, n_pads)))]).astype(np.uint16)
-    transform, n_fixed = np.concatenate(emits), len(fixed)
-    block = np.zeros(len(owner), np.int64)  # nothing differs in the first 0 bytes
-    entry = np.empty(len(owner), np.int64)
+        shards.append(_shard_suffixes(sym[lo:hi].copy(), pad[lo:hi]) + lo)
+    suffixes = np.concatenate(shards) if shards else np.empty(0, np.int64)
+    ahead = (inside[suffixes] >= STEP) & (inside[suffixes] <= lens[text_of[suffixes]])  # STEP bytes of the text stand before the suffix
+    before = np.maximum(suffixes - STEP, 0)
+    transform = np.where(ahead, sym[before], -1).astype(np.int32)  # the shards' transforms
+    place_of = np.empty(len(data), np.int32)
+    place_of[suffixes] = np.arange(len(suffixes))
+    back = place_of[before]  # last to first: the place of the suffix that starts STEP bytes before
+    heavy = np.minimum(np.asarray(weights, np.int64), 2)[text_of[suffixes]] if len(texts) else np.empty(0, np.int64)
+    place = np.arange(len(suffixes), dtype=np.int32)
+    block = np.zeros(len(place), np.int32)  # nothing differs in the first 0 bytes
     for _ in range(LENGTH // STEP):
-        entry[np.argsort(owner, kind="stable")] = transform  # the shards' entries in the interleave's order
+        entry = transform[place]  # the shards' entries in the interleave's order
         live = np.flatnonzero(entry >= 0)
+        if not len(live):
+            place = place[:0]
+            break
         live = live[_stable_order(entry[live])]
-        s, b = entry[live], block[live]
-        owner = np.concatenate([owner[:n_fixed], owner[live]])
-        border = np.ones(len(live), np.int64)
+        s, b, place = entry[live], block[live], back[place[live]]
+        border = np.ones(len(live), bool)
         border[1:] = (s[1:] != s[:-1]) | (b[1:] != b[:-1])
-        block = np.concatenate([np.arange(n_fixed), n_fixed - 1 + np.cumsum(border)])
-    merged = np.empty(len(owner), np.int64)
-    merged[np.argsort(owner, kind="stable")] = np.concatenate(suffixes)
-    weight = np.bincount(block, weights=np.asarray(weights, float)[text_of[merged]], minlength=1)
-    starts = merged[weight[block] >= 2]
-    starts = np.sort(starts[~pad[starts] & (lens[text_of[starts]] - inside[starts] >= LENGTH)])
+        first = np.flatnonzero(border)
+        sizes = np.diff(first, append=len(live))
+        again = np.add.reduceat(heavy[place], first) >= 2
+        place, block = place[np.repeat(again, sizes)], np.repeat(np.arange(np.count_nonzero(again), dtype=np.int32), sizes[again])
+    starts = np.sort(suffixes[place])
     return np.split(inside[starts], np.searchsorted(text_of[starts], np.arange(1, len(texts)))) if len(texts) else []
 
 
