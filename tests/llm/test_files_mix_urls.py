@@ -56,6 +56,67 @@ def test_token_files_edges(weird, no_docs, tmp_path):
     assert TF.read_digest(TF.write_token_files(no_docs, path)).count() == 0
 
 
+class Counted:
+    """A tokenizer that counts the characters it is given."""
+
+    given = 0
+
+    def __init__(self, tok):
+        self.tok = tok
+
+    def __getattr__(self, name):
+        return getattr(self.tok, name)
+
+    def encode_batch_fast(self, texts, **kw):
+        Counted.given += sum(map(len, texts))
+        return self.tok.encode_batch_fast(texts, **kw)
+
+
+def test_runs_of_known_letters_are_encoded_once(monkeypatch):
+    enc = TF.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    for k, v in vars(enc).items():
+        if type(v).__name__ == "Tokenizer":
+            monkeypatch.setattr(enc, k, Counted(v))
+    words = [f"{a}{b}wörtchen" for a in "abcdefghij" for b in "klmnopqrst"]
+    texts = [" ".join(form.format(w) for w in words) for form in ("{}", "{},", "\u201c{}\u201d", "({})", "{}!!", "{}'s", "1{}2")] + [" ".join(words).title()]
+    Counted.given = 0
+    ids, counts = enc.encode(texts, 1)
+    assert np.split(ids, np.cumsum(counts)[:-1])[2].tolist() == brute_ids(texts)[2] and ids.tolist() == [i for x in brute_ids(texts) for i in x]
+    assert 0 < Counted.given <= 1.2 * sum(len(w) + 1 for w in words)
+
+
+def test_runs_equal_whole_text_encoding(monkeypatch):
+    fast = [c for c in map(chr, range(0x2100)) if re.fullmatch(f"[0-9{TF.LETTERS}{TF.MARKS}]", c)]
+    texts = [f"{c} a{c}b {c}{c} '{c} {c}' A{c}{c}S 1{c}1 .{c}. {c}\u0301" for c in fast]
+    texts += ["it's 'Sam I'LL'd <|startoftext|> x<|EndOfText|>y <|endoftext|>. </w> a\u030a, \u0130\u0131 \u03a3\u03a3 a\x1cb \xa0c\x85d", None, "", " \n", "caf\xe9... CAFE\u0301"]
+    monkeypatch.setattr(TF, "CACHE_WORDS", 50)
+    enc = TF.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    for some in (texts, texts[::-1], texts[:20], texts):
+        ids, counts = enc.encode(some, 1)
+        want = brute_ids(some)
+        assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    with pytest.raises(UnicodeEncodeError):
+        enc.encode(["neu", "\ud800"], 1)
+    assert enc.encode(["neu"], 1)[0].tolist() == brute_ids(["neu"])[0]
+
+
+def test_other_tokenizers_get_whole_texts(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["pre_tokenizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}  # not cut at white space
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    texts = ["the cat sat", None, "on  the mat, the cat"]
+    ids, counts = TF.WordEncoder(path).encode(texts, 1)
+    want = [Tokenizer.from_file(path).encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    assert counts.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+
+
 @pytest.mark.parametrize("name", ["docs", "weird"])
 def test_mix(request, name):
     df = request.getfixturevalue(name)

@@ -10,8 +10,10 @@ part per attempt and only files named in the materialised manifest are read, so
 place in the whole stream is the sum of the tokens of the files before it: one manifest row per file.
 
 Words are cached: this tokenizer cuts at white space before anything else and never looks across it, so a text's ids are the ids of
-its white-space-separated pieces in a row (tested against whole-text encoding). New words of ASCII letters go
-to the tokenizer ``WORDS_A_CALL`` at a time; each ends at its one word-end piece (``</w>``). Others go alone. Beyond ``CACHE_WORDS`` words the cache keeps those that came again since the last such cut.
+its white-space-separated pieces in a row (tested against whole-text encoding). New words of common Latin letters, digits and marks (``LETTERS``,
+``MARKS``) are lower-cased and cut into runs as the tokenizer does, and runs are cached too: ``The``, ``the`` and ``the,`` share one. New runs go to the
+tokenizer's model ``WORDS_A_CALL`` at a time; each ends at its one word-end piece (``</w>``). Other words go alone, through the whole tokenizer.
+Beyond ``CACHE_WORDS`` keys a cache keeps those that came again since the last such cut. A tokenizer with other rules gets whole texts.
 
 Defined cases: null text counts as empty (only the end id); repeated rows are written each; a null doc_id comes first; equal
 doc_ids are ordered by a hash of their text; an empty table writes no file and gives no rows; other columns are ignored.
@@ -22,9 +24,13 @@ from __future__ import annotations
 import functools
 import gc
 import itertools
+import json
 import os
+import re
 import uuid
 import zlib
+from collections import defaultdict
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -45,50 +51,110 @@ SLICE_BYTES = 4 << 20
 MANIFEST = "part int, seq int, path string, n_docs long, n_tokens long, n_sequences long"
 
 
-class WordEncoder:
-    """Encodes texts through a bounded cache of white-space-separated words."""
+#: The tokenizers whose words and runs are cached: normalised and cut as these do, nothing else looks across white space or across runs.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+CUTS = [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+#: Letters and marks that these normalizers only lower-case, one by one: ASCII, Latin-1, Latin Extended-A, dashes, quotes, dots.
+LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u017f"
+MARKS = r"!-/:-@\[-`{-~\xa1-\xa9\xab\xac\xae-\xb1\xb4\xb6-\xb8\xbb\xbf\xd7\xf7\u2010-\u2027"
+RUNS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[{MARKS}]+|\n")
 
-    def __init__(self, tokenizer_file: str):
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tok = Tokenizer.from_file(tokenizer_file)
-        vocab = self.tok.get_vocab()
-        self.ends_word = np.zeros(max(vocab.values(), default=0) + 1, bool)
-        self.ends_word[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
+class _Spans:
+    """Token ids by key, bounded. Keys are numbered as they are first seen; ``add`` then gives the new ones their ids."""
+
+    def __init__(self):
         self.reset()
 
     def reset(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.index: defaultdict = defaultdict(itertools.count().__next__)
         self.ids, self.begin = np.empty(0, np.uint32), np.zeros(1, np.int64)
         self.again = np.zeros(0, bool)
 
-    def _forget(self) -> None:
-        """Keeps the words that came again; starts anew where these are more than half a cache."""
+    def forget(self) -> None:
+        """Above ``CACHE_WORDS`` keys, keeps those that came again; starts anew where these are more than half a cache."""
+        if len(self.index) <= CACHE_WORDS:
+            return
         kept = np.flatnonzero(self.again)
         if len(kept) > CACHE_WORDS // 2:
             return self.reset()
-        self.index = {w: i for i, w in enumerate(itertools.compress(self.index, self.again))}
-        lens = np.diff(self.begin)[kept]
-        ends = np.concatenate([[0], np.cumsum(lens)])
-        self.ids = self.ids[np.repeat(self.begin[kept] - ends[:-1], lens) + np.arange(ends[-1])]
-        self.begin, self.again = ends, np.zeros(len(kept), bool)
+        self.index = defaultdict(itertools.count(len(kept)).__next__, zip(itertools.compress(self.index, self.again), itertools.count()))
+        self.ids, lens = self.get(kept)
+        self.begin, self.again = np.concatenate([[0], np.cumsum(lens)]), np.zeros(len(kept), bool)
+
+    def numbers(self, keys: Iterable) -> tuple[np.ndarray, list]:
+        """(number of every key, the new keys in the order of their numbers)."""
+        known = len(self.again)
+        w = np.fromiter(map(self.index.__getitem__, keys), np.int64)
+        self.again[w[w < known]] = True
+        return w, list(itertools.islice(self.index, known, None))
 
-    def _learn(self, new: list[bytes]) -> None:
-        plain = [w for w in new if w.isalpha()]
-        calls = [b" ".join(plain[i : i + WORDS_A_CALL]).decode("ascii") for i in range(0, len(plain), WORDS_A_CALL)]
-        ids = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(calls, add_special_tokens=False)]
-        ends = np.flatnonzero(self.ends_word[np.concatenate(ids)]) if ids else np.empty(0, np.int64)
-        if len(ends) != len(plain):  # another kind of tokenizer
-            plain, ids, ends = [], [], np.empty(0, np.int64)
-        known = set(plain)
-        other = [w for w in new if w not in known]
-        got = [e.ids for e in self.tok.encode_batch_fast([w.decode("utf-8") for w in other], add_special_tokens=False)]
-        lens = np.concatenate([np.diff(ends, prepend=-1), np.array([len(x) for x in got], np.int64)])
-        self.index.update(zip(itertools.chain(plain, other), range(len(self.index), len(self.index) + len(new))))
+    def add(self, ids: np.ndarray, lens: np.ndarray) -> None:
+        self.ids = np.concatenate([self.ids, ids])
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(lens)])
-        self.ids = np.concatenate([self.ids, *ids, np.fromiter(itertools.chain.from_iterable(got), np.uint32)])
-        self.again = np.concatenate([self.again, np.zeros(len(new), bool)])
+        self.again = np.concatenate([self.again, np.zeros(len(lens), bool)])
+
+    def get(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the keys numbered ``w`` in a row, ids per key)."""
+        lens = self.begin[w + 1] - self.begin[w]
+        ends = np.cumsum(lens)
+        return self.ids[np.repeat(self.begin[w] - ends + lens, lens) + np.arange(lens.sum())], lens
+
+
+class WordEncoder:
+    """Encodes texts through bounded caches of white-space-separated words and of the runs in them."""
+
+    def __init__(self, tokenizer_file: str):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tok, self.bare = Tokenizer.from_file(tokenizer_file), None
+        with open(tokenizer_file, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = [(spec[k] or {}).get(of) for k, of in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        if steps == [NORMALIZERS, CUTS] and not (spec["truncation"] or spec["padding"] or spec["model"].get("dropout")) and spec["model"].get("end_of_word_suffix") == "</w>":
+            cuts = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, CUTS[1]]}
+            self.bare = Tokenizer.from_str(json.dumps({**spec, "normalizer": None, "pre_tokenizer": cuts, "added_tokens": []}))  # for runs, already lower-case and cut
+        self.odd = re.compile("|".join([rf"[^0-9{LETTERS}{MARKS}]", *(re.escape(t["content"]) for t in spec["added_tokens"])]))
+        vocab = self.tok.get_vocab()
+        self.ends_word = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.ends_word[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
+        self.words, self.runs = _Spans(), _Spans()
+
+    @staticmethod
+    def _each(tok, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(itertools.chain.from_iterable(got), np.uint32), np.fromiter(map(len, got), np.int64, len(got))
+
+    def _learn_runs(self, new: list[str]) -> None:
+        given = [r for r in new if r != "\n"]
+        calls = [" ".join(given[i : i + WORDS_A_CALL]) for i in range(0, len(given), WORDS_A_CALL)]
+        ids, _ = self._each(self.bare, calls)
+        found = np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
+        if len(found) != len(given):  # a vocabulary that lacks some byte
+            ids, found = self._each(self.bare, given)
+        lens = np.zeros(len(new), np.int64)
+        lens[[r != "\n" for r in new]] = found
+        self.runs.add(ids, lens)
+
+    def _learn(self, new: list[bytes]) -> None:
+        words = b"\n".join(new).decode("utf-8").split("\n")
+        odd = np.fromiter((self.odd.search(w) is not None for w in words), bool, len(words))
+        self.runs.forget()
+        r, unknown = self.runs.numbers(RUNS.findall("\n".join([*itertools.compress(words, ~odd), ""]).lower()))
+        if unknown:
+            self._learn_runs(unknown)
+        ids, per_run = self.runs.get(r)
+        ends = np.cumsum(per_run)[r == self.runs.index["\n"]] if len(r) else np.empty(0, np.int64)
+        other, per_other = self._each(self.tok, list(itertools.compress(words, odd)))
+        lens = np.empty(len(words), np.int64)
+        lens[~odd], lens[odd] = np.diff(ends, prepend=0), per_other
+        both, of_odd = np.empty(len(ids) + len(other), np.uint32), np.repeat(odd, lens)
+        both[~of_odd], both[of_odd] = ids, other
+        self.words.add(both, lens)
 
     def encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text); each text ends with ``end_id``. Cycle collection rests meanwhile: nothing here has cycles."""
@@ -96,26 +162,27 @@ class WordEncoder:
         gc.disable()
         try:
             return self._encode(texts, end_id)
+        except BaseException:
+            self.words.reset()  # keys that were numbered may lack their ids
+            self.runs.reset()
+            raise
         finally:
             if was:
                 gc.enable()
 
     def _encode(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        if self.bare is None:
+            flat, per_text = self._each(self.tok, [t or "" for t in texts])
+            return np.insert(flat, np.cumsum(per_text), end_id), per_text + 1
         split = [(t or "").encode("utf-8").split() for t in texts]
-        if len(self.index) > CACHE_WORDS:
-            self._forget()
-        known = len(self.index)
-        new = list({w for ws in split for w in ws}.difference(self.index))
+        self.words.forget()
+        w, new = self.words.numbers(itertools.chain.from_iterable(split))
         if new:
             self._learn(new)
-        n_words = np.array([len(ws) for ws in split], np.int64)
-        w = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(n_words.sum()))
-        self.again[w[w < known]] = True
-        lens = self.begin[w + 1] - self.begin[w]
+        flat, lens = self.words.get(w)
         ends = np.concatenate([[0], np.cumsum(lens)])
-        bounds = np.concatenate([[0], np.cumsum(n_words)])
+        bounds = np.cumsum([0, *map(len, split)])
         per_text = ends[bounds[1:]] - ends[bounds[:-1]]
-        flat = self.ids[np.repeat(self.begin[w] - ends[:-1], lens) + np.arange(ends[-1])]
         return np.insert(flat, ends[bounds[1:]], end_id), per_text + 1
 
 
