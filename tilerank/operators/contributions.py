@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 
 
 def flatten_model(model) -> list[tuple[float, list[tuple[float, list[tuple[int, float, bool, float]]]]]]:
@@ -141,28 +141,61 @@ def contribution_tables(model) -> tuple[list, float]:
 
 
 def _contrib_batch(X: np.ndarray, tables, n_features: int) -> np.ndarray:
-    """Contributions (feature x row) of a batch; a missing value answers no, as in the trees."""
+    """Contributions (feature x row) of a batch; a missing value answers no, as in the trees.
+
+    A condition that many trees ask is answered once, and a group's answers are put together as bytes.
+    """
     columns = np.ascontiguousarray(X.T)
     phi = np.zeros((n_features, X.shape[0]))
+    answers: dict[tuple, np.ndarray] = {}
+
+    def answer(f, thr, left) -> np.ndarray:
+        if (f, thr) not in answers:
+            answers[f, thr] = (columns[f] <= thr).view(np.uint8)
+        return answers[f, thr] if left else 1 - answers[f, thr]
+
     for questions, by_feature in tables:
-        pattern = np.zeros(X.shape[0], dtype=np.intp)
+        pattern = np.zeros(X.shape[0], dtype=np.uint8 if len(questions) <= 8 else np.intp)
         for i, conditions in enumerate(questions):
-            yes = np.ones(X.shape[0], dtype=bool)
-            for f, thr, left in conditions:
-                yes &= (columns[f] <= thr) if left else ~(columns[f] <= thr)
-            pattern |= yes.astype(np.intp) << i
+            yes = answer(*conditions[0])
+            for c in conditions[1:]:
+                yes = yes & answer(*c)
+            pattern |= yes.astype(pattern.dtype, copy=False) << pattern.dtype.type(i)
+        pattern = pattern.astype(np.intp, copy=False)
         for f, table in by_feature.items():
-            phi[f] += table[pattern]
+            phi[f] += table.take(pattern, mode="clip")
     return phi
 
 
+def _top(X: np.ndarray, tables, feats: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(names of the features with the largest absolute contribution, first on ties; their contributions; sums of all contributions) of a batch."""
+    phi = _contrib_batch(X, tables, len(feats))
+    idx = np.abs(phi).argmax(axis=0) if len(X) else np.zeros(0, dtype=int)
+    return np.array(feats, dtype=object)[idx], phi[idx, np.arange(len(X))], phi.sum(axis=0)
+
+
+def with_top_driver(df: DataFrame, model, features: Sequence[str], driver: str = "top_shap_driver", value: str = "top_shap_value") -> DataFrame:
+    """``df`` with each row's top driver and its contribution (see :func:`top_driver`), added where the row lies."""
+    ship_package(df.sparkSession)
+    tables, _ = contribution_tables(flatten_model(model))
+    feats = list(features)
+
+    def run(*columns: pd.Series) -> pd.DataFrame:
+        X = np.column_stack([c.to_numpy(dtype="float64", na_value=np.nan) for c in columns])
+        names, values, _ = _top(X, tables, feats)
+        return pd.DataFrame({driver: names, value: values})
+
+    schema = T.StructType([T.StructField(driver, T.StringType()), T.StructField(value, T.DoubleType())])
+    found = F.pandas_udf(run, schema)(*[F.col(c).cast("double") for c in feats])
+    return df.withColumn("_driver", found).select(*df.columns, f"_driver.{driver}", f"_driver.{value}")
+
+
 def top_driver(df: DataFrame, model, features: Sequence[str], key: str = "site_id",
                driver: str = "top_shap_driver", value: str = "top_shap_value") -> DataFrame:
     """``key``, the feature with the largest absolute contribution (first on ties), its contribution,
     the model's expected value ``shap_base`` and the sum of contributions ``shap_sum``."""
     tables, base = contribution_tables(flatten_model(model))
     feats = list(features)
-    nf = len(feats)
     schema = T.StructType([
         T.StructField(key, df.schema[key].dataType), T.StructField(driver, T.StringType()), T.StructField(value, T.DoubleType()),
         T.StructField("shap_base", T.DoubleType()), T.StructField("shap_sum", T.DoubleType()),
@@ -171,12 +204,8 @@ def top_driver(df: DataFrame, model, features: Sequence[str], key: str = "site_i
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             X = pdf[feats].to_numpy(dtype="float64", na_value=np.nan)
-            phi = _contrib_batch(X, tables, nf)
-            idx = np.abs(phi).argmax(axis=0) if len(pdf) else np.zeros(0, dtype=int)
-            yield pd.DataFrame({
-                key: pdf[key].to_numpy(), driver: [feats[i] for i in idx], value: phi[idx, np.arange(len(pdf))],
-                "shap_base": np.full(len(pdf), base), "shap_sum": phi.sum(axis=0),
-            })
+            names, values, sums = _top(X, tables, feats)
+            yield pd.DataFrame({key: pdf[key].to_numpy(), driver: names, value: values, "shap_base": np.full(len(pdf), base), "shap_sum": sums})
 
     cols = [key] + [F.col(c).cast("double").alias(c) for c in feats]
     return df.select(*cols).mapInPandas(run, schema)

@@ -231,13 +231,14 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
     # the cuts must not outgrow the input: at most some four pieces a segment on average, and one more a point
     least = ext["long"] / (4 * ext["n"] + base.count())
     pieces = _split_pieces(segs, max(math.sqrt(area / ext["n"]), least, 1.0), ["_rk", "_sid"])
-    res = nearest_of(base, pieces).groupBy("_lk").agg(F.min("_best").alias("_best"))
+    best = nearest_of(base, pieces)
+    # points without coordinates have no nearest geometry but a row, unless their key has another point
+    nowhere = base0.where(F.col("_x").isNull() | F.col("_y").isNull()).select("_lk", F.lit(None).cast(best.schema["_best"].dataType).alias("_best"))
+    res = best.unionByName(nowhere).groupBy("_lk").agg(F.min("_best").alias("_best"))
     res = res.select("_lk", F.col("_best._d").alias(dist_col), F.col("_best._rk").alias(right_key), F.col("_best._sid").alias("_sid"))
     if carry:
-        res = res.join(segs.select("_sid", *carry), "_sid")
-    res = res.drop("_sid")
-    keys = base0.select("_lk").distinct()
-    return store(keys.join(res, "_lk", "left")).withColumnRenamed("_lk", left_key)
+        res = res.join(segs.select("_sid", *carry), "_sid", "left")
+    return store(res.drop("_sid")).withColumnRenamed("_lk", left_key)
 
 
 # ---------------------------------------------------------------------------

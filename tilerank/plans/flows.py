@@ -30,9 +30,11 @@ def rank_sites(master: DataFrame, mask: bool = True, **model_params) -> DataFram
     An empty matrix stops with an error, like the original flow. A training pool without rows
     leaves predictions and drivers NULL.
     """
+    # stored once: screening, medians and models read it some ten times, and all columns added to it are row by row
+    master = store(master)
     if master.isEmpty():
         raise ValueError("insufficient valid data to train the model")
-    prepared = store(prepare_matrix(master))
+    prepared = prepare_matrix(master)
     feats, target = select_features(prepared)
     if prepared.where(F.col("is_underserved_target")).isEmpty():
         modeled = prepared.withColumns({
@@ -57,9 +59,9 @@ def rescore_stored_matrix(matrix: DataFrame, **model_params) -> DataFrame:
     and extended with the engineered features; one without it is screened first.
     """
     if "is_underserved_target" in matrix.columns:
-        prepared = store(engineer_features(impute_domain(matrix)))
+        prepared = engineer_features(impute_domain(matrix))
     else:
-        prepared = store(prepare_matrix(matrix))
+        prepared = prepare_matrix(matrix)
     feats, target = select_features(prepared)
     modeled = model_and_drivers(prepared, feats, target, **model_params)
     return govern_score_rank(store(modeled), mask=False)

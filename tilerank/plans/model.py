@@ -4,17 +4,16 @@ per-row top driver."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.screening import spatial_block
-from ..operators.contributions import top_driver
-from ..session import cut_lineage, store
+from ..operators.boosting import fit_models
+from ..operators.contributions import with_top_driver
+from ..session import store
 
 
 def with_blocks(df: DataFrame, size: float = K.BLOCK_SIZE_DEG) -> DataFrame:
@@ -62,23 +61,16 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(cast)
 
 
-ROWS_PER_TRAIN_PARTITION = 200_000
-#: Names a row inside the model flow: keys may repeat, so nothing is joined back by them.
-ROW = "_model_row"
+def fit_gbt(df: DataFrame, features: Sequence[str], target: str, **params):
+    """Gradient-boosted regression trees (defaults: 200 trees, depth 4, rate 0.05, seed 42) on the rows with a target.
 
-
-def fit_gbt(df: DataFrame, features: Sequence[str], target: str, partitions: int | None = None, **params):
-    """Gradient-boosted regression trees (defaults: 200 trees, depth 4, rate 0.05, seed 42).
-
-    Every boosting round runs a few Spark jobs over the training set. The set is cut first, with
-    whatever parallelism its plan has, and then dealt out to ``partitions`` (default: one per
-    ``ROWS_PER_TRAIN_PARTITION`` rows), so the layout of the rounds never reaches into the plan before.
+    The training set is cut first, with whatever parallelism its plan has, so the fit never reaches into the plan before.
     """
-    p = {**K.GBT_PARAMS, **params}
-    est = GBTRegressor(featuresCol="features", labelCol="_label", predictionCol="prediction", **p)
-    data = assemble(df, features).withColumn("_label", F.col(target).cast("double")).where(F.col("_label").isNotNull())
-    data = cut_lineage(data.select("features", "_label"))
-    return est.fit(data.repartition(partitions or max(1, -(-data.count() // ROWS_PER_TRAIN_PARTITION))))
+    data = store(df.select(*features, F.col(target).alias("_target"), F.lit(None).cast("int").alias("_fold")))
+    (model,) = fit_models(data, features, "_target", "_fold", [None], {**K.GBT_PARAMS, **params})
+    if model is None:
+        raise ValueError("no row to train the model on")
+    return model
 
 
 def predict_all(df: DataFrame, model, features: Sequence[str], out: str = "predicted_download_kbps") -> DataFrame:
@@ -86,57 +78,49 @@ def predict_all(df: DataFrame, model, features: Sequence[str], out: str = "predi
 
 
 def spatial_block_cv(df: DataFrame, features: Sequence[str], target: str, n_splits: int = K.N_SPLITS, key: str = "site_id",
-                     pool_flag: str = "is_underserved_target", parallelism: int = 6, **params) -> tuple[DataFrame, object]:
+                     pool_flag: str = "is_underserved_target", **params) -> tuple[DataFrame, object]:
     """Blocked cross-validation and the production model.
 
     Adds ``lat_block, lon_block, spatial_block``, ``cv_predicted_speed`` (out-of-block prediction
     for training-pool rows, production prediction elsewhere) and ``predicted_download_kbps``.
-    The fold fits and the production fit are independent and run concurrently. Returns
+    The fold fits and the production fit are independent and run at once. Returns
     ``(frame, production_model)``.
     """
-    out, _, final = _cv_rows(df, features, target, n_splits, pool_flag, parallelism, **params)
-    return out.drop(ROW), final
+    return _cross_predicted(store(with_blocks(df)), features, target, n_splits, pool_flag, **params)
 
 
-def _cv_rows(df: DataFrame, features: Sequence[str], target: str, n_splits: int = K.N_SPLITS, pool_flag: str = "is_underserved_target",
-             parallelism: int = 6, **params) -> tuple[DataFrame, DataFrame, object]:
-    """:func:`spatial_block_cv` with the rows still named by ``ROW``, the stored input rows with the same names, and the model."""
-    data = store(with_blocks(df).withColumn(ROW, F.monotonically_increasing_id()))
-    pool = data.where(F.coalesce(F.col(pool_flag), F.lit(False)))
+def _cross_predicted(data: DataFrame, features: Sequence[str], target: str, n_splits: int = K.N_SPLITS, pool_flag: str = "is_underserved_target",
+                     **params) -> tuple[DataFrame, object]:
+    """:func:`spatial_block_cv` of rows with blocks. They are read three times: hand in a stored table, or columns computed from one.
+
+    Every row is predicted where it lies: the rows outside the pool by the production model, those of a fold by that and by the model that did not see the fold. Nothing is joined back.
+    """
+    in_pool = F.coalesce(F.col(pool_flag), F.lit(False))
+    pool, rest = data.where(in_pool), data.where(~in_pool)
     folds = spatial_folds(pool, n_splits)
-    jobs = []
-    if folds is not None:
-        pf = store(fold_membership(pool, folds))
-        k = folds.agg(F.max("fold")).first()[0]
-        for i in range(1, k + 1):
-            jobs.append((pf.where(F.col("fold") != i), pf.where(F.col("fold") == i)))
-
-    def run(job):
-        if job is None:
-            return fit_gbt(pool, features, target, **params)
-        train, val = job
-        if train.isEmpty() or val.isEmpty():
-            return None
-        model = fit_gbt(train, features, target, **params)
-        return cut_lineage(predict_all(val, model, features, "cv_predicted_speed").select(ROW, "cv_predicted_speed"))
-
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        results = list(ex.map(run, [None] + jobs))
-    final, preds = results[0], [r for r in results[1:] if r is not None]
-    out = predict_all(data, final, features)
-    if preds:
-        cv = preds[0]
-        for p in preds[1:]:
-            cv = cv.unionByName(p)
-        out = out.join(cv, ROW, "left")
+    k = 0
+    if folds is None:
+        pool = pool.withColumn("fold", F.lit(None).cast("int"))
     else:
-        out = out.withColumn("cv_predicted_speed", F.lit(None).cast("double"))
-    out = out.withColumn("cv_predicted_speed", F.coalesce(F.col("cv_predicted_speed"), F.col("predicted_download_kbps")))
-    return out, data, final
+        pool = store(fold_membership(pool, folds).select(*data.columns, "fold"))
+        k = folds.agg(F.max("fold")).first()[0]
+    final, *held_out = fit_models(pool, features, target, "fold", [None, *range(1, k + 1)], {**K.GBT_PARAMS, **params})
+    if final is None:
+        raise ValueError("no row to train the model on")
+
+    def predicted(rows: DataFrame, model) -> DataFrame:
+        out = predict_all(rows, final, features)
+        if model is None:
+            return out.withColumn("cv_predicted_speed", F.col("predicted_download_kbps"))
+        return predict_all(out, model, features, "cv_predicted_speed")
+
+    out = predicted(rest, None).unionByName(predicted(pool.where(F.col("fold").isNull()).drop("fold"), None))
+    for i, model in enumerate(held_out, start=1):
+        out = out.unionByName(predicted(pool.where(F.col("fold") == i).drop("fold"), model))
+    return out, final
 
 
 def model_and_drivers(df: DataFrame, features: Sequence[str], target: str, key: str = "site_id", **params) -> DataFrame:
-    """Cross-validated predictions plus each row's top driver and its contribution."""
-    out, data, final = _cv_rows(df, features, target, **params)
-    drivers = top_driver(data, final, features, ROW).select(ROW, "top_shap_driver", "top_shap_value")
-    return out.join(drivers, ROW, "left").drop(ROW)
+    """Cross-validated predictions plus each row's top driver and its contribution. ``df`` is read three times: a stored table, or columns computed from one."""
+    out, final = _cross_predicted(with_blocks(df), features, target, **params)
+    return with_top_driver(out, final, features)

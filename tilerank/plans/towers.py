@@ -69,17 +69,20 @@ def _cell_graph(n: DataFrame, eps: float) -> DataFrame:
     return star.unionByName(close.select(F.col("ag").alias("src"), F.col("bg").alias("dst")))
 
 
-def cluster_antennas(df: DataFrame, eps: float = K.CLUSTER_EPS_M, min_samples: int = 1) -> DataFrame:
+def cluster_antennas(df: DataFrame, eps: float = K.CLUSTER_EPS_M, min_samples: int = 1, zone=None) -> DataFrame:
     """DBSCAN in UTM metres; with ``min_samples=1`` clusters are the connected components of the
     ``<= eps`` graph over distinct positions. Adds ``cluster_id`` (smallest position key in the
     cluster), ``x, y`` (projected) and ``node``; with ``min_samples > 1`` non-core points that
     reach no core point get ``cluster_id = -1`` and border points join the smallest adjacent cluster.
 
     No pairs of positions are formed. A cell that weighs ``min_samples`` holds core points only; the others count what lies around them by
-    whole nodes of pyramids, until they have enough. Core points of one cell are one cluster, so a border point asks per cell."""
-    zone = mean_longitude_zone(df)
-    pts = with_utm(df.withColumn("node", node_key()), zone)
-    nodes = pts.select("node", "x", "y").dropDuplicates(["node"])
+    whole nodes of pyramids, until they have enough. Core points of one cell are one cluster, so a border point asks per cell.
+
+    The antennas are projected once; ``zone`` is that of their mean longitude where it is not given."""
+    if zone is None:
+        zone = mean_longitude_zone(df)
+    pts = store(with_utm(df.withColumn("node", node_key()), zone))
+    nodes = store(pts.select("node", "x", "y").dropDuplicates(["node"]))
     if min_samples <= 1:
         labels = connected_components(nodes.select("node"), _cell_graph(_cells(nodes, eps), eps))
         return pts.join(labels.withColumnRenamed("label", "cluster_id"), "node", "left")
@@ -108,13 +111,15 @@ def dissolve_sites(clustered: DataFrame, zone=None) -> DataFrame:
     centroid of the cluster's distinct projected positions, returned in WGS84."""
     if zone is None:
         zone = mean_longitude_zone(clustered)
-    oh = one_hot_radio(clustered)
-    stats = oh.groupBy("cluster_id").agg(
-        F.count("radio").cast("bigint").alias("antenna_count"), F.avg("range").alias("range"),
-        *[F.sum(f"radio_{r}").cast("bigint").alias(col) for r, col in K.RADIO_COLUMNS],
+    # one pass: sums per distinct position of a cluster, then sums and the mean position per cluster
+    places = one_hot_radio(clustered).groupBy("cluster_id", "x", "y").agg(
+        F.count("radio").alias("_n"), F.sum("range").alias("_range"), F.count("range").alias("_ranges"),
+        *[F.sum(f"radio_{r}").alias(col) for r, col in K.RADIO_COLUMNS],
+    )
+    sites = places.groupBy("cluster_id").agg(
+        F.sum("_n").cast("bigint").alias("antenna_count"), F.try_divide(F.sum("_range"), F.sum("_ranges")).alias("range"),
+        *[F.sum(col).cast("bigint").alias(col) for _, col in K.RADIO_COLUMNS], F.avg("x").alias("x"), F.avg("y").alias("y"),
     )
-    cent = clustered.select("cluster_id", "x", "y").distinct().groupBy("cluster_id").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
-    sites = stats.join(cent, "cluster_id")
     return store(with_lonlat(sites, zone).drop("x", "y"))
 
 
@@ -138,6 +143,8 @@ def nearest_all_layers(sites: DataFrame, layers: Mapping[str, DataFrame], key: s
     def one(item):
         lay, segs = item
         name = f"distance_to_{K.LAYERS[lay][0]}_m"
+        if "kind" in segs.columns:
+            segs = store(segs)  # decoded once; the polygons are looked for below
         s = with_utm(with_utm(segs, zone, "lon1", "lat1", "x1", "y1"), zone, "lon2", "lat2", "x2", "y2")
         near = nearest_feature(sp, s.select(F.col("feature_id"), "x1", "y1", "x2", "y2"), key, "feature_id", dist_col=name)
         if "kind" in segs.columns:
@@ -162,6 +169,7 @@ def nearest_all_layers(sites: DataFrame, layers: Mapping[str, DataFrame], key: s
 def build_tower_sites(antennas: DataFrame, layers: Mapping[str, DataFrame], bounds, eps: float = K.CLUSTER_EPS_M) -> DataFrame:
     """Bound the antennas, cluster them, dissolve clusters to sites and attach infrastructure distances."""
     bounded = filter_mcc_bbox(antennas, bounds)
-    clustered = cluster_antennas(bounded, eps)
-    sites = dissolve_sites(clustered)
+    zone = mean_longitude_zone(bounded)
+    clustered = cluster_antennas(bounded, eps, zone=zone)
+    sites = dissolve_sites(clustered, zone)
     return nearest_all_layers(sites, layers)
