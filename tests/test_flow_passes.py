@@ -54,3 +54,43 @@ def test_geometries_decoded_together_equal_one_by_one():
     want = [(i, t, *row) for i, t, b in zip(pdf["id"], pdf["type"], blobs) if b is not None for row in wkb_to_segments(b, with_kind=True)]
     key = lambda r: tuple(str(v) for v in r)
     assert sorted(map(key, got.itertuples(index=False, name=None))) == sorted(map(key, want)) and len(got) == 10
+
+
+def test_looked_up_predictions_are_the_models(spark):
+    """Shallow trees and paths of more conditions than a table holds, with missing values."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    feats = [f"f{i}" for i in range(11)]
+    d = spark.range(600).select("id", *[F.rand(i).alias(f) for i, f in enumerate(feats)]).withColumn("y", sum((F.col(f) * (i + 1) for i, f in enumerate(feats)), F.rand(99)) * 100).cache()
+    for depth in (2, 4, 11):
+        vec = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep")
+        model = GBTRegressor(labelCol="y", maxIter=3, maxDepth=depth, seed=1).fit(vec.transform(d))
+        holed = d.withColumn("f3", F.when(F.col("id") % 5 != 0, F.col("f3")))
+        got = MD.predict_all(holed, model, feats, "p").select("id", "p")
+        both = got.join(model.transform(vec.transform(holed.withColumn("f3", F.coalesce("f3", F.lit(float("nan")))))).select("id", "prediction"), "id")
+        assert both.count() == 600 and both.where(F.abs(F.col("p") - F.col("prediction")) > 1e-9).count() == 0
+
+
+def test_coordinates_are_projected_once_per_geometry(spark):
+    """No filter on a projected coordinate below the store of the geometries: it would compute the projection again for every mention."""
+    from tilerank.functions.geo import with_utm
+    from tilerank.operators import spatial
+
+    plans = []
+    kept = spatial.store
+
+    def store(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df)
+
+    pts = spark.createDataFrame([(i, 100.0 + i / 100, 1.0 + i / 300) for i in range(50)], "id long, lon double, lat double")
+    left = with_utm(pts, F.lit(47), "lon", "lat").select(F.col("id").alias("k"), "x", "y")
+    right = with_utm(pts.unionByName(spark.createDataFrame([(99, None, None)], pts.schema)), F.lit(47), "lon", "lat", "x1", "y1").withColumns({"x2": F.col("x1"), "y2": F.col("y1")})
+    spatial.store = store
+    try:
+        out = spatial.nearest_feature(left.unionByName(spark.createDataFrame([(77, None, 1.0)], left.schema)), right.select("id", "x1", "y1", "x2", "y2"), "k", "id").collect()
+    finally:
+        spatial.store = kept
+    assert len(out) == 51 and all(r["id"] == r["k"] and r["distance_m"] < 1e-6 for r in out if r["k"] != 77) and [r["id"] for r in out if r["k"] == 77] == [None]
+    assert not any("Filter" in line and "COSH" in line.upper() for p in plans for line in p.splitlines())

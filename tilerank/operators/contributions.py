@@ -14,7 +14,7 @@ the number of rows); the tables travel to the tasks, where a row looks its patte
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -26,7 +26,10 @@ from ..session import scratch_path, ship_package
 
 
 def flatten_model(model) -> list[tuple[float, list[tuple[float, list[tuple[int, float, bool, float]]]]]]:
-    """``[(tree_weight, [(leaf_value, [(feature, threshold, goes_left, cover_fraction), ...]), ...]), ...]``."""
+    """``[(tree_weight, [(leaf_value, [(feature, threshold, goes_left, cover_fraction), ...]), ...]), ...]``; kept beside the model."""
+    kept = getattr(model, "_tilerank_trees", None)
+    if kept is not None:
+        return kept
     spark = SparkSession.getActiveSession()
     path = scratch_path(spark, "gbt_model")
     model.write().overwrite().save(path)
@@ -54,6 +57,7 @@ def flatten_model(model) -> list[tuple[float, list[tuple[float, list[tuple[int,
 
         walk(0, [])
         out.append((weights[tid], leaves))
+    model._tilerank_trees = out
     return out
 
 
@@ -105,6 +109,42 @@ def _leaf_table(value: float, path, answer, rows: int) -> dict[int, np.ndarray]:
     return out
 
 
+def _questions(group) -> tuple[list, Callable, int]:
+    """What a group of leaves asks, the answers ``(feature, threshold, left) -> 0 or 1`` in every pattern, and the number of patterns."""
+    asked = sorted({(f, thr) for _, path in group for f, thr, _, _ in path})
+    if len(asked) > GROUP_CONDITIONS:
+        path = group[0][1]
+        questions = [[(f, thr, left) for f, thr, left, _ in path if f == g] for g in sorted({f for f, _, _, _ in path})]
+    else:
+        questions = [[(f, thr, True)] for f, thr in asked]
+    bit_of = {c: i for i, q in enumerate(questions) for c in q}
+    patterns = np.arange(1 << len(questions))
+
+    def answer(f, thr, left):
+        yes = (f, thr, left) in bit_of
+        bit = (patterns >> bit_of[(f, thr, left) if yes else (f, thr, not left)]) & 1
+        return bit if yes else 1 - bit
+
+    return questions, answer, len(patterns)
+
+
+def prediction_tables(model) -> list:
+    """``[(questions, table), ...]`` of a flattened model: a row's prediction is the sum of what its patterns of answers look up."""
+    tables = []
+    for w_t, leaves in model:
+        for group in _condition_groups(leaves):
+            questions, answer, patterns = _questions(group)
+            table = np.zeros(patterns)
+            for value, path in group:
+                passes = np.ones(patterns)
+                # the answers of a deep leaf are per feature: each of them counts once
+                for f, thr, left, _ in path:
+                    passes = passes * answer(f, thr, left)
+                table += w_t * value * passes
+            tables.append((questions, table))
+    return tables
+
+
 def contribution_tables(model) -> tuple[list, float]:
     """``([(questions, {feature: table}), ...], expected value)`` of a flattened model.
 
@@ -116,24 +156,11 @@ def contribution_tables(model) -> tuple[list, float]:
     tables, base = [], 0.0
     for w_t, leaves in model:
         for group in _condition_groups(leaves):
-            asked = sorted({(f, thr) for _, path in group for f, thr, _, _ in path})
-            if len(asked) > GROUP_CONDITIONS:
-                path = group[0][1]
-                questions = [[(f, thr, left) for f, thr, left, _ in path if f == g] for g in sorted({f for f, _, _, _ in path})]
-            else:
-                questions = [[(f, thr, True)] for f, thr in asked]
-            bit_of = {c: i for i, q in enumerate(questions) for c in q}
-            patterns = np.arange(1 << len(questions))
-
-            def answer(f, thr, left):
-                yes = (f, thr, left) in bit_of
-                bit = (patterns >> bit_of[(f, thr, left) if yes else (f, thr, not left)]) & 1
-                return bit if yes else 1 - bit
-
+            questions, answer, patterns = _questions(group)
             phi: dict[int, np.ndarray] = {}
             for value, path in group:
                 base += w_t * value * math.prod(frac for _, _, _, frac in path)
-                for f, t in _leaf_table(w_t * value, path, answer, len(patterns)).items():
+                for f, t in _leaf_table(w_t * value, path, answer, patterns).items():
                     phi[f] = phi.get(f, 0.0) + t
             if phi:
                 tables.append((questions, phi))
@@ -141,12 +168,28 @@ def contribution_tables(model) -> tuple[list, float]:
 
 
 def _contrib_batch(X: np.ndarray, tables, n_features: int) -> np.ndarray:
-    """Contributions (feature x row) of a batch; a missing value answers no, as in the trees.
+    """Contributions (feature x row) of a batch."""
+    phi = np.zeros((n_features, X.shape[0]))
+    for pattern, by_feature in _patterns(X, tables):
+        for f, table in by_feature.items():
+            phi[f] += table.take(pattern, mode="clip")
+    return phi
+
+
+def _predict_batch(X: np.ndarray, tables) -> np.ndarray:
+    """Predictions of a batch."""
+    out = np.zeros(X.shape[0])
+    for pattern, table in _patterns(X, tables):
+        out += table.take(pattern, mode="clip")
+    return out
+
+
+def _patterns(X: np.ndarray, tables) -> Iterator[tuple]:
+    """Each group's pattern of answers per row, with what the group looks up; a missing value answers no, as in the trees.
 
     A condition that many trees ask is answered once, and a group's answers are put together as bytes.
     """
     columns = np.ascontiguousarray(X.T)
-    phi = np.zeros((n_features, X.shape[0]))
     answers: dict[tuple, np.ndarray] = {}
 
     def answer(f, thr, left) -> np.ndarray:
@@ -154,17 +197,14 @@ def _contrib_batch(X: np.ndarray, tables, n_features: int) -> np.ndarray:
             answers[f, thr] = (columns[f] <= thr).view(np.uint8)
         return answers[f, thr] if left else 1 - answers[f, thr]
 
-    for questions, by_feature in tables:
+    for questions, found in tables:
         pattern = np.zeros(X.shape[0], dtype=np.uint8 if len(questions) <= 8 else np.intp)
         for i, conditions in enumerate(questions):
             yes = answer(*conditions[0])
             for c in conditions[1:]:
                 yes = yes & answer(*c)
             pattern |= yes.astype(pattern.dtype, copy=False) << pattern.dtype.type(i)
-        pattern = pattern.astype(np.intp, copy=False)
-        for f, table in by_feature.items():
-            phi[f] += table.take(pattern, mode="clip")
-    return phi
+        yield pattern.astype(np.intp, copy=False), found
 
 
 def _top(X: np.ndarray, tables, feats: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,6 +214,21 @@ def _top(X: np.ndarray, tables, feats: Sequence[str]) -> tuple[np.ndarray, np.nd
     return np.array(feats, dtype=object)[idx], phi[idx, np.arange(len(X))], phi.sum(axis=0)
 
 
+def _matrix(columns: Sequence[pd.Series]) -> np.ndarray:
+    return np.column_stack([c.to_numpy(dtype="float64", na_value=np.nan) for c in columns])
+
+
+def with_prediction(df: DataFrame, model, features: Sequence[str], out: str) -> DataFrame:
+    """``df`` with the model's prediction, looked up in tables (Spark ML walks the 200 trees of a row as objects, node by node)."""
+    ship_package(df.sparkSession)
+    tables = prediction_tables(flatten_model(model))
+
+    def run(*columns: pd.Series) -> pd.Series:
+        return pd.Series(_predict_batch(_matrix(columns), tables))
+
+    return df.withColumn(out, F.pandas_udf(run, T.DoubleType())(*[F.col(c).cast("double") for c in features]))
+
+
 def with_top_driver(df: DataFrame, model, features: Sequence[str], driver: str = "top_shap_driver", value: str = "top_shap_value") -> DataFrame:
     """``df`` with each row's top driver and its contribution (see :func:`top_driver`), added where the row lies."""
     ship_package(df.sparkSession)
@@ -181,8 +236,7 @@ def with_top_driver(df: DataFrame, model, features: Sequence[str], driver: str =
     feats = list(features)
 
     def run(*columns: pd.Series) -> pd.DataFrame:
-        X = np.column_stack([c.to_numpy(dtype="float64", na_value=np.nan) for c in columns])
-        names, values, _ = _top(X, tables, feats)
+        names, values, _ = _top(_matrix(columns), tables, feats)
         return pd.DataFrame({driver: names, value: values})
 
     schema = T.StructType([T.StructField(driver, T.StringType()), T.StructField(value, T.DoubleType())])

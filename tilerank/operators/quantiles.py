@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-DEFAULT_ACCURACY = 20000
+# of the summary that finds the brackets; they hold 6 / accuracy of the rows, counted exactly. A summary grows with it, and all summaries of a group are merged in one task
+DEFAULT_ACCURACY = 2000
 # half width of a bracket in units of 1 / accuracy (the summary's rank error is one unit)
 BRACKET_UNITS = 3.0
 # a bracket table of at most this many rows is broadcast; a longer one is joined by shuffle

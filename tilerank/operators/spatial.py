@@ -214,10 +214,11 @@ def nearest_feature(left: DataFrame, right: DataFrame, left_key: str, right_key:
     carry = list(carry)
     base0 = store(left.select(F.col(left_key).alias("_lk"), F.col(lx).alias("_x"), F.col(ly).alias("_y")))
     base = base0.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    placed = right.where(F.col("x1").isNotNull() & F.col("y1").isNotNull() & F.col("x2").isNotNull() & F.col("y2").isNotNull())
-    placed = placed.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry)
+    placed = right.select(F.col(right_key).alias("_rk"), "x1", "y1", "x2", "y2", *carry)
     once = placed.groupBy("x1", "y1", "x2", "y2").agg(F.min_by(F.struct("_rk", *carry), "_rk").alias("_r"))
     segs = store(once.select(F.monotonically_increasing_id().alias("_sid"), "x1", "y1", "x2", "y2", *[F.col(f"_r.{c}").alias(c) for c in ["_rk", *carry]]))
+    # a filter on projected coordinates before the store is pushed below the projection, which is then computed some twenty times a row
+    segs = segs.where(F.col("x1").isNotNull() & F.col("y1").isNotNull() & F.col("x2").isNotNull() & F.col("y2").isNotNull())
     ext = segs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))).alias("long"),
                    F.min(F.least("x1", "x2")).alias("x0"), F.max(F.greatest("x1", "x2")).alias("x1"),
                    F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("y1", "y2")).alias("y1")).first()

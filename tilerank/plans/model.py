@@ -5,14 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.screening import spatial_block
 from ..operators.boosting import fit_models
-from ..operators.contributions import with_top_driver
+from ..operators.contributions import with_prediction, with_top_driver
 from ..session import store
 
 
@@ -55,12 +54,6 @@ def cv_mean_baseline(df: DataFrame, target: str, folds: DataFrame, key: str = "s
     return rows.join(F.broadcast(per), "fold", "left").select(key, "fold", F.coalesce(held_out, F.when(n > 0, s / n)).alias("cv_pred"))
 
 
-def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    """Feature vector; missing values stay NaN (the trees send them down the right branch)."""
-    cast = df.withColumns({f: F.col(f).cast("double") for f in features})
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(cast)
-
-
 def fit_gbt(df: DataFrame, features: Sequence[str], target: str, **params):
     """Gradient-boosted regression trees (defaults: 200 trees, depth 4, rate 0.05, seed 42) on the rows with a target.
 
@@ -74,7 +67,8 @@ def fit_gbt(df: DataFrame, features: Sequence[str], target: str, **params):
 
 
 def predict_all(df: DataFrame, model, features: Sequence[str], out: str = "predicted_download_kbps") -> DataFrame:
-    return model.transform(assemble(df, features)).withColumnRenamed("prediction", out).drop("features")
+    """Every row's prediction; the features become doubles, a missing one goes right in every tree."""
+    return with_prediction(df.withColumns({f: F.col(f).cast("double") for f in features}), model, features, out)
 
 
 def spatial_block_cv(df: DataFrame, features: Sequence[str], target: str, n_splits: int = K.N_SPLITS, key: str = "site_id",

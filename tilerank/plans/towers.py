@@ -170,6 +170,6 @@ def build_tower_sites(antennas: DataFrame, layers: Mapping[str, DataFrame], boun
     """Bound the antennas, cluster them, dissolve clusters to sites and attach infrastructure distances."""
     bounded = filter_mcc_bbox(antennas, bounds)
     zone = mean_longitude_zone(bounded)
-    clustered = cluster_antennas(bounded, eps, zone=zone)
+    clustered = cluster_antennas(bounded.select("radio", "longitude", "latitude", "range"), eps, zone=zone)
     sites = dissolve_sites(clustered, zone)
     return nearest_all_layers(sites, layers)
