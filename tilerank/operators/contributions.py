@@ -34,29 +34,31 @@ def flatten_model(model) -> list[tuple[float, list[tuple[float, list[tuple[int,
     path = scratch_path(spark, "gbt_model")
     model.write().overwrite().save(path)
     rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
-    trees: dict[int, dict[int, object]] = {}
+    trees: dict[int, dict[int, tuple]] = {}
     for r in rows:
-        trees.setdefault(r["treeID"], {})[r["id"]] = r
-    weights = list(model.treeWeights)
+        split = r["split"]
+        trees.setdefault(r["treeID"], {})[r["id"]] = (r["prediction"], r["leftChild"], r["rightChild"], split["featureIndex"],
+                                                      (split["leftCategoriesOrThreshold"] or [0.0])[0], r["rawCount"])
+    return keep_trees(model, [trees[i] for i in sorted(trees)])
+
+
+def keep_trees(model, trees: Sequence[dict[int, tuple]]) -> list:
+    """Flatten ``{node id: (prediction, left child, right child, feature, threshold, rows)}`` of each tree and keep the result beside the model."""
     out = []
-    for tid in sorted(trees):
-        nodes = trees[tid]
+    for weight, nodes in zip(model.treeWeights, trees):
         leaves = []
 
         def walk(nid: int, path: list) -> None:
-            n = nodes[nid]
-            if n["leftChild"] < 0:
-                leaves.append((float(n["prediction"]), list(path)))
+            prediction, left_child, right_child, f, thr, total = nodes[nid]
+            if left_child < 0:
+                leaves.append((float(prediction), list(path)))
                 return
-            f = int(n["split"]["featureIndex"])
-            thr = float(n["split"]["leftCategoriesOrThreshold"][0])
-            total = float(n["rawCount"])
-            for child, left in ((n["leftChild"], True), (n["rightChild"], False)):
-                frac = float(nodes[child]["rawCount"]) / total if total > 0 else 0.0
-                walk(child, path + [(f, thr, left, frac)])
+            for child, left in ((left_child, True), (right_child, False)):
+                frac = float(nodes[child][5]) / float(total) if total > 0 else 0.0
+                walk(child, path + [(int(f), float(thr), left, frac)])
 
         walk(0, [])
-        out.append((weights[tid], leaves))
+        out.append((weight, leaves))
     model._tilerank_trees = out
     return out
 
