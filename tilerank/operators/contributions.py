@@ -223,12 +223,15 @@ def _matrix(columns: Sequence[pd.Series]) -> np.ndarray:
 def with_prediction(df: DataFrame, model, features: Sequence[str], out: str) -> DataFrame:
     """``df`` with the model's prediction, looked up in tables (Spark ML walks the 200 trees of a row as objects, node by node)."""
     ship_package(df.sparkSession)
-    tables = prediction_tables(flatten_model(model))
+    look_up = getattr(model, "_tilerank_look_up", None)
+    if look_up is None:  # made once a model: a model predicts several parts of a table
+        tables = prediction_tables(flatten_model(model))
 
-    def run(*columns: pd.Series) -> pd.Series:
-        return pd.Series(_predict_batch(_matrix(columns), tables))
+        def run(*columns: pd.Series) -> pd.Series:
+            return pd.Series(_predict_batch(_matrix(columns), tables))
 
-    return df.withColumn(out, F.pandas_udf(run, T.DoubleType())(*[F.col(c).cast("double") for c in features]))
+        look_up = model._tilerank_look_up = F.pandas_udf(run, T.DoubleType())
+    return df.withColumn(out, look_up(*[F.col(c).cast("double") for c in features]))
 
 
 def with_top_driver(df: DataFrame, model, features: Sequence[str], driver: str = "top_shap_driver", value: str = "top_shap_value") -> DataFrame:
